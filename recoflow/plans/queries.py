@@ -127,7 +127,9 @@ def delta_windows_after(spark, d):
 
 @query
 def recall_serving(spark, d):
-    return recall.serve(t.recall_lists(spark, d), "als_v2", t.item_catalog(spark, d), t.preference_matrix(spark, d), 10)
+    served = recall.serve(
+        t.recall_lists(spark, d), "als_v2", t.item_catalog(spark, d), t.preference_matrix(spark, d), 10)
+    return served.withColumn("price", F.col("price").cast("double"))
 
 
 @query
