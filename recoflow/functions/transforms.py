@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from recoflow.functions.text import trimmed
 
-NUMBER = "decimal(28,8)"
+NUMBER = "decimal(26,8)"
 DIVIDE_SCALE = 8
 
 
@@ -74,7 +74,7 @@ def _divide(value: Column, divisor: Decimal) -> Column:
     number, by = to_number(value), F.lit(_plain(divisor))
     quotient = F.round(number / by, DIVIDE_SCALE).cast(NUMBER)
     unit = Decimal(1).scaleb(-DIVIDE_SCALE)
-    overshoot = F.abs(number - quotient * by) * 2 > F.lit(_plain(abs(divisor) * unit))
+    overshoot = F.abs(number - quotient * by) > F.lit(_plain(abs(divisor) * unit / 2))
     step = F.when(quotient > 0, F.lit(unit)).otherwise(F.lit(-unit))
     return F.when(overshoot, (quotient - step).cast(NUMBER)).otherwise(quotient)
 

@@ -62,57 +62,61 @@ def _is_repeat(graph: StateGraph, state: Column, action: Column) -> Column:
     return result
 
 
+def _requests(log: DataFrame, key: str, order: Sequence[str], action: str) -> DataFrame:
+    """The columns a replay needs. All its steps read exactly these, so they share one shuffle."""
+    return log.select(key, *order, action).filter(F.col(key).isNotNull())
+
+
 def state_changes(log: DataFrame, key: str, order: Sequence[str], action: str, graph: StateGraph) -> DataFrame:
-    """Per key: ``steps``, an array of (order, state) with the changes that took effect.
+    """Per key: ``steps``, an array of (at, state) with the changes that took effect.
 
     Step one is the earliest applicable request per key, an aggregate with a partial step. Each
     further step looks only at requests after the one before. ``order`` must identify a request
     within its key.
     """
-    rows = log.select(key, F.struct(*order).alias("_at"), F.col(action).alias("_action"))
-    first = _next_state(graph, F.lit(graph.initial), F.col("_action"))
-    steps = (
-        rows.withColumn("_to", first).filter(F.col("_to").isNotNull())
-        .groupBy(key).agg(F.min(F.struct("_at", F.col("_to").alias("state"))).alias("_step"))
-        .select(key, F.array("_step").alias("steps"), F.col("_step").alias("_last"))
-    )
+    rows, at = _requests(log, key, order, action), F.struct(*order)
+
+    def earliest(candidates: DataFrame, state: Column) -> DataFrame:
+        target = _next_state(graph, state, F.col(action))
+        step = F.when(target.isNotNull(), F.struct(at.alias("at"), target.alias("state")))
+        return candidates.groupBy(key).agg(F.min(step).alias("_step")).filter(F.col("_step").isNotNull())
+
+    steps = earliest(rows, F.lit(graph.initial)).select(key, F.array("_step").alias("steps"))
     for _ in range(graph.depth - 1):
-        target = _next_state(graph, F.col("_last.state"), F.col("_action"))
-        later = (
-            rows.join(steps.select(key, "_last"), key).filter(F.col("_at") > F.col("_last._at"))
-            .withColumn("_to", target).filter(F.col("_to").isNotNull())
-            .groupBy(key).agg(F.min(F.struct("_at", F.col("_to").alias("state"))).alias("_step"))
-        )
+        last = F.element_at("steps", -1)
+        later = earliest(rows.join(steps, key).filter(at > last["at"]), last["state"])
         steps = steps.join(later, key, "left").select(
-            key,
-            F.when(F.col("_step").isNull(), F.col("steps")).otherwise(F.concat("steps", F.array("_step"))).alias("steps"),
-            F.coalesce("_step", "_last").alias("_last"),
-        )
-    return steps.drop("_last")
+            key, F.when(F.col("_step").isNull(), F.col("steps")).otherwise(F.concat("steps", F.array("_step")))
+            .alias("steps"))
+    return steps
 
 
-def replay_log(log: DataFrame, key: str, order: Sequence[str], action: str, graph: StateGraph) -> DataFrame:
-    """Add ``state_before`` and ``verdict`` (APPLIED, REPEAT, REJECTED) to every request."""
-    steps = state_changes(log, key, order, action, graph)
-    joined = log.join(steps, key, "left")
+def _with_verdict(rows: DataFrame, order: Sequence[str], action: str, graph: StateGraph) -> DataFrame:
+    """State before each request and its verdict, from the steps of its key."""
     at = F.struct(*order)
-    taken = F.filter("steps", lambda s: s["_at"] < at)
-    before = F.when(F.coalesce(F.size(taken), F.lit(0)) <= 0, F.lit(graph.initial)).otherwise(
-        F.element_at(taken, -1)["state"])
+    taken = F.filter("steps", lambda s: s["at"] < at)
+    before = F.coalesce(F.try_element_at(taken, F.lit(-1))["state"], F.lit(graph.initial))
     applied = _next_state(graph, F.col("state_before"), F.col(action)).isNotNull()
     verdict = (
         F.when(applied, F.lit("APPLIED")).when(_is_repeat(graph, F.col("state_before"), F.col(action)), F.lit("REPEAT"))
         .otherwise(F.lit("REJECTED"))
     )
-    return joined.withColumn("state_before", before).withColumn("verdict", verdict).drop("steps")
+    return rows.withColumn("state_before", before).withColumn("verdict", verdict)
+
+
+def replay_log(log: DataFrame, key: str, order: Sequence[str], action: str, graph: StateGraph) -> DataFrame:
+    """Add ``state_before`` and ``verdict`` (APPLIED, REPEAT, REJECTED) to every request."""
+    steps = state_changes(log, key, order, action, graph)
+    return _with_verdict(log.join(steps, key, "left"), order, action, graph).drop("steps")
 
 
 def replay_summary(log: DataFrame, key: str, order: Sequence[str], action: str, graph: StateGraph) -> DataFrame:
     """Final state and verdict counts per key."""
-    replayed = replay_log(log, key, order, action, graph)
-    after = F.coalesce(_next_state(graph, F.col("state_before"), F.col(action)), F.col("state_before"))
-    return replayed.groupBy(key).agg(
-        F.max_by(after, F.struct(*order)).alias("final_state"),
+    steps = state_changes(log, key, order, action, graph)
+    final = F.coalesce(F.try_element_at("steps", F.lit(-1))["state"], F.lit(graph.initial))
+    rows = _requests(log, key, order, action).join(steps, key, "left").withColumn("final_state", final)
+    # The final state is a function of the key; as a grouping column it keeps this a hash aggregate.
+    return _with_verdict(rows, order, action, graph).groupBy(key, "final_state").agg(
         F.count_if(F.col("verdict") == "APPLIED").alias("applied"),
         F.count_if(F.col("verdict") == "REPEAT").alias("repeated"),
         F.count_if(F.col("verdict") == "REJECTED").alias("rejected"),

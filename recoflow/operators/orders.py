@@ -27,8 +27,8 @@ def decode_orders(messages: DataFrame) -> DataFrame:
     m = F.from_json(F.col("value").cast("string"), ORDER_MESSAGE)
     wrapped = F.from_json(F.col("m.eventId"), "struct<value:string>")["value"]
     at = F.col("m.occurredAt")
-    when = F.coalesce(F.timestamp_micros((at.try_cast("decimal(20,6)") * 1_000_000).cast("bigint")),
-                      F.try_to_timestamp(at))
+    seconds = F.when(at.rlike(r"^[0-9]+([.][0-9]+)?$"), at.try_cast("decimal(20,6)"))
+    when = F.coalesce(F.timestamp_micros((seconds * 1_000_000).cast("bigint")), F.try_to_timestamp(at))
     return messages.withColumn("m", m).select(
         "seq", "topic", F.col("value").cast("string").alias("payload"),
         F.when(F.col("m.eventId").startswith("{"), wrapped).otherwise(F.col("m.eventId")).alias("event_id"),
@@ -58,21 +58,24 @@ def classify(orders: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     unknown; ``seen`` holds the marks of earlier batches. First events are found by an aggregate and
     joined back on id *and* sequence, so copies of one event do not meet in one task.
     """
-    checked = orders.withColumn("reason", decode_error())
+    # Decoding is costly, so nothing here may be pushed down into it: bad events are left out inside
+    # the aggregate instead of by a filter, and the join key is never null, which would add one.
+    keys = ["topic", "_id", "seq"]
+    checked = orders.withColumn("reason", decode_error()).withColumn("_id", F.coalesce("event_id", F.lit("")))
     firsts = (
-        checked.filter(F.col("reason").isNull()).groupBy("topic", "event_id").agg(F.min("seq").alias("seq"))
-        .withColumn("_first", F.lit(True))
+        checked.groupBy("topic", "_id").agg(F.min(F.when(F.col("reason").isNull(), F.col("seq"))).alias("seq"))
+        .filter(F.col("seq").isNotNull()).withColumn("_first", F.lit(True))
     )
     if seen is not None:
-        firsts = firsts.join(seen.select("topic", "event_id"), ["topic", "event_id"], "left_anti")
-    marked = checked.join(firsts, ["topic", "event_id", "seq"], "left")
+        firsts = firsts.join(seen.select("topic", F.col("event_id").alias("_id")), ["topic", "_id"], "left_anti")
+    marked = checked.join(firsts, keys, "left")
     good, first = F.col("reason").isNull(), F.col("_first").isNotNull()
     unsupported = good & first & rate_to_cny(F.col("currency")).isNull()
     outcome = (
         F.when(~good | unsupported, F.lit("DEAD_LETTER")).when(first, F.lit("PROCESSED")).otherwise(F.lit("DUPLICATE"))
     )
     reason = F.when(unsupported, F.concat(F.lit("PERMANENT: unsupported currency "), "currency")).otherwise(F.col("reason"))
-    return marked.withColumn("outcome", outcome).withColumn("reason", reason).drop("_first")
+    return marked.withColumn("outcome", outcome).withColumn("reason", reason).drop("_first", "_id")
 
 
 def new_marks(classified: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 Some rules accept or reject a row by what was accepted before it (minimum gaps, request caps,
 guarded counters). Rows of a key are folded in order inside Arrow batches with constant memory. A
-hot key is cut into blocks; all blocks are folded at once from a guessed entry state, the exits give
-better guesses, and only blocks whose entry changed are folded again. When no entry changes, every
-block has started from the true exit of the block before it, so the result is exact.
+hot key is cut into blocks; all blocks are folded at once from a guessed entry state. The exits show
+which guesses were wrong, and only from there the fold is repeated, over runs of 2, 4, 8, … blocks.
+When every block has started from the true exit of the block before it, the result is exact. States
+usually agree after a few rounds; with B blocks there are never more than log2(B) + 2.
 """
 
 from __future__ import annotations
@@ -42,78 +43,82 @@ class Fold:
     additive: int = 0
 
 
-def _folder(step: Step, width: int, group_at: int, summary: bool):
-    """Batch function over rows sorted by (key, block, order); groups may span batches."""
+def _folder(step: Step, width: int, kept: int, summary: bool):
+    """Batch function over sorted rows. The state restarts with each group; groups may span batches.
+
+    The columns after the first ``kept`` ones are group, unit (a block of a key), entry state and
+    inputs. A summary gives the states before and after each unit, otherwise each row its verdict.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, state = None, None
+        group = unit = state = started = None
         for batch in batches:
-            columns = [column.to_pylist() for column in batch.columns]
-            groups, entries = columns[group_at], columns[group_at + 1]
-            inputs = columns[group_at + 2: group_at + 2 + width]
-            verdicts, ended = [], ([], [])
-            for position, name in enumerate(groups):
-                if name != group:
-                    if summary and group is not None:
-                        ended[0].append(group)
-                        ended[1].append(state)
-                    group, state = name, entries[position]
-                state, verdict = step(state, tuple(column[position] for column in inputs))
+            groups, units = batch.column(kept).to_pylist(), batch.column(kept + 1).to_pylist()
+            entries = batch.column(kept + 2)
+            inputs = zip(*[batch.column(kept + 3 + i).to_pylist() for i in range(width)])
+            verdicts, done = [], []
+            for position, values in enumerate(inputs):
+                if units[position] != unit:
+                    if unit is not None:
+                        done.append((unit, started, state))
+                    if groups[position] != group:
+                        group, state = groups[position], entries[position].as_py()
+                    unit, started = units[position], state
+                state, verdict = step(state, values)
                 verdicts.append(verdict)
-            if summary:
-                if ended[0]:
-                    yield _exits(*ended)
-            else:
-                kept = [batch.column(i) for i in range(group_at)]
-                names = batch.schema.names[:group_at] + ["_verdict"]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(verdicts, pa.int64())], names=names)
-        if summary and group is not None:
-            yield _exits([group], [state])
+            if not summary:
+                columns = [*batch.columns[:kept], pa.array(verdicts, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:kept], "_verdict"])
+            elif done:
+                yield _unit_states(done)
+        if summary and unit is not None:
+            yield _unit_states([(unit, started, state)])
 
     return run
 
 
-def _exits(groups: list, states: list) -> pa.RecordBatch:
+def _unit_states(done: list[tuple]) -> pa.RecordBatch:
+    states = pa.list_(pa.int64())
+    units, starts, ends = zip(*done)
     return pa.RecordBatch.from_arrays(
-        [pa.array(groups), pa.array(states, pa.list_(pa.int64()))], names=["_group", "_exit"]
-    )
+        [pa.array(units, pa.string()), pa.array(starts, states), pa.array(ends, states)],
+        names=["_unit", "_started", "_ended"])
 
 
-def _group_name(parts: Sequence[str]) -> Column:
-    """Key and block as one text; JSON quotes and escapes each part, so names cannot collide."""
+def _name(parts: Sequence[str]) -> Column:
+    """Several columns as one text; JSON quotes and escapes each part, so names cannot collide."""
     return F.to_json(F.struct(*[F.col(part).cast("string").alias(part) for part in parts]))
 
 
-def _fold(rows: DataFrame, keys: Sequence[str], order: Sequence[str], fold: Fold, entry: Column, summary: bool):
-    """Run the rule over all (key, block) groups of ``rows``."""
+def _fold(rows: DataFrame, keys: Sequence[str], order: Sequence[str], fold: Fold, entry: Column, summary: bool,
+          chunk: str = BLOCK) -> DataFrame:
+    """Run the rule over the (key, chunk) groups of ``rows``; a chunk is a run of blocks."""
     inputs = [column.cast("bigint").alias(f"_in{i}") for i, column in enumerate(fold.inputs)]
-    plain = [name for name in rows.columns if name not in (BLOCK, "_entry")]
-    kept = [] if summary else [F.col(name) for name in plain]
-    group = _group_name([*keys, BLOCK]).alias("_group")
+    plain = [name for name in rows.columns if name not in (BLOCK, "_entry", "_chunk")]
+    kept = [] if summary else plain
     arranged = (
-        rows.repartition(*keys, BLOCK)
-        .sortWithinPartitions(*keys, BLOCK, *order)
-        .select(*kept, group, entry.cast(STATE).alias("_entry"), *inputs)
+        rows.repartition(*keys, chunk)
+        .sortWithinPartitions(*keys, *dict.fromkeys([chunk, BLOCK]), *order)
+        .select(*kept, _name([*keys, chunk]).alias("_group"), _name([*keys, BLOCK]).alias("_unit"),
+                entry.cast(STATE).alias("_entry"), *inputs)
     )
     run = _folder(fold.step, len(inputs), len(kept), summary)
     if summary:
-        return arranged.mapInArrow(run, "_group string, _exit array<bigint>")
+        return arranged.mapInArrow(run, "_unit string, _started array<bigint>, _ended array<bigint>")
     schema = T.StructType([*[rows.schema[name] for name in plain], T.StructField("_verdict", T.LongType())])
     return arranged.mapInArrow(run, schema)
 
 
-def _entries(exits: DataFrame, keys: Sequence[str], fold: Fold) -> DataFrame:
-    """Entry states implied by the exits of all earlier blocks of the same key."""
+def _next_entry(keys: Sequence[str], additive: int) -> Column:
+    """Entry state of a block implied by the states of all earlier blocks of its key."""
     before = Window.partitionBy(*keys).orderBy(BLOCK)
-    if fold.additive:
-        total = before.rowsBetween(Window.unboundedPreceding, -1)
-        guess = F.array(*[
-            fold.initial[i] + F.coalesce(F.sum(F.col("_exit")[i] - F.col("_entry")[i]).over(total), F.lit(0))
-            for i in range(fold.additive)
-        ])
-    else:
-        guess = F.coalesce(F.lag("_exit").over(before), fold.initial)
-    return exits.withColumn("_next", guess.cast(STATE))
+    if not additive:
+        return F.coalesce(F.lag("_exit").over(before), F.col("_initial")).cast(STATE)
+    changes = before.rowsBetween(Window.unboundedPreceding, -1)
+    return F.array(*[
+        F.col("_initial")[i] + F.coalesce(F.sum(F.col("_exit")[i] - F.col("_entry")[i]).over(changes), F.lit(0))
+        for i in range(additive)
+    ]).cast(STATE)
 
 
 def sequential_fold(
@@ -135,28 +140,34 @@ def sequential_fold(
         return folded.withColumnRenamed("_verdict", verdict)
 
     parts = [*keys, BLOCK]
-    blocks = rows.groupBy(*parts).agg(F.first(fold.initial.cast(STATE)).alias("_initial"))
-    many = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
-    group = _group_name(parts)
-    state_fold = Fold(fold.step, fold.inputs, F.col("_initial"), fold.additive)
+    per_key = Window.partitionBy(*keys)
     table = cut_lineage(
-        blocks.withColumn("_many", many).filter("_many").drop("_many")
-        .select(*parts, "_initial", group.alias("_group"), F.col("_initial").alias("_entry"),
+        rows.groupBy(*parts).agg(F.first(fold.initial.cast(STATE)).alias("_initial"))
+        .withColumn("_blocks", F.count(F.lit(1)).over(per_key)).filter("_blocks > 1")
+        .withColumn("_index", F.row_number().over(per_key.orderBy(BLOCK)) - 1)
+        .select(*parts, "_index", "_initial", _name(parts).alias("_unit"), F.col("_initial").alias("_entry"),
                 F.col("_initial").alias("_exit"), F.lit(True).alias("_changed"))
     )
-    while True:
-        todo = table.filter("_changed").select(*parts, "_entry")
-        if todo.isEmpty():
-            break
-        exits = _fold(rows.join(todo, parts), keys, order, fold, F.col("_entry"), summary=True)
-        updated = table.drop("_changed").join(exits.withColumnRenamed("_exit", "_new"), "_group", "left")
-        updated = updated.withColumn("_exit", F.coalesce("_new", "_exit")).drop("_new")
+    length = 1
+    while not table.filter("_changed").isEmpty():
+        # A run of blocks is folded from its first wrong block to its end.
+        first_wrong = F.min(F.when(F.col("_changed"), F.col("_index"))).over(Window.partitionBy(*keys, "_chunk"))
+        todo = (
+            table.withColumn("_chunk", F.floor(F.col("_index") / length))
+            .withColumn("_from", first_wrong).filter(F.col("_index") >= F.col("_from"))
+            .select(*parts, "_chunk", "_entry")
+        )
+        states = _fold(rows.join(todo, parts), keys, order, fold, F.col("_entry"), summary=True, chunk="_chunk")
+        updated = (
+            table.join(states, "_unit", "left")
+            .withColumn("_entry", F.coalesce("_started", "_entry")).withColumn("_exit", F.coalesce("_ended", "_exit"))
+            .drop("_started", "_ended").withColumn("_next", _next_entry(keys, fold.additive))
+        )
         table = cut_lineage(
-            _entries(updated, keys, state_fold)
-            .withColumn("_changed", ~F.col("_next").eqNullSafe(F.col("_entry")))
-            .withColumn("_entry", F.col("_next"))
-            .drop("_next")
+            updated.withColumn("_changed", ~F.col("_next").eqNullSafe(F.col("_entry")))
+            .withColumn("_entry", F.col("_next")).drop("_next")
         )
+        length *= 2
     entered = rows.join(table.select(*parts, "_entry"), parts, "left")
     entry = F.coalesce(F.col("_entry"), fold.initial.cast(STATE))
     return _fold(entered, keys, order, fold, entry, summary=False).withColumnRenamed("_verdict", verdict)

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recoflow.functions.codes import canonical_status
-from recoflow.functions.text import first_filled, is_blank, snippet, text_or_empty
+from recoflow.functions.text import BLANK_CHARS, TRIMMED_CHARS, snippet, text_or_empty
 from recoflow.operators.events import moment
 
 TRANSFORM_ERROR = "TRANSFORM_ERROR"
@@ -26,147 +26,145 @@ OBJECT_FIELDS = ["id", "recordId", "code", "name", "status", "taxNo", "tax_no",
 
 _ROOT = "struct<code:string,data:string,records:string,_corrupt_record:string>"
 _OBJECT = "struct<" + ",".join(f"{name}:string" for name in OBJECT_FIELDS) + ">"
+_SPACE = "concat(' ', char(9), char(10), char(13))"
+_BLANKS = "'" + "".join(f"\\u{ord(c):04x}" for c in BLANK_CHARS) + "'"
+_TRIMMED = "'" + "".join(f"\\u{ord(c):04x}" for c in TRIMMED_CHARS) + "'"
 
 
-def _starts_with(text: Column, bracket: str) -> Column:
-    return F.coalesce(F.substring(F.btrim(text, F.lit(" \t\r\n")), 1, 1) == bracket, F.lit(False))
+# The checks run inside arrays, so they are SQL texts that take the name of a lambda variable.
 
+def _opens(text: str, bracket: str) -> str:
+    return f"coalesce(substr(btrim({text}, {_SPACE}), 1, 1) = '{bracket}', false)"
 
-def _chain(*cases: tuple[Column, Column | str]) -> Column:
-    """First message whose condition holds, else null."""
-    result = F.when(F.lit(False), F.lit(""))
-    for condition, message in cases:
-        result = result.when(condition, message if isinstance(message, Column) else F.lit(message))
-    return result
 
+def _blank(text: str) -> str:
+    return f"coalesce(btrim({text}, {_BLANKS}) = '', true)"
 
-def _missing(source: str, fields: dict[str, Column], at: Column) -> list[tuple[Column, Column]]:
-    """Complaints about required values that are absent or blank."""
-    cases = []
-    for name, value in fields.items():
-        where = F.concat(F.lit(f": {name}, rowIndex="), at)
-        cases.append((value.isNull(), F.concat(F.lit(f"{source} field is missing"), where)))
-        cases.append((is_blank(value), F.concat(F.lit(f"{source} field is blank"), where)))
-    return cases
 
+def _first(*texts: str) -> str:
+    """First of several texts that is not blank."""
+    return f"get(filter(array({', '.join(texts)}), t -> NOT {_blank('t')}), 0)"
 
-def _unfilled(fields: dict[str, Column], at: Column) -> list[tuple[Column, Column]]:
-    return [(value.isNull(), F.concat(F.lit(f"GENERIC field is missing or blank: {name}, rowIndex="), at))
-            for name, value in fields.items()]
 
+def _clean(text: str) -> str:
+    return f"coalesce(btrim({text}, {_TRIMMED}), '')"
 
-def _root_error(system: Column, payload: Column) -> Column:
-    """What is wrong with a payload before its rows are looked at."""
-    root, data = F.col("_root"), F.col("_data")
-    list_root, object_root = _starts_with(payload, "["), _starts_with(payload, "{")
-    code = F.coalesce(root["code"].try_cast("double").try_cast("int"), F.lit(-1))
-    kingdee, yonyou, generic = [system == name for name in SYSTEMS]
-    broken = ~object_root | root["_corrupt_record"].isNotNull()
-    return _chain(
-        (~F.coalesce(system.isin(SYSTEMS), F.lit(False)),
-         F.concat(F.lit("No parser found for ERP type: "), F.coalesce("erp_type", F.lit("null")))),
-        (kingdee & object_root, "Expected JSON array as root"),
-        (kingdee & (~list_root | F.col("_rows").isNull()), "Failed to parse raw payload JSON"),
-        (yonyou & list_root, "YONYOU root must be JSON object"),
-        (yonyou & broken, "Failed to parse YONYOU raw payload JSON"),
-        (yonyou & (code != 0), F.concat(F.lit("YONYOU response code is not success: "), code.cast("string"))),
-        (yonyou & ~_starts_with(root["data"], "{"), "YONYOU data node is missing or invalid"),
-        (yonyou & ~_starts_with(data["rows"], "["), "YONYOU rows node is missing or invalid"),
-        (generic & list_root, "GENERIC root must be JSON object"),
-        (generic & broken, "Failed to parse GENERIC raw payload JSON"),
-        (generic & ~_starts_with(root["records"], "["), "GENERIC records node is missing or invalid"),
-    )
 
+def _fields(pairs: dict[str, str]) -> str:
+    return "array(" + ", ".join(f"struct('{name}' AS name, {value} AS value)" for name, value in pairs.items()) + ")"
 
-def _row_error(system: Column, row: Column, index: Column) -> Column:
-    """What is wrong with one row of a payload."""
-    at, raw, cells, values = index.cast("string"), row["raw"], row["cells"], row["values"]
-    first = {"id/recordId/code": first_filled(values["id"], values["recordId"], values["code"]),
-             "name": first_filled(values["name"]), "status": first_filled(values["status"])}
-    by_position = {name: F.get(cells, F.lit(place)) for name, place in KINGDEE_CELLS.items()}
-    by_name = {name: values[name] for name in ("code", "name", "status")}
-    not_list = raw.isNull() | ~_starts_with(raw, "[")
-    not_object = raw.isNull() | ~_starts_with(raw, "{")
-    return (
-        F.when(system == "KINGDEE", _chain(
-            (not_list, F.concat(F.lit("Invalid row: "), F.coalesce(raw, F.lit("null")))),
-            *_missing("KINGDEE", by_position, at)))
-        .when(system == "YONYOU", _chain(
-            (not_object, F.concat(F.lit("YONYOU row must be object, rowIndex="), at)),
-            *_missing("YONYOU", by_name, at)))
-        .otherwise(_chain(
-            (not_object, F.concat(F.lit("GENERIC row must be object, rowIndex="), at)), *_unfilled(first, at)))
-    )
 
-
-def _item(system: Column, row: Column) -> Column:
-    """The parsed values of one good row."""
-    cells, v = row["cells"], row["values"]
-
-    def pick(position: int | None, yonyou: Column, generic: Column) -> Column:
-        kingdee = F.lit("") if position is None else F.get(cells, F.lit(position))
-        return F.when(system == "KINGDEE", kingdee).when(system == "YONYOU", yonyou).otherwise(generic)
-
-    place = KINGDEE_CELLS
-    return F.struct(
-        pick(place["sourceRecordId"], v["code"], first_filled(v["id"], v["recordId"], v["code"]))
-        .alias("source_record_id"),
-        pick(place["sourceBusinessCode"], v["code"], first_filled(v["code"], v["id"], v["recordId"]))
-        .alias("source_business_code"),
-        pick(place["supplierName"], v["name"], v["name"]).alias("supplier_name"),
-        pick(place["supplierStatus"], v["status"], v["status"]).alias("source_supplier_status"),
-        text_or_empty(pick(None, v["taxNo"], first_filled(v["taxNo"], v["tax_no"]))).alias("tax_no"),
-        text_or_empty(pick(place["sourceModifiedAt"], v["modifyDate"],
-                           first_filled(v["modifyDate"], v["modifiedAt"], v["updatedAt"])))
-        .alias("source_modified_at"),
-        row["raw"].alias("raw_item_json"),
-    )
+def _root_error() -> str:
+    """What is wrong with a payload before its rows are looked at."""
+    listed, keyed = _opens("raw_payload", "["), _opens("raw_payload", "{")
+    broken = f"(NOT {keyed} OR _root._corrupt_record IS NOT NULL)"
+    code = "coalesce(try_cast(try_cast(_root.code AS double) AS int), -1)"
+    return f"""
+        CASE _system
+        WHEN 'KINGDEE' THEN CASE
+          WHEN {keyed} THEN 'Expected JSON array as root'
+          WHEN NOT {listed} OR _rows IS NULL THEN 'Failed to parse raw payload JSON' END
+        WHEN 'YONYOU' THEN CASE
+          WHEN {listed} THEN 'YONYOU root must be JSON object'
+          WHEN {broken} THEN 'Failed to parse YONYOU raw payload JSON'
+          WHEN {code} <> 0 THEN concat('YONYOU response code is not success: ', {code})
+          WHEN NOT {_opens("_root.data", "{")} THEN 'YONYOU data node is missing or invalid'
+          WHEN NOT {_opens("_data.rows", "[")} THEN 'YONYOU rows node is missing or invalid' END
+        WHEN 'GENERIC' THEN CASE
+          WHEN {listed} THEN 'GENERIC root must be JSON object'
+          WHEN {broken} THEN 'Failed to parse GENERIC raw payload JSON'
+          WHEN NOT {_opens("_root.records", "[")} THEN 'GENERIC records node is missing or invalid' END
+        ELSE concat('No parser found for ERP type: ', coalesce(erp_type, 'null')) END"""
+
+
+def _read_rows() -> str:
+    """Per row: its text, whether it has the right shape, required values by name, optional values."""
+    kingdee = {name: f"get(r.cells, {place})" for name, place in KINGDEE_CELLS.items()}
+    yonyou = {name: f"r.v.{name}" for name in ("code", "name", "status")}
+    generic = {
+        "id/recordId/code": _first("r.v.id", "r.v.recordId", "r.v.code"), "name": _first("r.v.name"),
+        "status": _first("r.v.status"), "code/id/recordId": _first("r.v.code", "r.v.id", "r.v.recordId"),
+    }
+    return f"""
+        transform(_texts, r -> struct(
+          r.raw AS raw,
+          r.raw IS NOT NULL AND IF(_system = 'KINGDEE', {_opens("r.raw", "[")}, {_opens("r.raw", "{")}) AS shaped,
+          CASE _system WHEN 'KINGDEE' THEN {_fields(kingdee)} WHEN 'YONYOU' THEN {_fields(yonyou)}
+            ELSE {_fields(generic)} END AS required,
+          CASE _system WHEN 'KINGDEE' THEN '' WHEN 'YONYOU' THEN {_clean("r.v.taxNo")}
+            ELSE {_clean(_first("r.v.taxNo", "r.v.tax_no"))} END AS tax_no,
+          CASE _system WHEN 'KINGDEE' THEN '' WHEN 'YONYOU' THEN {_clean("r.v.modifyDate")}
+            ELSE {_clean(_first("r.v.modifyDate", "r.v.modifiedAt", "r.v.updatedAt"))} END AS modified))"""
+
+
+def _row_errors() -> str:
+    """Complaint per row, null for a good one: wrong shape, else the first required value not filled."""
+    return f"""
+        transform(_read, (row, i) -> CASE
+          WHEN NOT row.shaped AND _system = 'KINGDEE' THEN concat('Invalid row: ', coalesce(row.raw, 'null'))
+          WHEN NOT row.shaped THEN concat(_system, ' row must be object, rowIndex=', i)
+          ELSE get(transform(filter(row.required, f -> {_blank("f.value")}), f -> concat(
+            _system, CASE WHEN _system = 'GENERIC' THEN ' field is missing or blank: '
+              WHEN f.value IS NULL THEN ' field is missing: ' ELSE ' field is blank: ' END,
+            f.name, ', rowIndex=', i)), 0) END)"""
+
+
+def _items() -> str:
+    """Parsed values of the rows. Positions refer to the order of the required values."""
+
+    def value(kingdee: int, yonyou: int, generic: int) -> str:
+        at = f"CASE _system WHEN 'KINGDEE' THEN {kingdee} WHEN 'YONYOU' THEN {yonyou} ELSE {generic} END"
+        return f"get(row.required, {at}).value"
+
+    return f"""
+        transform(_read, row -> struct(
+          {value(0, 0, 0)} AS source_record_id, {value(2, 0, 3)} AS source_business_code,
+          {value(1, 1, 1)} AS supplier_name, {value(3, 2, 2)} AS source_supplier_status, row.tax_no AS tax_no,
+          IF(_system = 'KINGDEE', {_clean("get(row.required, 4).value")}, row.modified) AS source_modified_at,
+          row.raw AS raw_item_json))"""
 
 
 def parse_payloads(payloads: DataFrame) -> DataFrame:
-    """Add ``error`` (null when the payload is good) and ``items`` (array of parsed items).
+    """Add ``error`` (null when the payload is good) and ``items`` (parsed items, null when it is bad).
 
     KINGDEE: array of arrays, values by position. YONYOU: object with code 0 and data.rows. GENERIC:
     object with records, each value from the first candidate name that is filled. The type is matched
     in any case and all types are handled in one pass, reading every text once.
     """
-    system, payload = F.upper("erp_type"), F.col("raw_payload")
-    objects = system.isin("YONYOU", "GENERIC")
-    staged = (
+    record_error = f"""
+        CASE WHEN coalesce(size(_rows), 0) <= 0 THEN NULL
+          WHEN supplier_id IS NULL OR supplier_id <= 0 THEN 'supplierId must be positive'
+          WHEN {_blank("supplier_code")} THEN 'supplierCode must not be blank'
+          WHEN pulled_at IS NULL THEN 'pulledAt must not be null' END"""
+    text = "CASE _system WHEN 'KINGDEE' THEN raw_payload WHEN 'YONYOU' THEN _data.rows ELSE _root.records END"
+    return (
         payloads
-        .withColumn("_root", F.when(objects, F.from_json(payload, _ROOT)))
-        .withColumn("_data", F.when(system == "YONYOU", F.from_json(F.col("_root.data"), "struct<rows:string>")))
-        .withColumn("_rows", F.from_json(
-            F.when(system == "KINGDEE", payload).when(system == "YONYOU", F.col("_data.rows"))
-            .otherwise(F.col("_root.records")), "array<string>"))
-        .withColumn("_read", F.transform("_rows", lambda raw: F.struct(
-            raw.alias("raw"),
-            F.when(system == "KINGDEE", F.from_json(raw, "array<string>")).alias("cells"),
-            F.when(objects, F.from_json(raw, _OBJECT)).alias("values"))))
-    )
-    row_errors = F.array_compact(F.transform("_read", lambda row, index: _row_error(system, row, index)))
-    record_error = _chain(
-        (F.coalesce(F.size("_rows"), F.lit(0)) <= 0, F.lit(None).cast("string")),
-        (F.col("supplier_id").isNull() | (F.col("supplier_id") <= 0), "supplierId must be positive"),
-        (is_blank(F.col("supplier_code")), "supplierCode must not be blank"),
-        (F.col("pulled_at").isNull(), "pulledAt must not be null"),
+        .selectExpr("*", "upper(erp_type) AS _system",
+                    f"IF(upper(erp_type) IN ('YONYOU', 'GENERIC'), from_json(raw_payload, '{_ROOT}'), NULL) AS _root")
+        .selectExpr("*", "IF(_system = 'YONYOU', from_json(_root.data, 'struct<rows:string>'), NULL) AS _data")
+        .selectExpr("*", f"from_json({text}, 'array<string>') AS _rows")
+        .selectExpr("*", f"""transform(_rows, raw -> struct(raw AS raw,
+            IF(_system = 'KINGDEE', from_json(raw, 'array<string>'), NULL) AS cells,
+            IF(_system = 'KINGDEE', NULL, from_json(raw, '{_OBJECT}')) AS v)) AS _texts""")
+        .selectExpr("*", f"{_read_rows()} AS _read")
+        .selectExpr("*", f"""coalesce({_root_error()}, get(filter({_row_errors()}, e -> e IS NOT NULL), 0),
+            {record_error}) AS error""")
+        .selectExpr("*", f"IF(error IS NULL, {_items()}, NULL) AS items")
+        .drop("_system", "_root", "_data", "_rows", "_texts", "_read")
     )
-    error = F.coalesce(_root_error(system, payload), F.get(row_errors, F.lit(0)), record_error)
-    items = F.transform("_read", lambda row: _item(system, row))
-    return staged.withColumn("error", error).withColumn("items", F.when(F.col("error").isNull(), items)).drop(
-        "_root", "_data", "_rows", "_read")
 
 
 def records(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Normalised records of the good payloads; ``keep`` names extra payload columns to carry along.
 
-    ``item_index`` is the position inside the payload.
+    ``item_index`` is the position inside the payload. Bad payloads have no items; they are dropped
+    after the explode, because a filter on ``error`` would be pushed down and parse every text again.
     """
-    exploded = parsed.filter(F.col("error").isNull()).select(
+    exploded = parsed.select(
         *keep, "supplier_id", "supplier_code", "erp_type", text_or_empty(F.col("page_token")).alias("page_token"),
         text_or_empty(F.col("next_page_token")).alias("next_page_token"), "pulled_at",
-        F.posexplode("items").alias("item_index", "item"),
-    )
+        F.posexplode_outer("items").alias("item_index", "item"),
+    ).filter(F.col("item_index").isNotNull())
     status = canonical_status(F.col("erp_type"), F.col("item.source_supplier_status"))
     return exploded.select(
         *keep, "item_index", "supplier_id", "supplier_code", "erp_type", "item.source_record_id",
@@ -177,13 +175,16 @@ def records(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def dead_letters(parsed: DataFrame, failed_at: datetime | Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Dead letters of the bad payloads with text cut to 512 characters."""
+    """Dead letters of the bad payloads with text cut to 512 characters.
+
+    The error goes through an explode for the same reason as in ``records``.
+    """
     at = failed_at if isinstance(failed_at, Column) else moment(failed_at)
-    return parsed.filter(F.col("error").isNotNull()).select(
+    errors = F.explode_outer(F.array(snippet(F.col("error")))).alias("error_message")
+    return parsed.select(
         *keep, "supplier_id", "supplier_code", "erp_type", snippet(F.col("raw_payload")).alias("raw_snippet"),
-        F.lit(TRANSFORM_ERROR).alias("error_type"), snippet(F.col("error")).alias("error_message"),
-        at.alias("failed_at"),
-    )
+        F.lit(TRANSFORM_ERROR).alias("error_type"), errors, at.alias("failed_at"),
+    ).filter(F.col("error_message").isNotNull())
 
 
 def payload_results(parsed: DataFrame, outcomes: DataFrame, sequence: str) -> DataFrame:

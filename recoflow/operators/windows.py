@@ -72,7 +72,16 @@ def top_items(scores: DataFrame, n: int = TOP_N) -> DataFrame:
 
 
 def latest_top_items(scores: DataFrame, n: int = TOP_N) -> DataFrame:
-    return top_items(latest_window(scores), n)
+    """Best n items of each user's latest window.
+
+    Sorted by window end first, the n best rows of a user begin with those of the latest window. So
+    one top-n per user does both steps, and a map task forwards at most n rows of a user.
+    """
+    per_user = Window.partitionBy("user_id")
+    ranking = per_user.orderBy(F.desc("window_end"), F.desc("score"), F.asc("item_id"))
+    ranked = scores.withColumn("rank", F.row_number().over(ranking)).filter(F.col("rank") <= n)
+    latest = ranked.withColumn("_latest", F.max("window_end").over(per_user))
+    return latest.filter(F.col("window_end") == F.col("_latest")).drop("_latest")
 
 
 def item_lists(ranked: DataFrame) -> DataFrame:

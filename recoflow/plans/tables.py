@@ -89,43 +89,39 @@ def recall_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order events as JSON messages; every seventh is sent twice, every 97th is negative."""
-    o, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
-    sent = o.withColumn("copy", F.explode(F.when(key % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    amount = F.when(key % 97 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).cast("decimal(18,2)")
-    body = F.struct(
-        F.struct(F.concat(F.lit("evt-"), key).alias("value")).alias("eventId"),
-        F.concat(F.lit("ORD-"), key).alias("orderId"), F.col("o_custkey").alias("userId"),
-        _case(F.col("o_orderstatus"), {"O": "PAID", "F": "COMPLETED"}, "CREATED").alias("status"),
-        amount.alias("amount"), _case(key % 5, {0: "CNY", 1: "USD", 2: "EUR", 3: "JPY"}, "GBP").alias("currency"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("occurredAt"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "*", "explode(IF(o_orderkey % 7 = 0, array(0, 1), array(0))) AS copy",
+    ).selectExpr(
+        "o_orderkey * 2 + copy AS seq", "'etl.order.events' AS topic",
+        """to_json(struct(
+            struct(concat('evt-', o_orderkey) AS value) AS eventId, concat('ORD-', o_orderkey) AS orderId,
+            o_custkey AS userId,
+            CASE o_orderstatus WHEN 'O' THEN 'PAID' WHEN 'F' THEN 'COMPLETED' ELSE 'CREATED' END AS status,
+            CAST(IF(o_orderkey % 97 = 0, -o_totalprice, o_totalprice) AS DECIMAL(18,2)) AS amount,
+            CASE o_orderkey % 5 WHEN 0 THEN 'CNY' WHEN 1 THEN 'USD' WHEN 2 THEN 'EUR' WHEN 3 THEN 'JPY' ELSE 'GBP' END
+              AS currency,
+            date_format(o_orderdate, "yyyy-MM-dd'T'HH:mm:ss") AS occurredAt)) AS value""",
     )
-    return sent.select((key * 2 + F.col("copy")).alias("seq"), F.lit("etl.order.events").alias("topic"),
-                       F.to_json(body).alias("value"))
 
 
 def raw_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two pulls per customer, the second older for odd keys; every tenth payload is an error answer."""
-    c = table(spark, sf_dir, "customer").withColumn("d", F.explode(F.array(F.lit(0), F.lit(1))))
-    key, nation = F.col("c_custkey"), F.col("c_nationkey")
-    name = F.concat(F.col("c_name"), F.lit("-"), F.col("d"))
-    kingdee = F.concat(
-        F.lit('[["FID-'), key, F.lit('","'), name, F.lit('","SUP-'), key, F.lit('","'),
-        F.when(nation % 2 == 0, F.lit("A")).otherwise(F.lit("B")), F.lit('","2024-01-01 00:00:00"]]'))
-    yonyou = F.concat(
-        F.lit('{"code":0,"data":{"rows":[{"code":"SUP-'), key, F.lit('","name":"'), name, F.lit('","status":"'),
-        F.when(nation % 2 == 0, F.lit("1")).otherwise(F.lit("N")), F.lit('"}]}}'))
-    generic = F.concat(
-        F.lit('{"records":[{"id":'), key, F.lit(',"name":"'), name, F.lit('","status":"'),
-        _case(nation % 3, {0: "valid", 1: "INVALID"}, "odd"), F.lit('"}]}'))
-    hours = F.when(key % 2 == 1, -F.col("d")).otherwise(F.col("d"))
-    return c.select(
-        (key * 2 + F.col("d")).alias("seq"), (key + 1).alias("supplier_id"),
-        F.concat(_case(key % 3, {0: "KD_", 1: "YY_"}, "GEN_"), key).alias("supplier_code"),
-        _case(key % 3, {0: "KINGDEE", 1: "YONYOU"}, "GENERIC").alias("erp_type"),
-        F.when(key % 10 == 9, F.lit('{"code":500,"message":"mock error"}')).when(key % 3 == 0, kingdee)
-        .when(key % 3 == 1, yonyou).otherwise(generic).alias("raw_payload"),
-        F.lit(None).cast("string").alias("page_token"), F.concat(F.lit(" p"), key).alias("next_page_token"),
-        F.timestamp_add("HOUR", hours, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("pulled_at"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "*", "explode(array(0, 1)) AS d",
+    ).selectExpr("*", "concat(c_name, '-', d) AS name").selectExpr(
+        "c_custkey * 2 + d AS seq", "c_custkey + 1 AS supplier_id",
+        "concat(CASE c_custkey % 3 WHEN 0 THEN 'KD_' WHEN 1 THEN 'YY_' ELSE 'GEN_' END, c_custkey) AS supplier_code",
+        "CASE c_custkey % 3 WHEN 0 THEN 'KINGDEE' WHEN 1 THEN 'YONYOU' ELSE 'GENERIC' END AS erp_type",
+        """CASE WHEN c_custkey % 10 = 9 THEN '{"code":500,"message":"mock error"}'
+            WHEN c_custkey % 3 = 0 THEN concat('[["FID-', c_custkey, '","', name, '","SUP-', c_custkey, '","',
+              IF(c_nationkey % 2 = 0, 'A', 'B'), '","2024-01-01 00:00:00"]]')
+            WHEN c_custkey % 3 = 1 THEN concat('{"code":0,"data":{"rows":[{"code":"SUP-', c_custkey, '","name":"', name,
+              '","status":"', IF(c_nationkey % 2 = 0, '1', 'N'), '"}]}}')
+            ELSE concat('{"records":[{"id":', c_custkey, ',"name":"', name, '","status":"',
+              CASE c_nationkey % 3 WHEN 0 THEN 'valid' WHEN 1 THEN 'INVALID' ELSE 'odd' END, '"}]}') END
+            AS raw_payload""",
+        "CAST(NULL AS STRING) AS page_token", "concat(' p', c_custkey) AS next_page_token",
+        """timestampadd(HOUR, IF(c_custkey % 2 = 1, -d, d), TIMESTAMP_NTZ '2024-01-01 00:00:00') AS pulled_at""",
     )
 
 
