@@ -27,7 +27,7 @@ def decode_orders(messages: DataFrame) -> DataFrame:
     m = F.from_json(F.col("value").cast("string"), ORDER_MESSAGE)
     wrapped = F.from_json(F.col("m.eventId"), "struct<value:string>")["value"]
     at = F.col("m.occurredAt")
-    seconds = F.when(at.rlike(r"^[0-9]+([.][0-9]+)?$"), at.try_cast("decimal(20,6)"))
+    seconds = F.when(at.rlike(r"^[0-9]+([.][0-9]+)?(E[0-9]+)?$"), at.try_cast("decimal(20,6)"))
     when = F.coalesce(F.timestamp_micros((seconds * 1_000_000).cast("bigint")), F.try_to_timestamp(at))
     return messages.withColumn("m", m).select(
         "seq", "topic", F.col("value").cast("string").alias("payload"),
