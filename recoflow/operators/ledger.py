@@ -76,18 +76,20 @@ def state_changes(log: DataFrame, key: str, order: Sequence[str], action: str, g
     """
     rows, at = _requests(log, key, order, action), F.struct(*order)
 
-    def earliest(candidates: DataFrame, state: Column) -> DataFrame:
+    def earliest(state: Column, after: Column) -> Column:
         target = _next_state(graph, state, F.col(action))
-        step = F.when(target.isNotNull(), F.struct(at.alias("at"), target.alias("state")))
-        return candidates.groupBy(key).agg(F.min(step).alias("_step")).filter(F.col("_step").isNotNull())
+        return F.min(F.when(after & target.isNotNull(), F.struct(at.alias("at"), target.alias("state")))).alias("_step")
 
-    steps = earliest(rows, F.lit(graph.initial)).select(key, F.array("_step").alias("steps"))
+    steps = (
+        rows.groupBy(key).agg(earliest(F.lit(graph.initial), F.lit(True)))
+        .filter(F.col("_step").isNotNull()).select(key, F.array("_step").alias("steps"))
+    )
     for _ in range(graph.depth - 1):
         last = F.element_at("steps", -1)
-        later = earliest(rows.join(steps, key).filter(at > last["at"]), last["state"])
-        steps = steps.join(later, key, "left").select(
-            key, F.when(F.col("_step").isNull(), F.col("steps")).otherwise(F.concat("steps", F.array("_step")))
-            .alias("steps"))
+        # The steps so far are the same on all rows of a key, so any of them will do.
+        found = rows.join(steps, key).groupBy(key).agg(
+            F.first("steps").alias("steps"), earliest(last["state"], at > last["at"]))
+        steps = found.select(key, F.concat("steps", F.array_compact(F.array("_step"))).alias("steps"))
     return steps
 
 
@@ -209,16 +211,15 @@ def stock_verdicts(moves: DataFrame, stock: DataFrame, order: Sequence[str] = ("
 def replay_stock(moves: DataFrame, stock: DataFrame, order: Sequence[str] = ("seq",),
                  max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame:
     """Stock rows after a movement log: reserve, confirm and release never take a counter below zero."""
-    verdicts = stock_verdicts(moves, stock, order, max_rows)
-    applied = verdicts.filter("applied")
+    applied = F.col("applied")
 
     def total(name: str) -> Column:
-        return F.count_if(F.col("move") == name)
+        return F.count_if(applied & (F.col("move") == name))
 
-    sums = applied.groupBy("sku_id").agg(
-        total("RESERVE").alias("_r"), total("CONFIRM").alias("_c"), total("RELEASE").alias("_l"))
-    refused = verdicts.groupBy("sku_id").agg(F.count_if(~F.col("applied")).alias("refused"))
-    joined = stock.join(sums, "sku_id", "left").join(refused, "sku_id", "left").fillna(0, ["_r", "_c", "_l", "refused"])
+    sums = stock_verdicts(moves, stock, order, max_rows).groupBy("sku_id").agg(
+        total("RESERVE").alias("_r"), total("CONFIRM").alias("_c"), total("RELEASE").alias("_l"),
+        F.count_if(~applied).alias("refused"))
+    joined = stock.join(sums, "sku_id", "left").fillna(0, ["_r", "_c", "_l", "refused"])
     return joined.select(
         "sku_id", "total_stock",
         (F.col("available_stock") - F.col("_r") + F.col("_l")).alias("available_stock"),

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from recoflow.session import cut_lineage
 
 MAX_ROWS_PER_KEY = 1_000_000
-BROADCAST_KEYS = 100_000
+BROADCAST_KEYS = 10_000
+QUANTILES = 100
 BLOCK = "_block"
 
 
@@ -40,24 +41,31 @@ def as_number(column: str, dtype: T.DataType) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], number: Column, max_rows: int) -> DataFrame | None:
-    """Keys with more than ``max_rows`` rows and the width of their blocks; None when there are none.
+    """Keys with more than ``max_rows`` rows and how to cut them; None when there are none.
 
-    There are at most (rows / max_rows) of them. The result is cut from its lineage and marked for
-    broadcast only while its row count is small.
+    There are at most (rows / max_rows) such keys. Each gets up to ``QUANTILES`` bounds that split
+    its rows about evenly however its order values are spread, and the number of equal steps between
+    two bounds. The result is cut from its lineage, so that bounds never change under a retry, and
+    marked for broadcast only while its row count is small.
     """
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min(number).alias("_low"), F.max(number).alias("_high"))
-        .filter(F.col("_rows") > max_rows)
-        .withColumn("_blocks", F.ceil(F.col("_rows") / F.lit(max_rows)).cast("bigint"))
-        .withColumn("_width", F.greatest(
-            F.ceil((F.col("_high") - F.col("_low") + 1) / F.col("_blocks")).cast("bigint"), F.lit(1)))
-        .select(*keys, "_low", "_width", "_blocks")
-    )
-    if hot.isEmpty():
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > max_rows)
+    if counted.isEmpty():
         return None
-    hot = cut_lineage(hot)
-    return F.broadcast(hot) if hot.count() <= BROADCAST_KEYS else hot
+    counted = _small(cut_lineage(counted.withColumn("_blocks", F.ceil(F.col("_rows") / F.lit(max_rows)).cast("bigint"))))
+    fractions = F.lit([i / QUANTILES for i in range(1, QUANTILES)])
+    cuts = (
+        df.select(*keys, number.alias("_number")).join(counted, list(keys))
+        .groupBy(*keys).agg(
+            F.percentile_approx("_number", fractions, 10 * QUANTILES).alias("_bounds"), F.min("_number").alias("_low"),
+            F.max("_number").alias("_high"), F.max("_blocks").alias("_blocks"))
+        .select(*keys, F.array_distinct("_bounds").alias("_bounds"), "_low", "_high",
+                F.ceil(F.col("_blocks") / QUANTILES).alias("_steps"))
+    )
+    return _small(cut_lineage(cuts))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_KEYS else df
 
 
 def with_blocks(
@@ -73,9 +81,14 @@ def with_blocks(
     hot = hot_keys(df, keys, number, max_rows)
     if hot is None:
         return df.withColumn(BLOCK, F.lit(0).cast("bigint")), False
-    joined = df.join(hot, list(keys), "left")
-    block = F.coalesce(F.floor((number - F.col("_low")) / F.col("_width")).cast("bigint"), F.lit(0).cast("bigint"))
-    return joined.withColumn(BLOCK, block).drop("_low", "_width", "_blocks"), True
+    joined = df.join(hot, list(keys), "left").withColumn("_number", number)
+    joined = joined.withColumn("_range", F.size(F.filter("_bounds", lambda bound: bound < F.col("_number"))))
+    lower = F.coalesce(F.get("_bounds", F.col("_range") - 1), F.col("_low") - 1)
+    upper = F.coalesce(F.get("_bounds", F.col("_range")), F.col("_high"))
+    step = F.floor((F.col("_number") - lower - 1).cast("double") * F.col("_steps") / F.greatest(upper - lower, F.lit(1)))
+    block = F.col("_range") * F.col("_steps") + F.least(F.greatest(step, F.lit(0)), F.col("_steps") - 1)
+    blocked = joined.withColumn(BLOCK, F.coalesce(block.cast("bigint"), F.lit(0).cast("bigint")))
+    return blocked.drop("_bounds", "_low", "_high", "_steps", "_number", "_range"), True
 
 
 def _before(keys: Sequence[str], *order: Column | str):

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from recoflow.operators.merge import upsert
 from recoflow.session import cut_lineage
 
+MAX_PARTITION_VALUES = 1000
+
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     """Parquet table at a path, None when nothing has been written yet."""
@@ -21,6 +23,28 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
         raise
 
 
+def touched_partitions(stored: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of a table in the partitions a batch falls into.
+
+    Up to ``MAX_PARTITION_VALUES`` partition values become a filter that prunes folders before they
+    are read; for more of them the values stay distributed and a semi join takes over.
+    """
+    values = batch.select(*partition_by).distinct()
+    listed = values.limit(MAX_PARTITION_VALUES + 1).collect()
+    if len(listed) > MAX_PARTITION_VALUES:
+        return stored.join(values, list(partition_by), "left_semi")
+    condition = F.lit(False)
+    if len(partition_by) == 1:
+        condition = F.col(partition_by[0]).isin([row[0] for row in listed])
+    else:
+        for row in listed:
+            same = F.lit(True)
+            for name in partition_by:
+                same = same & (F.col(name) == F.lit(row[name]))
+            condition = condition | same
+    return stored.filter(condition)
+
+
 def upsert_table(
     path: str,
     incoming: DataFrame,
@@ -40,8 +64,7 @@ def upsert_table(
     stored = read_table(spark, path)
     merged = batch
     if stored is not None:
-        touched = batch.select(*partition_by).distinct()
-        current = stored.select(*batch.columns).join(touched, list(partition_by), "left_semi")
+        current = touched_partitions(stored, batch, partition_by).select(*batch.columns)
         merged = cut_lineage(upsert(current, batch, keys, order))
     elif order is not None:
         merged = upsert(batch.limit(0), batch, keys, order)

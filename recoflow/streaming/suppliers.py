@@ -12,7 +12,7 @@ from recoflow.operators import supplier
 from recoflow.operators.merge import newer_wins
 from recoflow.schemas import RAW_PAYLOAD_MESSAGE
 from recoflow.session import cut_lineage
-from recoflow.sources.sinks import read_table, upsert_table
+from recoflow.sources.sinks import read_table, touched_partitions, upsert_table
 
 KEYS = ["supplier_id", "erp_type", "source_record_id"]
 BUCKETS = 64
@@ -51,7 +51,7 @@ def supplier_sink(paths: SupplierPaths, buckets: int = BUCKETS) -> Callable[[Dat
         rows = rows.withColumn("bucket", F.pmod(F.xxhash64("supplier_id"), F.lit(buckets)).cast("int"))
         stored = read_table(spark, paths.records)
         if stored is not None:
-            stored = stored.join(rows.select("bucket").distinct(), "bucket", "left_semi")
+            stored = touched_partitions(stored, rows, ["bucket"])
         merged = newer_wins(rows, KEYS, "pulled_at", "arrival", F.current_timestamp(), stored)
         upsert_table(paths.records, merged, KEYS, ["bucket"])
         letters = supplier.dead_letters(parsed, F.current_timestamp()).withColumn(

@@ -157,3 +157,14 @@ def test_bounded_history(spark, max_rows):
         if len(mine) > 50:
             del mine[:10]
     assert got == {i for mine in history.values() for i in mine}
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_blocks_are_even_and_ordered_despite_outliers(spark, descending):
+    rows = [(1, 0)] + [(1, 10**15 + i * i) for i in range(1999)] + [(2, 5)]
+    df = spark.createDataFrame(rows, "k int, o bigint")
+    blocked, cut = skew.with_blocks(df, ["k"], "o", 50, descending)
+    got = sorted((r.o, r[skew.BLOCK]) for r in blocked.filter("k = 1").collect())
+    blocks = [block for _, block in (reversed(got) if descending else got)]
+    assert cut and blocks == sorted(blocks)
+    assert max(blocks.count(b) for b in set(blocks)) <= 100
