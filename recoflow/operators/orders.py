@@ -12,6 +12,7 @@ from recoflow.functions.text import capped_payload, is_blank
 from recoflow.operators.events import moment
 from recoflow.operators.merge import last_arrival
 from recoflow.schemas import ORDER_MESSAGE
+from recoflow.session import cut_lineage
 
 ORDER_COLUMNS = ["order_id", "user_id", "status", "amount_cny", "amount", "currency", "occurred_at", "seq"]
 MAX_EVENT_ID = 64
@@ -120,8 +121,15 @@ class OrderBatch:
     counts: DataFrame
 
 
-def order_etl(messages: DataFrame, etl_time: datetime, seen: DataFrame | None = None) -> OrderBatch:
-    """Decode, classify and split a batch of messages."""
+def order_etl(messages: DataFrame, etl_time: datetime, seen: DataFrame | None = None,
+              materialize: bool = False) -> OrderBatch:
+    """Decode, classify and split a batch of messages.
+
+    Set ``materialize`` when more than one of the results is used: the messages are then decoded and
+    classified once, in the shared checkpoint folder.
+    """
     classified = classify(decode_orders(messages), seen)
+    if materialize:
+        classified = cut_lineage(classified)
     orders = load_orders(warehouse_orders(classified)).withColumn("etl_time", moment(etl_time))
     return OrderBatch(orders, order_dead_letters(classified), new_marks(classified), outcome_counts(classified))

@@ -156,29 +156,35 @@ def _tag(category: str, value: Column, confidence: Column) -> list[Column]:
             confidence.cast("double").alias("confidence")]
 
 
-def _top_share(events: DataFrame, value: Column, n: int) -> DataFrame:
-    """The n most frequent values per user with their share of the user's events."""
-    counts = events.groupBy("user_id", value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+def _top_share(counts: DataFrame, n: int) -> DataFrame:
+    """The n most frequent values per user with their share of the user's events (user_id, value, n)."""
     share = F.col("n") / F.sum("n").over(Window.partitionBy("user_id"))
     ranking = Window.partitionBy("user_id").orderBy(F.desc("n"), F.asc("value"))
     return counts.withColumn("share", share).withColumn("r", F.row_number().over(ranking)).filter(F.col("r") <= n)
 
 
+def _per_item(events: DataFrame) -> DataFrame:
+    """Events per user and item: joins with the catalog see a popular item once per user."""
+    return events.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 def category_tags(events: DataFrame, catalog: DataFrame, n: int = 5) -> DataFrame:
     """Top categories by number of events."""
-    known = events.select("user_id", "item_id").join(catalog.select("item_id", "category"), "item_id")
-    return _top_share(known, F.col("category"), n).select(*_tag("category_pref", F.col("value"), F.col("share")))
+    counts = (
+        _per_item(events).join(catalog.select("item_id", "category"), "item_id")
+        .groupBy("user_id", F.col("category").alias("value")).agg(F.sum("n").alias("n"))
+    )
+    return _top_share(counts, n).select(*_tag("category_pref", F.col("value"), F.col("share")))
 
 
 def purchase_power_tags(events: DataFrame, catalog: DataFrame, low: float, high: float) -> DataFrame:
     """LOW / MEDIUM / HIGH by the mean price of purchased items."""
-    bought = events.filter(F.col("behavior_type") == "PURCHASE").select("user_id", "item_id")
-    mean = (
-        bought.join(catalog.select("item_id", "price"), "item_id").groupBy("user_id")
-        .agg((F.sum(F.col("price").cast("decimal(10,2)")) / F.count("price")).cast("double").alias("mean"))
-    )
+    bought = _per_item(events.filter(F.col("behavior_type") == "PURCHASE"))
+    priced = bought.join(catalog.select("item_id", "price"), "item_id").filter(F.col("price").isNotNull())
+    mean = priced.groupBy("user_id").agg(
+        (F.sum(F.col("price").cast("decimal(10,2)") * F.col("n")).cast("double") / F.sum("n")).alias("mean"))
     band = F.when(F.col("mean") < low, F.lit("LOW")).when(F.col("mean") > high, F.lit("HIGH")).otherwise(F.lit("MEDIUM"))
-    return mean.filter(F.col("mean").isNotNull()).select(*_tag("purchase_power", band, F.lit(1.0)))
+    return mean.select(*_tag("purchase_power", band, F.lit(1.0)))
 
 
 def pattern_tags(summary: DataFrame) -> DataFrame:
@@ -187,7 +193,8 @@ def pattern_tags(summary: DataFrame) -> DataFrame:
 
 def active_hour_tags(events: DataFrame, n: int = 3) -> DataFrame:
     """Busiest hours of the day."""
-    top = _top_share(events, F.hour("event_time"), n)
+    hours = events.groupBy("user_id", F.hour("event_time").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    top = _top_share(hours, n)
     return top.select(*_tag("active_hours", F.col("value").cast("string"), F.col("share")))
 
 

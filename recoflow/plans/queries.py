@@ -361,7 +361,7 @@ def ingest_summary(spark, d):
 
 @query
 def kv_dump_scan(spark, d):
-    return readers.key_value_dump(t.key_value_dump(spark, d), "user:*[02468]", max_keys=None)
+    return readers.key_value_dump(t.key_value_dump(spark, d), "user:*", max_keys=None)
 
 
 @query

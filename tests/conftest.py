@@ -14,9 +14,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("recoflow-tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"})
+        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
