@@ -79,6 +79,33 @@ def classify(orders: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     return marked.withColumn("outcome", outcome).withColumn("reason", reason).drop("_first", "_id")
 
 
+def first_events(orders: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """Distinct events with outcome, reason and number of ``copies``; bad events are kept one by one.
+
+    This is ``classify`` without the rows of the duplicates: one pass over the messages and one
+    shuffle, in which copies already collapse on the map side.
+    """
+    checked = orders.withColumn("reason", decode_error())
+    name = F.when(F.col("reason").isNull(), F.concat(F.lit("event:"), "event_id")).otherwise(
+        F.concat(F.lit("message:"), F.col("seq").cast("string")))
+    rest = [c for c in checked.columns if c != "topic"]
+    events = (
+        checked.withColumn("_name", name).groupBy("topic", "_name")
+        .agg(F.min_by(F.struct(*rest), F.col("seq")).alias("_row"), F.count(F.lit(1)).alias("copies"))
+        .select("topic", "_name", "_row.*", "copies")
+    )
+    known = F.lit(False)
+    if seen is not None:
+        marks = seen.select("topic", F.concat(F.lit("event:"), "event_id").alias("_name"), F.lit(True).alias("_known"))
+        events, known = events.join(marks.distinct(), ["topic", "_name"], "left"), F.col("_known").isNotNull()
+    bad = F.col("reason").isNotNull()
+    unsupported = ~bad & ~known & rate_to_cny(F.col("currency")).isNull()
+    outcome = (
+        F.when(bad | unsupported, F.lit("DEAD_LETTER")).when(known, F.lit("DUPLICATE")).otherwise(F.lit("PROCESSED")))
+    reason = F.when(unsupported, F.concat(F.lit("PERMANENT: unsupported currency "), "currency")).otherwise(F.col("reason"))
+    return events.withColumn("outcome", outcome).withColumn("reason", reason).drop("_name", "_known")
+
+
 def new_marks(classified: DataFrame) -> DataFrame:
     """Marks to remember: events that were first, whether loaded or refused for their currency."""
     marks = (F.col("outcome") == "PROCESSED") | F.startswith("reason", F.lit("PERMANENT"))
@@ -107,8 +134,15 @@ def order_dead_letters(classified: DataFrame) -> DataFrame:
     )
 
 
-def outcome_counts(classified: DataFrame) -> DataFrame:
-    return classified.groupBy("outcome").agg(F.count(F.lit(1)).alias("events"))
+def outcome_counts(firsts: DataFrame) -> DataFrame:
+    """Messages per outcome, from ``first_events``: later copies of an event are duplicates."""
+    later = F.when(F.col("outcome") != "DUPLICATE", F.col("copies") - 1).otherwise(F.col("copies"))
+    counts = firsts.agg(
+        F.count_if(F.col("outcome") == "PROCESSED").alias("PROCESSED"),
+        F.count_if(F.col("outcome") == "DEAD_LETTER").alias("DEAD_LETTER"),
+        F.coalesce(F.sum(later), F.lit(0)).alias("DUPLICATE"),
+    )
+    return counts.unpivot([], ["PROCESSED", "DEAD_LETTER", "DUPLICATE"], "outcome", "events").filter("events > 0")
 
 
 @dataclass(frozen=True)
@@ -123,13 +157,13 @@ class OrderBatch:
 
 def order_etl(messages: DataFrame, etl_time: datetime, seen: DataFrame | None = None,
               materialize: bool = False) -> OrderBatch:
-    """Decode, classify and split a batch of messages.
+    """Decode, de-duplicate and split a batch of messages.
 
-    Set ``materialize`` when more than one of the results is used: the messages are then decoded and
-    classified once, in the shared checkpoint folder.
+    Set ``materialize`` when more than one of the results is used: the distinct events are then
+    written once to the shared checkpoint folder.
     """
-    classified = classify(decode_orders(messages), seen)
+    firsts = first_events(decode_orders(messages), seen)
     if materialize:
-        classified = cut_lineage(classified)
-    orders = load_orders(warehouse_orders(classified)).withColumn("etl_time", moment(etl_time))
-    return OrderBatch(orders, order_dead_letters(classified), new_marks(classified), outcome_counts(classified))
+        firsts = cut_lineage(firsts)
+    orders = load_orders(warehouse_orders(firsts)).withColumn("etl_time", moment(etl_time))
+    return OrderBatch(orders, order_dead_letters(firsts), new_marks(firsts), outcome_counts(firsts))

@@ -14,6 +14,7 @@ RETRY_LIMIT = 5
 BATCH_SIZE = 50
 BACKOFF_BASE, BACKOFF_CAP = 30, 3600
 P99 = 0.99
+RANGE_BITS = [20, 10, 0]
 
 
 def is_due(now: datetime) -> Column:
@@ -89,25 +90,30 @@ def dedup_tasks(tasks: DataFrame, time_column: str, sequence: str) -> DataFrame:
 def order_statistic(values: DataFrame, column: str, fraction: float, alias: str) -> DataFrame:
     """Element at index floor(n · fraction) of all sorted values, as a one-row table.
 
-    Values are counted per distinct value, and distinct values per range of 1024; only range totals
-    (a few rows) are accumulated globally, then the one range that holds the element is resolved.
+    Values are counted per distinct value, then the element is narrowed down: to a range of 2^20
+    values, inside it to one of 2^10, inside that to the value. Only the totals of one level are
+    ever accumulated in order: at most 1024 rows, and 2^20 on the first level for values below 2^40.
     """
     counts = values.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("bigint").alias("value")).agg(
         F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("range", F.shiftright("value", 10))
-    ranges = counts.groupBy("range").agg(F.sum("n").alias("n"))
-    everything = Window.partitionBy(F.lit(0))
-    before = everything.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    located = (
-        ranges.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .withColumn("target", F.floor(F.sum("n").over(everything) * F.lit(fraction)).cast("bigint"))
-        .filter((F.col("before") <= F.col("target")) & (F.col("target") < F.col("before") + F.col("n")))
-        .select("range", "before", "target")
+    all_rows = Window.partitionBy(F.lit(0))
+    earlier = all_rows.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        counts.groupBy(F.shiftright("value", RANGE_BITS[0]).alias("range")).agg(F.sum("n").alias("n"))
+        .withColumn("base", F.lit(0)).withColumn("target", F.floor(F.sum("n").over(all_rows) * F.lit(fraction)).cast("bigint"))
     )
-    inside = counts.join(located, "range")
-    up_to = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    reached = inside.withColumn("reach", F.col("before") + F.sum("n").over(up_to))
-    return reached.filter(F.col("reach") > F.col("target")).agg(F.min("value").alias(alias))
+    for bits, next_bits in zip(RANGE_BITS, [*RANGE_BITS[1:], None]):
+        before = F.col("base") + F.coalesce(F.sum("n").over(earlier), F.lit(0))
+        found = (
+            totals.withColumn("before", before)
+            .filter((F.col("before") <= F.col("target")) & (F.col("target") < F.col("before") + F.col("n")))
+            .select("range", F.col("before").alias("base"), "target")
+        )
+        if next_bits is not None:
+            inside = counts.withColumn("range", F.shiftright("value", bits)).join(found, "range").drop("range")
+            totals = inside.groupBy(F.shiftright("value", next_bits).alias("range"), "base", "target").agg(
+                F.sum("n").alias("n"))
+    return found.agg(F.max("range").alias(alias))
 
 
 def pull_report(audit: DataFrame, duration_ms: int) -> DataFrame:

@@ -546,6 +546,7 @@ SQL = {
     "order_dlq": """
         SELECT seq, 'etl.order.events' AS original_topic, error_reason FROM order_fates WHERE outcome = 'DEAD_LETTER'""",
     "order_outcomes": "SELECT outcome, count(*) AS events FROM order_fates GROUP BY 1",
+    "order_classification": "SELECT seq, event_id, outcome FROM order_fates",
     "payment_first_create": """
         WITH f AS (SELECT *, first_value(idempotency_key) OVER (PARTITION BY order_no ORDER BY seq) AS first_key,
             row_number() OVER (PARTITION BY order_no ORDER BY seq) AS n FROM payment_requests)

@@ -486,10 +486,6 @@ def recent_audits_per_supplier(spark, d):
 
 # Orders.
 
-def _classified(spark, d):
-    return orders.classify(orders.decode_orders(t.order_messages(spark, d)))
-
-
 @query
 def order_etl(spark, d):
     loaded = orders.order_etl(t.order_messages(spark, d), NOW).orders
@@ -499,12 +495,19 @@ def order_etl(spark, d):
 
 @query
 def order_dlq(spark, d):
-    return orders.order_dead_letters(_classified(spark, d)).select("seq", "original_topic", "error_reason")
+    letters = orders.order_etl(t.order_messages(spark, d), NOW).dead_letters
+    return letters.select("seq", "original_topic", "error_reason")
 
 
 @query
 def order_outcomes(spark, d):
-    return orders.outcome_counts(_classified(spark, d))
+    return orders.order_etl(t.order_messages(spark, d), NOW).counts
+
+
+@query
+def order_classification(spark, d):
+    """Outcome of every single message."""
+    return orders.classify(orders.decode_orders(t.order_messages(spark, d))).select("seq", "event_id", "outcome")
 
 
 # Ledgers and audits.

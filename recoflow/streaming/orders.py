@@ -40,15 +40,15 @@ def order_sink(paths: OrderPaths, buckets: int = BUCKETS) -> Callable[[DataFrame
         decoded = orders.decode_orders(batch)
         marks = read_table(spark, paths.marks)
         seen = None if marks is None else marks.filter(F.col("batch_id") != batch_id)
-        classified = cut_lineage(orders.classify(decoded, seen))
+        firsts = cut_lineage(orders.first_events(decoded, seen))
         now = F.lit(datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
-        loaded = orders.load_orders(orders.warehouse_orders(classified)).withColumn("etl_time", now)
+        loaded = orders.load_orders(orders.warehouse_orders(firsts)).withColumn("etl_time", now)
         upsert_table(paths.orders, _bucketed(loaded, "order_id", buckets=buckets), ["order_id"], ["bucket"])
-        letters = orders.order_dead_letters(classified).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        letters = orders.order_dead_letters(firsts).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         if not letters.isEmpty():
             letters.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(
                 paths.dead_letters)
-        fresh = orders.new_marks(classified).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        fresh = orders.new_marks(firsts).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         if not fresh.isEmpty():
             fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(
                 paths.marks)

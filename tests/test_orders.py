@@ -26,6 +26,18 @@ def outcomes(spark, *messages):
     return [(r.outcome, r.reason) for r in rows]
 
 
+def test_distinct_events_tell_the_same_as_all_rows(spark):
+    rows = [message(1), message(2), (3, "t", "junk"), (4, "t", "junk"), message(5, "e2", currency="GBP"),
+            message(6, "e2", currency="GBP"), message(7, "old"), message(8, "old"), message(9, "e3")]
+    seen = spark.createDataFrame([("t", "old")], "topic string, event_id string")
+    decoded = orders.decode_orders(batch(spark, *rows))
+    every = orders.classify(decoded, seen).groupBy("outcome").count().collect()
+    firsts = orders.first_events(decoded, seen)
+    assert sorted(map(tuple, every)) == sorted(map(tuple, orders.outcome_counts(firsts).collect()))
+    assert {r.seq for r in orders.order_dead_letters(firsts).collect()} == {3, 4, 5}
+    assert {r.event_id for r in orders.new_marks(firsts).collect()} == {"e1", "e2", "e3"}
+
+
 def test_five_copies_are_loaded_once(spark):
     copies = [message(i, event={"value": "evt-1"}) for i in range(5)]
     assert [o for o, _ in outcomes(spark, *copies)] == ["PROCESSED"] + ["DUPLICATE"] * 4
