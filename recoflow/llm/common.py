@@ -135,6 +135,30 @@ def struct_lists(column: pa.ListArray) -> list[list[tuple]]:
     return [[] if null[i] else values[offsets[i]:offsets[i + 1]] for i in range(len(column))]
 
 
+def labelled_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
+    """``doc_id`` and ``column`` of at most ``rows`` labelled documents, the first by a hash of the id; small enough to broadcast."""
+    return (labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull()).groupBy("doc_id").agg(F.max(column).cast("int").alias("label"))
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
+    """Weights (the last one the constant) of a ridge logistic regression by Newton steps; a missing class gives a constant."""
+    x = np.column_stack([x, np.ones(len(x))])
+    w = np.zeros(x.shape[1])
+    if len(y) == 0 or y.min() == y.max():
+        w[-1] = 0.0 if len(y) == 0 else 4.0 * (2 * y[0] - 1)
+        return w
+    penalty = np.diag([ridge * len(y)] * (x.shape[1] - 1) + [1e-9])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
+        gradient = x.T @ (p - y) + penalty @ w
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(len(w)), gradient)
+        w = w - np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-9:
+            break
+    return w
+
+
 def pairs_once(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.select(F.least(a, b).alias(a), F.greatest(a, b).alias(b)).where(F.col(a) != F.col(b)).distinct()
 

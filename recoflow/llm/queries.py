@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recoflow.llm import near_dup, packing, substring_dedup
+from recoflow.llm import decontamination, importance, near_dup, packing, substring_dedup, toxicity
 from recoflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +33,22 @@ def op6_minhash_near_dedup(spark, d):
 @query
 def op8_best_fit_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op7_toxicity(spark, d):
+    docs = table(spark, d, "documents")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3))
+    training = table(spark, d, "labels").where(fold != 1).select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.toxicity_scores(docs, training).select(
+        "doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op9_importance_resampling(spark, d):
+    return importance.sample_by_importance(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query
+def op10_qgram_decontamination(spark, d):
+    return decontamination.matches(table(spark, d, "documents"), table(spark, d, "benchmark"))
