@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recoflow.llm import decontamination, importance, near_dup, packing, substring_dedup, toxicity
+from recoflow.llm import decontamination, html_template, importance, kd_search, licenses, near_dup, packing, substring_dedup, tool_calls, toxicity
 from recoflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {"op2_kd_tree_search": kd_search.ORACLE, "op4_license_digest": licenses.oracle()}
 
 
 def query(function: Query) -> Query:
@@ -19,6 +20,27 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_tool_calls(spark, d):
+    return tool_calls.link(*tool_calls.derived_calls(table(spark, d, "conversations")))
+
+
+@query
+def op2_kd_tree_search(spark, d):
+    return kd_search.top_k(table(spark, d, "embeddings"))
+
+
+@query
+def op3_html_template(spark, d):
+    return html_template.extract(table(spark, d, "pages")).select(
+        F.col("rest.page_id").alias("page_id"), F.col("rest.url").alias("url"), "text", "n_chars")
+
+
+@query
+def op4_license_digest(spark, d):
+    return licenses.scan(table(spark, d, "documents"))
+
+
 @query
 def op5_substring_dedup(spark, d):
     return substring_dedup.remove_repeats(table(spark, d, "documents")).select(
