@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
 from recoflow.llm.common import cut
@@ -195,5 +195,5 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPAC
     tasks = max(1, -(-parts.count() // per_task))
     dealt = (parts.repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32"))
              .sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32"))
-    schema = parts.schema.add("sequence_id", "long").add("offset", "long")
+    schema = T.StructType([*parts.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     return dealt.mapInArrow(lambda it: packed_rows(it, capacity, open_bins), schema)

@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from recoflow.llm.common import cut
 
@@ -135,7 +135,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> DataF
                                               F.when(F.col("level").isNull(), F.lit("reference cycle"))))
             .select("conv_id", "turn", "call_id", "name", "arguments", "errors", "level",
                     F.coalesce("n_results", F.lit(0)).alias("n_results"), "result"))
-    return rows.mapInArrow(written_rows, rows.schema.add("json", "string"))
+    return rows.mapInArrow(written_rows, T.StructType([*rows.schema.fields, T.StructField("json", T.StringType())]))
 
 
 def derived_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
