@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from recoflow.llm.common import cut, fit_logistic
 
-SAMPLE_ROWS, LEXICON_TERMS, LEAST_SHARE, LEAST_EVIDENCE = 20_000, 4096, 0.8, 14.0
+SAMPLE_ROWS, LEXICON_TERMS, LEAST_SHARE, LEAST_EVIDENCE = 20_000, 4096, 0.8, 12.0
 PREFIXES = (5, 6, 7)
 WINDOW = 6
 WORD = re.compile(r"[^\W\d_]+(?:[0-9@$!*]+[^\W\d_]+)*")
@@ -33,42 +33,40 @@ def edits_allowed(term: str) -> int:
 
 @dataclass
 class Lexicon:
-    """A trie of terms. ``prefixes`` are terms that words may go on from; ``known`` are ordinary words near a term."""
+    """Tries of terms. ``prefixes`` are terms that words may go on from; ``known`` are ordinary words near a term."""
 
     terms: dict[str, float]
     prefixes: dict[str, float]
     known: set[str] = field(default_factory=set)
 
     def __post_init__(self):
-        self.trie: dict = {}
-        self.heads, self.tails = set(), set()
+        # One edit leaves the first or the last half of a term untouched, so there is a trie for the terms of each half
+        # (and size of word), and a word is run through those of its own halves only.
+        self.tries: dict[tuple[bool, str, int], dict] = {}
         for term in self.terms:
-            node = self.trie
-            for letter in term:
-                node = node.setdefault(letter, {})
-            node[""] = term
             if edits_allowed(term):
-                # One edit leaves the first or the last half untouched, so other words need not be run through the trie.
+                half = len(term) // 2
                 for size in range(len(term) - 1, len(term) + 2):
-                    self.heads.add((term[:len(term) // 2], size))
-                    self.tails.add((term[-(len(term) // 2):], size))
-        self.sizes = sorted({len(x) for x, _ in self.heads | self.tails})
+                    for key in ((True, term[:half], size), (False, term[-half:], size)):
+                        node = self.tries.setdefault(key, {})
+                        for letter in term:
+                            node = node.setdefault(letter, {})
+                        node[""] = term
+        self.sizes = sorted({len(half) for _, half, _ in self.tries})
         self.longest = max(map(len, self.terms), default=0)
         self.cache: dict[str, tuple[float, bool]] = {}
 
-    def may_match(self, word: str) -> bool:
-        """False only if no term is one edit away."""
-        return any((word[:n], len(word)) in self.heads or (word[-n:], len(word)) in self.tails for n in self.sizes)
-
     def nearest(self, word: str) -> tuple[str, int] | None:
         """The term with the fewest edits: the automaton's states (one row of edits per trie node) follow the trie."""
         best: tuple[int, str] | None = None
-        stack = [(self.trie, list(range(len(word) + 1)))]
+        size = len(word)
+        tries = [t for n in self.sizes for t in (self.tries.get((True, word[:n], size)), self.tries.get((False, word[-n:], size))) if t]
+        stack = [(trie, list(range(size + 1))) for trie in tries]
         while stack:
             node, row = stack.pop()
             for letter, child in node.items():
                 if letter == "":
-                    if row[-1] <= edits_allowed(child) and (best is None or (row[-1], child) < best):
+                    if row[-1] <= 1 and (best is None or (row[-1], child) < best):
                         best = (row[-1], child)
                     continue
                 new = [row[0] + 1]
@@ -95,7 +93,7 @@ class Lexicon:
         plain = word.translate(LEET)
         if plain != word and plain in self.terms:
             return self.terms[plain], True
-        if word not in self.known and 4 <= len(plain) <= self.longest + 1 and self.may_match(plain):
+        if word not in self.known and 4 <= len(plain) <= self.longest + 1:
             near = self.nearest(plain)
             if near:
                 return self.terms[near[0]] * 0.8 ** near[1], True
@@ -164,11 +162,15 @@ def learn(texts: DataFrame, lexicon_terms: int = LEXICON_TERMS) -> tuple[Lexicon
     evidence = F.col("toxic") * F.log(share / base) + F.col("clean") * F.log((1 - share) / (1 - base))
     strong = (counts.where((share >= LEAST_SHARE) & (evidence >= LEAST_EVIDENCE))
               .withColumn("strength", share * F.log1p(F.col("toxic").cast("double"))))
-    parts = []
-    for star in (False, True):
-        rows = (strong.where(F.col("term").endswith("*") == star).orderBy(F.desc("strength"), "term").limit(lexicon_terms)).collect()
-        parts.append({r["term"].rstrip("*"): float(r["strength"]) for r in rows})
-    lexicon = Lexicon(*parts)
+    words, stems = ({r["term"].rstrip("*"): r for r in strong.where(F.col("term").endswith("*") == star)
+                     .orderBy(F.desc("strength"), "term").limit(lexicon_terms).collect()} for star in (False, True))
+    # A prefix counts as one only if it has clearly more texts than any single word with it.
+    most: dict[str, int] = {}
+    for word, row in words.items():
+        for n in PREFIXES:
+            most[word[:n]] = max(most.get(word[:n], 0), row["toxic"])
+    prefixes = {p: float(r["strength"]) for p, r in stems.items() if r["toxic"] >= 1.5 * most.get(p, 0)}
+    lexicon = Lexicon({w: float(r["strength"]) for w, r in words.items() if not any(w[:n] in prefixes for n in PREFIXES)}, prefixes)
     shared = spark.sparkContext.broadcast(lexicon)
     ordinary = counts.where((F.col("clean") > 0) & ~F.col("term").endswith("*")).select("term")
     lexicon.known = {r[0] for r in ordinary.mapInArrow(lambda it: near_rows(it, shared.value), "term string").limit(SAMPLE_ROWS).collect()}
