@@ -109,7 +109,7 @@ def templates(pages: DataFrame, least_support: float = LEAST_SUPPORT, least_clas
 
     A token's occurrence vector over the host's pages enters as two sums of hashes of (page, times), so equal sums
     mean equal vectors and the vectors need no shuffle; sums are taken per task first. A class is valid if its tokens
-    occur in ``least_support`` of the host's pages, it has ``least_class`` tokens or more, and it nests: a token stays
+    occur in ``least_support`` of the host's pages and in two at least, it has ``least_class`` tokens or more, and it nests: a token stays
     only if the token around it is in a valid class, too.
     """
     rows = pages.select("host", "html", "page").mapInArrow(occurrence_rows, "host string, page long, token long, times long, outer long")
@@ -117,7 +117,7 @@ def templates(pages: DataFrame, least_support: float = LEAST_SUPPORT, least_clas
     vectors = rows.groupBy("host", "token").agg(
         F.count("*").alias("pages"), way(1).alias("a"), way(2).alias("b"), F.min("outer").alias("outer"))
     size = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
-    frequent = vectors.join(size, "host").where(F.col("pages") >= F.col("host_pages") * least_support)
+    frequent = vectors.join(size, "host").where((F.col("pages") > 1) & (F.col("pages") >= F.col("host_pages") * least_support))
     classes = (frequent.groupBy("host", "a", "b").agg(F.collect_list(F.struct("token", "outer")).alias("tokens"))
                .where(F.size("tokens") >= least_class))
     valid = classes.select("host", F.explode("tokens").alias("t")).groupBy("host").agg(

@@ -61,8 +61,8 @@ def weight_rows(batches: Iterator[pa.RecordBatch], ratio: np.ndarray) -> Iterato
         for first, after, data, bounds in text_chunks(batch.column(1).to_pylist()):
             bucket, owner = gram_buckets(data, bounds, len(ratio))
             value = ratio[bucket]
-            total.append(np.bincount(owner, value, minlength=after - first))
-            low.append(np.bincount(owner, value < -0.5, minlength=after - first))
+            total.append(np.bincount(owner, value, minlength=after - first).astype(float))
+            low.append(np.bincount(owner, value < -0.5, minlength=after - first).astype(float))
             grams.append(np.bincount(owner, minlength=after - first))
         empty = np.zeros(0)
         yield pa.RecordBatch.from_arrays([
