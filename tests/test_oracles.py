@@ -4,11 +4,12 @@ import duckdb
 import pandas as pd
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from recoflow.plans.oracles import ORACLES
+from recoflow.plans.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-QUERIES, ORACLES = queries(), oracle_sql()
 ROWS_ONLY = {"als_recall"}
 
 
