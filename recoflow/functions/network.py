@@ -1,4 +1,4 @@
-"""IPv4 predicates for target checks. Addresses are columns; names are never resolved here."""
+"""Address predicates for target checks, refusing what they cannot read. Addresses are columns; names are never resolved here."""
 
 from __future__ import annotations
 
@@ -13,8 +13,9 @@ NON_PUBLIC_BLOCKS = ["0.0.0.0/32", "127.0.0.0/8", "169.254.0.0/16", "10.0.0.0/8"
 
 
 def ipv4_number(address: Column) -> Column:
-    """Dotted address as a number; null for anything else."""
-    parts = F.split(F.when(address.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), address), r"\.")
+    """Dotted address as a number; null for anything else, parts above 255 included."""
+    octet = r"(25[0-5]|2[0-4]\d|1?\d?\d)"
+    parts = F.split(F.when(address.rlike(rf"^{octet}(\.{octet}){{3}}$"), address), r"\.")
     number = F.lit(0).cast("bigint")
     for index in range(4):
         number = number * 256 + F.get(parts, F.lit(index)).cast("bigint")
@@ -30,8 +31,14 @@ def in_block(address: Column, cidr: str) -> Column:
     return F.coalesce(ipv4_number(address).between(low, high), F.lit(False))
 
 
+def is_public_ipv6(address: Column) -> Column:
+    """Global unicast (2000::/3) in plain notation. Loopback, local, multicast, mapped and compatible forms begin otherwise."""
+    return F.coalesce(F.lower(address).rlike(r"^[23][0-9a-f]{3}(:[0-9a-f]{0,4}){2,7}$"), F.lit(False))
+
+
 def is_public(address: Column) -> Column:
-    result = F.lit(True)
+    """True only for addresses that can be read and lie in no block that is not public; null is not public."""
+    result = ipv4_number(address).isNotNull()
     for block in NON_PUBLIC_BLOCKS:
         result = result & ~in_block(address, block)
-    return result
+    return result | is_public_ipv6(address)

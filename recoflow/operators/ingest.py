@@ -302,7 +302,7 @@ def ingest(
         if not sequence:
             raise ValueError("UPSERT needs the columns that order the input")
         df = df.withColumn(order, _arrival(df, active, sequence))
-    if not active.is_custom and active.max_rows is not None:
+    if not active.is_custom:
         df = _sorted(df, active, sequence)
     if active.max_rows is not None:
         df = df.limit(active.max_rows)

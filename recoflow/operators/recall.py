@@ -79,9 +79,11 @@ def for_users(recall: DataFrame, version: str, users: DataFrame) -> DataFrame:
 
 
 def by_category(catalog: DataFrame, category: str, low: object = None, high: object = None) -> DataFrame:
-    """Items of a category, optionally within a price range (both ends included)."""
+    """Items of a category, optionally within a price range (both ends included, either may be open)."""
     rows = catalog.filter(F.col("category") == category)
-    return rows if low is None else rows.filter(F.col("price").between(F.lit(low), F.lit(high)))
+    if low is not None:
+        rows = rows.filter(F.col("price") >= F.lit(low))
+    return rows if high is None else rows.filter(F.col("price") <= F.lit(high))
 
 
 def switch_version(registry: DataFrame, releases: DataFrame, status: str = "ACTIVE") -> DataFrame:
