@@ -83,6 +83,18 @@ def _round(value: Column, scale: int) -> Column:
     return F.round(to_number(value), scale).cast(NUMBER)
 
 
+def _replace_null(value: Column, argument: str, kind: T.DataType | None) -> Column:
+    """A number column stays one where the argument is such a number; any other column becomes text."""
+    try:
+        number = Decimal(argument.strip()) if isinstance(kind, T.NumericType) else None
+    except InvalidOperation:
+        number = None
+    fits = number is not None and (not isinstance(kind, T.IntegralType) or number == number.to_integral_value())
+    if not fits:
+        return F.coalesce(_as_text(value), F.lit(argument))
+    return F.coalesce(value, F.lit(_plain(number)).try_cast(kind))
+
+
 def _as_text(value: Column) -> Column:
     return value.cast("string")
 
@@ -97,8 +109,10 @@ class Transform:
     build: Callable[[Column, object], Column]
     parse: Callable[[str | None, str], object] = lambda argument, code: None
 
-    def apply(self, value: Column, argument: str | None) -> Column:
-        return self.build(value, self.parse(argument, self.code))
+    def apply(self, value: Column, argument: str | None, kind: T.DataType | None = None) -> Column:
+        """The transformed column; ``kind`` is its type, where known."""
+        parsed = self.parse(argument, self.code)
+        return _replace_null(value, parsed, kind) if self.code == "REPLACE_NULL" else self.build(value, parsed)
 
 
 REGISTRY: dict[str, Transform] = {

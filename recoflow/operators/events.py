@@ -65,6 +65,8 @@ def expired(events: DataFrame, now: datetime, valid_hours: int) -> DataFrame:
 def _gap_step(gap_us: int):
     def step(state: list[int], inputs: tuple) -> tuple[list[int], int]:
         (at,) = inputs
+        if at is None:
+            return state, 0
         if state and state[0] > at - gap_us:
             return state, 0
         return [at], 1
@@ -81,7 +83,7 @@ def dedup_within_gap(
     """Drop an event when a *kept* event of the same key lies less than ``gap`` before it.
 
     Whether an event stays depends on which earlier ones stayed, so this is a fold in time order,
-    with event_id as the tie breaker.
+    with event_id as the tie breaker. Events without a time are dropped; ``reject_reason`` names them.
     """
     at = as_number("event_time", events.schema["event_time"].dataType)
     fold = Fold(_gap_step(int(gap.total_seconds() * 1_000_000)), [at], F.array().cast("array<bigint>"))

@@ -14,7 +14,7 @@ from recoflow.functions.codes import FILTER_OPERATOR_ALIASES, WRITE_MODE_ALIASES
 from recoflow.operators.merge import dedup_last
 
 # Limits and words of a request.
-DEFAULT_MAX_ROWS, MAX_ROWS_LIMIT = 1000, 50_000
+MAX_ROWS_LIMIT = 50_000
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_$.]*")
 TARGET_NAME = re.compile(r"[A-Za-z0-9_.-]+")
 FORBIDDEN_WORDS = ["INSERT", "UPDATE", "DELETE", "DROP", "ALTER", "TRUNCATE", "CREATE", "GRANT", "REVOKE"]
@@ -153,7 +153,7 @@ class IngestionRequest:
     target: Target = field(default_factory=Target)
     sort_field: str | None = None
     sort_direction: str | None = "DESC"
-    max_rows: int | None = DEFAULT_MAX_ROWS
+    max_rows: int | None = None
 
     def __post_init__(self):
         for attribute in ("source_table", "query", "sort_field"):
@@ -268,7 +268,8 @@ def transform_chain(df: DataFrame, rules: Sequence[TransformRule], mappings: Seq
             continue
         name = rule.field if rule.field in df.columns else targets.get(rule.field, rule.field)
         value = F.col(name) if name in df.columns else F.lit(None).cast("string")
-        df = df.withColumn(rule.target, transforms.find(rule.type).apply(value, rule.argument))
+        kind = df.schema[name].dataType if name in df.columns else None
+        df = df.withColumn(rule.target, transforms.find(rule.type).apply(value, rule.argument, kind))
     return df
 
 

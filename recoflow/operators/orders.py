@@ -15,6 +15,8 @@ from recoflow.schemas import ORDER_MESSAGE
 from recoflow.session import cut_lineage
 
 ORDER_COLUMNS = ["order_id", "user_id", "status", "amount_cny", "amount", "currency", "occurred_at", "seq"]
+#: What tells messages of a topic apart, in the order of arrival.
+ARRIVAL = ["arrived", "partition", "seq"]
 MAX_EVENT_ID = 64
 DEAD_LETTER_BYTES = 4096
 
@@ -22,6 +24,9 @@ DEAD_LETTER_BYTES = 4096
 def decode_orders(messages: DataFrame) -> DataFrame:
     """Read order messages (columns seq, topic, value) and keep the text.
 
+    ``seq`` is the offset, which repeats in every ``partition`` (0 where there is no such column). Messages
+    arrive in the order of ``timestamp`` (where there is one), partition and offset.
+
     The event id may be plain text or an object with a ``value``. A time is a number of epoch
     seconds or ISO text.
     """
@@ -30,8 +35,11 @@ def decode_orders(messages: DataFrame) -> DataFrame:
     at = F.col("m.occurredAt")
     seconds = F.when(at.rlike(r"^[0-9]+([.][0-9]+)?(E[0-9]+)?$"), at.try_cast("decimal(20,6)"))
     when = F.coalesce(F.timestamp_micros((seconds * 1_000_000).cast("bigint")), F.try_to_timestamp(at))
+    place = [F.col("partition").cast("int") if "partition" in messages.columns else F.lit(0).alias("partition"),
+             F.col("timestamp").cast("timestamp").alias("arrived") if "timestamp" in messages.columns
+             else F.lit(None).cast("timestamp").alias("arrived")]
     return messages.withColumn("m", m).select(
-        "seq", "topic", F.col("value").cast("string").alias("payload"),
+        "seq", *place, "topic", F.col("value").cast("string").alias("payload"),
         F.when(F.col("m.eventId").startswith("{"), wrapped).otherwise(F.col("m.eventId")).alias("event_id"),
         F.col("m.orderId").alias("order_id"), F.col("m.userId").alias("user_id"), F.col("m.status").alias("status"),
         F.col("m.amount").alias("amount"), F.col("m.currency").alias("currency"),
@@ -57,18 +65,22 @@ def classify(orders: DataFrame, seen: DataFrame | None = None) -> DataFrame:
 
     The first good event of a (topic, event_id) holds its mark for ever, even when its currency is
     unknown; ``seen`` holds the marks of earlier batches. First events are found by an aggregate and
-    joined back on id *and* sequence, so copies of one event do not meet in one task.
+    joined back on id *and* arrival, so copies of one event do not meet in one task. A null topic is a topic.
     """
     # Decoding is costly, so nothing here may be pushed down into it: bad events are left out inside
     # the aggregate instead of by a filter, and the join key is never null, which would add one.
-    keys = ["topic", "_id", "seq"]
-    checked = orders.withColumn("reason", decode_error()).withColumn("_id", F.coalesce("event_id", F.lit("")))
+    # Structs compare null fields as equal.
+    keys = ["_mark", "_at"]
+    checked = (
+        orders.withColumn("reason", decode_error()).withColumn("_at", F.struct(*ARRIVAL))
+        .withColumn("_mark", F.struct("topic", F.coalesce("event_id", F.lit("")).alias("event_id")))
+    )
     firsts = (
-        checked.groupBy("topic", "_id").agg(F.min(F.when(F.col("reason").isNull(), F.col("seq"))).alias("seq"))
-        .filter(F.col("seq").isNotNull()).withColumn("_first", F.lit(True))
+        checked.groupBy("_mark").agg(F.min(F.when(F.col("reason").isNull(), F.col("_at"))).alias("_at"))
+        .filter(F.col("_at").isNotNull()).withColumn("_first", F.lit(True))
     )
     if seen is not None:
-        firsts = firsts.join(seen.select("topic", F.col("event_id").alias("_id")), ["topic", "_id"], "left_anti")
+        firsts = firsts.join(seen.select(F.struct("topic", "event_id").alias("_mark")), "_mark", "left_anti")
     marked = checked.join(firsts, keys, "left")
     good, first = F.col("reason").isNull(), F.col("_first").isNotNull()
     unsupported = good & first & rate_to_cny(F.col("currency")).isNull()
@@ -76,7 +88,7 @@ def classify(orders: DataFrame, seen: DataFrame | None = None) -> DataFrame:
         F.when(~good | unsupported, F.lit("DEAD_LETTER")).when(first, F.lit("PROCESSED")).otherwise(F.lit("DUPLICATE"))
     )
     reason = F.when(unsupported, F.concat(F.lit("PERMANENT: unsupported currency "), "currency")).otherwise(F.col("reason"))
-    return marked.withColumn("outcome", outcome).withColumn("reason", reason).drop("_first", "_id")
+    return marked.withColumn("outcome", outcome).withColumn("reason", reason).drop("_first", *keys)
 
 
 def first_events(orders: DataFrame, seen: DataFrame | None = None) -> DataFrame:
@@ -87,23 +99,24 @@ def first_events(orders: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """
     checked = orders.withColumn("reason", decode_error())
     name = F.when(F.col("reason").isNull(), F.concat(F.lit("event:"), "event_id")).otherwise(
-        F.concat(F.lit("message:"), F.col("seq").cast("string")))
+        F.concat_ws(":", F.lit("message"), F.col("partition"), F.col("seq")))
     rest = [c for c in checked.columns if c != "topic"]
     events = (
         checked.withColumn("_name", name).groupBy("topic", "_name")
-        .agg(F.min_by(F.struct(*rest), F.col("seq")).alias("_row"), F.count(F.lit(1)).alias("copies"))
-        .select("topic", "_name", "_row.*", "copies")
+        .agg(F.min_by(F.struct(*rest), F.struct(*ARRIVAL)).alias("_row"), F.count(F.lit(1)).alias("copies"))
+        .select("topic", F.struct("topic", "_name").alias("_mark"), "_row.*", "copies")
     )
     known = F.lit(False)
     if seen is not None:
-        marks = seen.select("topic", F.concat(F.lit("event:"), "event_id").alias("_name"), F.lit(True).alias("_known"))
-        events, known = events.join(marks.distinct(), ["topic", "_name"], "left"), F.col("_known").isNotNull()
+        name = F.concat(F.lit("event:"), "event_id").alias("_name")
+        marks = seen.select(F.struct("topic", name).alias("_mark"), F.lit(True).alias("_known"))
+        events, known = events.join(marks.distinct(), "_mark", "left"), F.col("_known").isNotNull()
     bad = F.col("reason").isNotNull()
     unsupported = ~bad & ~known & rate_to_cny(F.col("currency")).isNull()
     outcome = (
         F.when(bad | unsupported, F.lit("DEAD_LETTER")).when(known, F.lit("DUPLICATE")).otherwise(F.lit("PROCESSED")))
     reason = F.when(unsupported, F.concat(F.lit("PERMANENT: unsupported currency "), "currency")).otherwise(F.col("reason"))
-    return events.withColumn("outcome", outcome).withColumn("reason", reason).drop("_name", "_known")
+    return events.withColumn("outcome", outcome).withColumn("reason", reason).drop("_mark", "_known")
 
 
 def new_marks(classified: DataFrame) -> DataFrame:
@@ -117,20 +130,20 @@ def warehouse_orders(classified: DataFrame) -> DataFrame:
     return (
         classified.filter(F.col("outcome") == "PROCESSED")
         .withColumn("amount_cny", amount_in_cny(F.col("amount"), F.col("currency")))
-        .select(*ORDER_COLUMNS)
+        .select(*ORDER_COLUMNS, F.struct(*ARRIVAL).alias("arrival"))
     )
 
 
 def load_orders(warehouse: DataFrame) -> DataFrame:
     """State of each order: the last arrival, whatever its event time."""
-    return last_arrival(warehouse, ["order_id"], "seq")
+    return last_arrival(warehouse, ["order_id"], "arrival").drop("arrival")
 
 
 def order_dead_letters(classified: DataFrame) -> DataFrame:
-    """Dead letters: payload cut to 4096 bytes, original topic and reason (message headers)."""
+    """Dead letters: payload (whole, and a snippet of 4096 bytes), original topic and reason (message headers)."""
     return classified.filter(F.col("outcome") == "DEAD_LETTER").select(
-        "seq", F.coalesce("topic", F.lit("")).alias("original_topic"), F.col("reason").alias("error_reason"),
-        capped_payload(F.col("payload"), DEAD_LETTER_BYTES).alias("payload"),
+        "seq", "partition", F.coalesce("topic", F.lit("")).alias("original_topic"), F.col("reason").alias("error_reason"),
+        capped_payload(F.col("payload"), DEAD_LETTER_BYTES).alias("payload"), F.col("payload").alias("full_payload"),
     )
 
 

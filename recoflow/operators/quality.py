@@ -109,6 +109,8 @@ def target_verdict(
 def _cap_step(limit: int, window_us: int):
     def step(state: list[int], inputs: tuple) -> tuple[list[int], int]:
         (at,) = inputs
+        if at is None:
+            return state, 0
         kept = [t for t in state if t >= at - window_us]
         return (kept, 0) if len(kept) >= limit else (kept + [at], 1)
 
@@ -129,7 +131,7 @@ def request_cap(
     Only accepted requests count, so this is a fold in time order; its state is the at most
     ``limit`` accepted times. Caps on different keys are independent of each other here, whereas an
     online guard that checks several keys in turn also charges the earlier ones for requests that a
-    later one refuses.
+    later one refuses. Requests without a time are refused and not counted.
     """
     at = as_number(time_column, requests.schema[time_column].dataType)
     fold = Fold(_cap_step(limit, int(window.total_seconds() * 1_000_000)), [at], F.array().cast("array<bigint>"))

@@ -16,7 +16,7 @@ from recoflow.session import cut_lineage
 MAX_ROWS_PER_KEY = 1_000_000
 BROADCAST_KEYS = 10_000
 QUANTILES = 100
-BLOCK = "_block"
+BLOCK, LAST_BLOCK = "_block", 1 << 62
 
 
 def pick_row(df: DataFrame, keys: Sequence[str], order: Column, newest: bool = True) -> DataFrame:
@@ -87,7 +87,10 @@ def with_blocks(
     upper = F.coalesce(F.get("_bounds", F.col("_range")), F.col("_high"))
     step = F.floor((F.col("_number") - lower - 1).cast("double") * F.col("_steps") / F.greatest(upper - lower, F.lit(1)))
     block = F.col("_range") * F.col("_steps") + F.least(F.greatest(step, F.lit(0)), F.col("_steps") - 1)
-    blocked = joined.withColumn(BLOCK, F.coalesce(block.cast("bigint"), F.lit(0).cast("bigint")))
+    # Null order values stand where a sort puts them: before all others, or after them when descending.
+    unordered = F.col("_bounds").isNotNull() & F.col("_number").isNull()
+    block = F.when(unordered, F.lit(LAST_BLOCK if descending else -1)).otherwise(F.coalesce(block.cast("bigint"), F.lit(0)))
+    blocked = joined.withColumn(BLOCK, block.cast("bigint"))
     return blocked.drop("_bounds", "_low", "_high", "_steps", "_number", "_range"), True
 
 

@@ -457,8 +457,7 @@ SQL = {
           CASE WHEN t = 0 THEN c_name
             WHEN t = 1 THEN '{"name":"' || c_name || '","segment":"' || c_mktsegment || '"}'
             WHEN t = 5 THEN '(unsupported type: stream)'
-            ELSE '[' || array_to_string(list_transform(range(1, 1 + CASE WHEN t = 3 THEN c_custkey % 150 + 1
-              ELSE least(100, c_custkey % 150 + 1) END), lambda i: '"i' || i || '"'), ',') || ']' END AS value
+            ELSE '[' || array_to_string(list_transform(range(1, 2 + c_custkey % 150), lambda i: '"i' || i || '"'), ',') || ']' END AS value
         FROM k WHERE key LIKE 'user:%'""",
     "sheet_scan": """
         SELECT c_custkey + 2 AS line_no, CAST(c_custkey AS VARCHAR) AS id,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import fnmatch
 import re
 from collections.abc import Sequence
@@ -10,10 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from recoflow.schemas import BEHAVIOR_MESSAGE
 
-# Default and largest row caps of the exploratory readers.
-KAFKA_MAX, KAFKA_LIMIT = 100, 10_000
-KEY_VALUE_MAX, KEY_VALUE_ITEMS = 100, 100
-SHEET_MAX = 1000
+# Fixed value: the largest cap that may be asked of a topic.
+KAFKA_LIMIT = 10_000
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
@@ -75,14 +74,15 @@ def jdbc_query(spark: SparkSession, url: str, sql: str, partition_column: str |
     return reader.options(**options).load()
 
 
-def kafka_batch(spark: SparkSession, servers: str, topic: str, max_records: int = KAFKA_MAX, **options: str) -> DataFrame:
-    """First records of a topic as text with partition, offset and time."""
-    if not 1 <= max_records <= KAFKA_LIMIT:
+def kafka_batch(spark: SparkSession, servers: str, topic: str, max_records: int | None = None, **options: str) -> DataFrame:
+    """Records of a topic as text with partition, offset and time; with ``max_records`` only the first by time."""
+    if max_records is not None and not 1 <= max_records <= KAFKA_LIMIT:
         raise ValueError(f"max_records must be between 1 and {KAFKA_LIMIT}")
     reader = spark.read.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
     for name, value in {"startingOffsets": "earliest", "endingOffsets": "latest", **options}.items():
         reader = reader.option(name, value)
-    return message_columns(reader.load()).limit(max_records)
+    records = message_columns(reader.load())
+    return records if max_records is None else records.orderBy("timestamp", "partition", "offset").limit(max_records)
 
 
 def message_columns(messages: DataFrame) -> DataFrame:
@@ -104,52 +104,54 @@ def _glob_regex(pattern: str) -> str:
     return re.sub(r"^\(\?s:(.*)\)\\[zZ]$", r"\1", translated, flags=re.S)
 
 
-def key_value_dump(dump: DataFrame, pattern: str = "*", max_keys: int | None = KEY_VALUE_MAX,
-                   order: Sequence[str] = ()) -> DataFrame:
+def key_value_dump(dump: DataFrame, pattern: str = "*", max_keys: int | None = None,
+                   order: Sequence[str] = ("key",), max_items: int | None = None) -> DataFrame:
     """Keys of an exported key-value store with their value as text.
 
     ``dump`` has key, type, text, fields, items. Hashes become JSON objects, sets JSON arrays, lists
-    and sorted sets JSON arrays of their first 100 elements.
+    and sorted sets JSON arrays, of their first ``max_items`` elements where that is given. ``max_keys``
+    keeps the first keys by ``order``.
     """
-    kind = F.col("type")
+    kind, items = F.col("type"), F.coalesce("items", _no_items())
     value = (
         F.when(kind == "string", F.col("text"))
         .when(kind == "hash", F.to_json(F.coalesce("fields", F.create_map().cast("map<string,string>"))))
-        .when(kind.isin("list", "zset"), F.to_json(F.slice(F.coalesce("items", _no_items()), 1, KEY_VALUE_ITEMS)))
-        .when(kind == "set", F.to_json(F.coalesce("items", _no_items())))
+        .when(kind.isin("list", "zset"), F.to_json(items if max_items is None else F.slice(items, 1, max_items)))
+        .when(kind == "set", F.to_json(items))
         .otherwise(F.concat(F.lit("(unsupported type: "), F.coalesce(kind, F.lit("unknown")), F.lit(")")))
     )
     found = dump.filter(glob_matches(F.col("key"), pattern)).select(
         "key", F.coalesce(kind, F.lit("unknown")).alias("type"), value.alias("value"))
     if max_keys is None:
         return found
-    return (found.orderBy(*order) if order else found).limit(max_keys)
+    return found.orderBy(*order).limit(max_keys)
 
 
 def _no_items() -> Column:
     return F.array().cast("array<string>")
 
 
-def parse_sheet(lines: DataFrame, header_row_index: int = 0, max_rows: int | None = SHEET_MAX,
+def parse_sheet(lines: DataFrame, header_row_index: int = 0, max_rows: int | None = None,
                 delimiter: str = ",") -> DataFrame:
     """Sheet exported as delimited text: ``lines`` has line_no (from 0) and text.
 
     The header comes from the given row, an empty header cell is called ``column_i``, all values are
-    text, missing cells are empty, blank lines are skipped. Only the header line visits the driver.
+    text, missing cells are empty, blank lines are skipped. A cell in double quotes may hold the delimiter
+    and doubled quotes, but no line break. Only the header line visits the driver.
     """
     header = lines.filter(F.col("line_no") == header_row_index).select("text").first()
     if header is None or header[0] is None:
         return lines.select("line_no").limit(0)
-    titles = [title.strip() or f"column_{i}" for i, title in enumerate(header[0].split(delimiter))]
-    cells = F.split("text", re.escape(delimiter))
+    titles = [title.strip() or f"column_{i}" for i, title in enumerate(next(csv.reader([header[0]], delimiter=delimiter), []))]
+    cells = F.from_csv("text", ", ".join(f"c{i} string" for i in range(len(titles))), {"sep": delimiter, "escape": '"'})
     body = lines.filter((F.col("line_no") > header_row_index) & (F.trim("text") != ""))
     if max_rows is not None:
         body = body.orderBy("line_no").limit(max_rows)
     return body.select("line_no", *[
-        F.coalesce(F.get(cells, F.lit(i)), F.lit("")).alias(title) for i, title in enumerate(titles)])
+        F.coalesce(cells[f"c{i}"], F.lit("")).alias(title) for i, title in enumerate(titles)])
 
 
-def read_sheet(spark: SparkSession, path: str, header_row_index: int = 0, max_rows: int | None = SHEET_MAX,
+def read_sheet(spark: SparkSession, path: str, header_row_index: int = 0, max_rows: int | None = None,
                delimiter: str = ",") -> DataFrame:
     """One exported sheet file; the line number is the order of the lines in the file.
 

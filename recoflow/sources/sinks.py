@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -27,22 +29,19 @@ def touched_partitions(stored: DataFrame, batch: DataFrame, partition_by: Sequen
     """Rows of a table in the partitions a batch falls into.
 
     Up to ``MAX_PARTITION_VALUES`` partition values become a filter that prunes folders before they
-    are read; for more of them the values stay distributed and a semi join takes over.
+    are read; for more of them the values stay distributed and a semi join takes over. A null is a value like any other.
     """
     values = batch.select(*partition_by).distinct()
     listed = values.limit(MAX_PARTITION_VALUES + 1).collect()
     if len(listed) > MAX_PARTITION_VALUES:
-        return stored.join(values, list(partition_by), "left_semi")
-    condition = F.lit(False)
+        same = [stored[name].eqNullSafe(values[name]) for name in partition_by]
+        return stored.join(values, reduce(and_, same), "left_semi")
     if len(partition_by) == 1:
-        condition = F.col(partition_by[0]).isin([row[0] for row in listed])
-    else:
-        for row in listed:
-            same = F.lit(True)
-            for name in partition_by:
-                same = same & (F.col(name) == F.lit(row[name]))
-            condition = condition | same
-    return stored.filter(condition)
+        known = [row[0] for row in listed if row[0] is not None]
+        condition = F.col(partition_by[0]).isin(known)
+        return stored.filter(condition if len(known) == len(listed) else F.col(partition_by[0]).isNull() | condition)
+    rows = [reduce(and_, [F.col(name).eqNullSafe(F.lit(row[name])) for name in partition_by]) for row in listed]
+    return stored.filter(reduce(or_, rows, F.lit(False)))
 
 
 def upsert_table(
@@ -61,7 +60,8 @@ def upsert_table(
     batch = cut_lineage(incoming)
     if batch.isEmpty():
         return
-    stored = read_table(spark, path)
+    # With the types of the batch: those of partition columns are else guessed from folder names.
+    stored = read_table(spark, path, batch.schema)
     merged = batch
     if stored is not None:
         current = touched_partitions(stored, batch, partition_by).select(*batch.columns)

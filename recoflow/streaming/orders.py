@@ -69,7 +69,10 @@ def start_order_stream(messages: DataFrame, paths: OrderPaths, available_now: bo
 def within_ttl(decoded: DataFrame, ttl: str = "7 days") -> DataFrame:
     """First event per topic and id within a time to live, kept in streaming state only.
 
-    Cheaper than the durable marks, but copies that come later than the TTL pass.
+    Cheaper than the durable marks, but copies that come later than the TTL pass. Rows without id or time, which
+    nothing can tell apart or date, all pass and are refused by the checks that follow.
     """
     timed = decoded.withColumn("event_time", F.col("occurred_at").cast("timestamp"))
-    return timed.withWatermark("event_time", ttl).dropDuplicatesWithinWatermark(["topic", "event_id"])
+    usable = F.col("event_id").isNotNull() & F.col("event_time").isNotNull()
+    first = timed.filter(usable).withWatermark("event_time", ttl).dropDuplicatesWithinWatermark(["topic", "event_id"])
+    return first.unionByName(timed.filter(~usable))

@@ -34,7 +34,7 @@ def test_only_selects_pass(sql, message):
 def test_defaults_and_limits():
     request = ing.IngestionRequest(query="  SELECT * FROM suppliers LIMIT 10")
     request.validate()
-    assert request.max_rows == 1000 and request.sort_direction == "DESC"
+    assert request.max_rows is None and request.sort_direction == "DESC"
     for rows in (0, 50_001):
         with pytest.raises(ValueError, match="maxRows"):
             ing.IngestionRequest(query="SELECT 1", max_rows=rows).validate()

@@ -194,7 +194,7 @@ def test_sheet_and_key_values(spark, tmp_path):
                                   ("b?1", "hash", None, {"k": "v"}, None), ("b:1", "stream", None, None, None)],
                                  "key string, type string, text string, fields map<string,string>, items array<string>")
     got = {r.key: r.value for r in readers.key_value_dump(dump).collect()}
-    assert got["a:1"] == "t" and len(json.loads(got["a:2"])) == 100 and got["b?1"] == '{"k":"v"}'
+    assert got["a:1"] == "t" and len(json.loads(got["a:2"])) == 150 and got["b?1"] == '{"k":"v"}'
     assert got["b:1"] == "(unsupported type: stream)"
     assert [r.key for r in readers.key_value_dump(dump, "a:[2-9]").collect()] == ["a:2"]
     assert readers.key_value_dump(dump, "b?1").count() == 2
