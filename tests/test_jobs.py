@@ -104,20 +104,20 @@ def test_order_stream_has_exactly_once_effect(spark, tmp_path):
 
 def test_supplier_stream_keeps_the_newest(spark, tmp_path):
     def pull(seq, name, hour, payload=None):
-        body = {"supplierId": 9101, "supplierCode": "KD_1", "erpType": "KINGDEE",
-                "rawPayload": payload or json.dumps([["FID-1001", name, "SUP", "A", "m"]]),
+        body = {"supplierId": 31, "supplierCode": "kiln", "erpType": "KINGDEE",
+                "rawPayload": payload or json.dumps([["k7", name, "bk", "A", "m"]]),
                 "pulledAt": f"2024-01-01T0{hour}:00:00Z", "recordCount": 1}
         return {"seq": seq, "value": json.dumps(body)}
 
     source = tmp_path / "in"
-    write_lines(source / "1.json", [pull(1, "Old Name", 1), pull(2, "Current Name", 3), pull(3, "x", 4, "{}")])
-    write_lines(source / "2.json", [pull(4, "Stale Name", 2)])
+    write_lines(source / "1.json", [pull(1, "one", 1), pull(2, "two", 3), pull(3, "x", 4, "{}")])
+    write_lines(source / "2.json", [pull(4, "late", 2)])
     messages = readers.file_stream(spark, str(source), "seq bigint, value string", max_files=1)
     paths = suppliers.SupplierPaths(*[str(tmp_path / n) for n in ("records", "dead", "chk")])
     query = suppliers.start_supplier_stream(messages, paths, available_now=True, buckets=2)
     query.awaitTermination(120)
     assert query.exception() is None
-    assert [r.supplier_name for r in spark.read.parquet(paths.records).collect()] == ["Current Name"]
+    assert [r.supplier_name for r in spark.read.parquet(paths.records).collect()] == ["two"]
     assert [r.error_message for r in spark.read.parquet(paths.dead_letters).collect()] == ["Expected JSON array as root"]
 
 
