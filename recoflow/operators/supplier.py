@@ -54,28 +54,31 @@ def _fields(pairs: dict[str, str]) -> str:
     return "array(" + ", ".join(f"struct('{name}' AS name, {value} AS value)" for name, value in pairs.items()) + ")"
 
 
-#: A payload that is valid JSON but neither an object nor an array.
-_SCALAR = r"""(raw_payload RLIKE r'^\s*(true|false|null|-?(0|[1-9][0-9]*)([.][0-9]+)?([eE][+-]?[0-9]+)?|"([^"\\]|\\.)*")\s*$')"""
+def _scalar() -> str:
+    """Whether a payload is valid JSON but neither an object nor an array."""
+    return (f"(NOT {_opens('raw_payload', '{')} AND NOT {_opens('raw_payload', '[')} "
+            "AND coalesce(json_array_length(concat('[', raw_payload, ']')) = 1, false))")
 
 
 def _root_error() -> str:
     """What is wrong with a payload before its rows are looked at."""
     listed, keyed = _opens("raw_payload", "["), _opens("raw_payload", "{")
+    scalar = _scalar()
     broken = f"(NOT {keyed} OR _root._corrupt_record IS NOT NULL)"
     code = "coalesce(try_cast(try_cast(_root.code AS double) AS int), -1)"
     return f"""
         CASE _system
         WHEN 'KINGDEE' THEN CASE
-          WHEN {keyed} OR {_SCALAR} THEN 'Expected JSON array as root'
+          WHEN {keyed} OR {scalar} THEN 'Expected JSON array as root'
           WHEN NOT {listed} OR _rows IS NULL THEN 'Failed to parse raw payload JSON' END
         WHEN 'YONYOU' THEN CASE
-          WHEN {listed} OR {_SCALAR} THEN 'YONYOU root must be JSON object'
+          WHEN {listed} OR {scalar} THEN 'YONYOU root must be JSON object'
           WHEN {broken} THEN 'Failed to parse YONYOU raw payload JSON'
           WHEN {code} <> 0 THEN concat('YONYOU response code is not success: ', {code})
           WHEN NOT {_opens("_root.data", "{")} THEN 'YONYOU data node is missing or invalid'
           WHEN NOT {_opens("_data.rows", "[")} THEN 'YONYOU rows node is missing or invalid' END
         WHEN 'GENERIC' THEN CASE
-          WHEN {listed} OR {_SCALAR} THEN 'GENERIC root must be JSON object'
+          WHEN {listed} OR {scalar} THEN 'GENERIC root must be JSON object'
           WHEN {broken} THEN 'Failed to parse GENERIC raw payload JSON'
           WHEN NOT {_opens("_root.records", "[")} THEN 'GENERIC records node is missing or invalid' END
         ELSE concat('No parser found for ERP type: ', coalesce(erp_type, 'null')) END"""
