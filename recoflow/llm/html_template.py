@@ -11,7 +11,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from recoflow.llm.common import cut
+
 LEAST_SUPPORT, LEAST_CLASS, BROADCAST_BYTES = 0.5, 2, 8 << 20
+# Different pages that a layout's tokens stand on at least: two alone may be copies of one text.
+LAYOUT_PAGES = 3
 TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|<[!?][^>]*(?:>|$)", re.S)
 NAMES = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 SPACE = re.compile(r"\s+")
@@ -78,7 +82,8 @@ def nodes(source: str) -> Iterator[tuple[str, str, tuple, bool]]:
 
 
 def token_key(kind: str, value: str, path: tuple) -> int:
-    return xxhash.xxh3_64_intdigest(repr((kind, path, value))) - (1 << 63)
+    """A 64-bit hash of the token; odd for texts, even for tags."""
+    return (xxhash.xxh3_64_intdigest(repr((kind, path, value))) >> 1 << 1 | (kind == "text")) - (1 << 63)
 
 
 def occurrence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,42 +104,60 @@ def occurrence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             keys += seen
             counts += [c for c, _ in seen.values()]
             outer += [o for _, o in seen.values()]
-        yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows, pa.int64())), part.column(2).take(pa.array(rows, pa.int64())),
+        of = pa.array(rows, pa.int64())
+        yield pa.RecordBatch.from_arrays([part.column(0).take(of), part.column(2).take(of), part.column(3).take(of),
                                           pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(outer, pa.int64())],
-                                         names=["host", "page", "token", "times", "outer"])
+                                         names=["host", "page", "copy", "token", "times", "outer"])
 
 
-def templates(pages: DataFrame, least_support: float = LEAST_SUPPORT, least_class: int = LEAST_CLASS) -> DataFrame:
-    """``host``, ``template``: the tokens of the valid equivalence classes of each host's pages.
+def templates(pages: DataFrame, least_support: float = LEAST_SUPPORT, least_class: int = LEAST_CLASS,
+              layout_pages: int = LAYOUT_PAGES) -> DataFrame:
+    """``host``, ``template``, ``fixed``: the tokens of the valid equivalence classes of each host's pages.
 
     A token's occurrence vector over the host's pages enters as two sums of hashes of (page, times), so equal sums
-    mean equal vectors and the vectors need no shuffle; sums are taken per task first. A class is valid if its tokens
-    occur in ``least_support`` of the host's pages and in two at least, it has ``least_class`` tokens or more, and it nests: a token stays
-    only if the token around it is in a valid class, too.
+    mean equal vectors and the vectors need no shuffle; sums are taken per task first. A class is valid if it has
+    ``least_class`` tokens or more, its tokens occur often enough, and it nests: a token stays only if the token around it
+    is in a valid class, too. Often enough is ``least_support`` of the host's pages and two at least, or, for a layout that fewer
+    of them have, ``layout_pages`` pages and (texts) ``least_support`` of the pages that have the element around the text.
+    ``fixed`` are the texts among them on three different pages or more: rows with the same html are copies of one page. They
+    need not nest, as their key holds their path and elements that repeat in a page (paragraphs) are in no class.
     """
-    rows = pages.select("host", "html", "page").mapInArrow(occurrence_rows, "host string, page long, token long, times long, outer long")
+    rows = pages.select("host", "html", "page", F.xxhash64("html").bitwiseAND(F.lit((1 << 18) - 1)).alias("copy")).mapInArrow(
+        occurrence_rows, "host string, page long, copy long, token long, times long, outer long")
     way = lambda seed: F.sum(F.xxhash64("page", "times", F.lit(seed)).cast("decimal(20,0)"))
+    copy = F.col("copy")
     vectors = rows.groupBy("host", "token").agg(
-        F.count("*").alias("pages"), way(1).alias("a"), way(2).alias("b"), F.min("outer").alias("outer"))
+        F.count("*").alias("pages"), way(1).alias("a"), way(2).alias("b"), F.min("outer").alias("outer"),
+        F.min(copy).alias("low"), F.max(copy).alias("high"), F.sum(copy).alias("once"), F.sum(copy * copy).alias("twice"))
+    # The sum of (copy - low)(copy - high) over the pages is 0 only if every page is one of these two.
+    others = F.col("twice") - (F.col("low") + F.col("high")) * F.col("once") + F.col("low") * F.col("high") * F.col("pages")
+    again = cut(vectors.where(F.col("pages") > 1).select("host", "token", "pages", "a", "b", "outer", (others != 0).alias("three")))
     size = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
-    frequent = vectors.join(size, "host").where((F.col("pages") > 1) & (F.col("pages") >= F.col("host_pages") * least_support))
-    classes = (frequent.groupBy("host", "a", "b").agg(F.collect_list(F.struct("token", "outer")).alias("tokens"))
+    around = again.where(F.col("token") % 2 == 0).select("host", F.col("token").alias("outer"), F.col("pages").alias("outer_pages"))
+    is_tag = F.col("token") % 2 == 0
+    layout = F.col("three") & (F.col("pages") >= layout_pages) & (is_tag | (F.col("pages") >= F.col("outer_pages") * least_support))
+    frequent = again.join(size, "host").join(around, ["host", "outer"], "left").where(
+        (F.col("pages") >= F.col("host_pages") * least_support) | F.coalesce(layout, F.lit(False)))
+    classes = (frequent.groupBy("host", "a", "b").agg(F.collect_list(F.struct("token", "outer", "three")).alias("tokens"))
                .where(F.size("tokens") >= least_class))
     valid = classes.select("host", F.explode("tokens").alias("t")).groupBy("host").agg(
         F.collect_set("t.token").alias("all"), F.collect_list("t").alias("tokens"))
-    nested = F.filter("tokens", lambda t: (t["outer"] == 0) | F.array_contains("all", t["outer"]))
-    return valid.select("host", F.transform(nested, lambda t: t["token"]).alias("template"))
+    is_fixed = lambda t: t["three"] & (t["token"] % 2 != 0)
+    nested = F.filter("tokens", lambda t: (t["outer"] == 0) | F.array_contains("all", t["outer"]) | is_fixed(t))
+    fixed = F.filter("tokens", is_fixed)
+    return valid.select("host", F.transform(nested, lambda t: t["token"]).alias("template"), F.transform(fixed, lambda t: t["token"]).alias("fixed"))
 
 
 def is_aside(path: tuple) -> bool:
     return any(name in ASIDE or (names and name not in ("body", "html") and ASIDE_NAME.search(names)) for name, names in path)
 
 
-def main_text(source: str | None, template: set[int]) -> str:
+def main_text(source: str | None, template: set[int], fixed: set[int] | frozenset[int] = frozenset()) -> str:
     """Text of the slots that the template leaves in the page's main region.
 
     The main region is the outermost template element that is an article or is named as main content, or else the
-    same without a template, or else the whole page. Template text (the same on most pages) outside an article is no slot.
+    same without a template, or else the whole page. Template text is no slot: ``fixed`` text nowhere, other template text
+    (seen on two different pages only) outside an article. Slots in elements named as an aside are left out by their names.
     """
     found = list(nodes(source or ""))
     def root_of(path: tuple, known: bool) -> int:
@@ -159,7 +182,8 @@ def main_text(source: str | None, template: set[int]) -> str:
             held = []
         if inside and not roots[path] or is_aside(path) or path and path[-1][0] in RAW:
             continue
-        if not inside and token_key("text", SPACE.sub(" ", value).strip(), path) in template:
+        known = fixed if inside else template
+        if known and token_key("text", SPACE.sub(" ", value).strip(), path) in known:
             continue
         held.append(value)
     blocks.append("".join(held))
@@ -169,13 +193,12 @@ def main_text(source: str | None, template: set[int]) -> str:
 
 def extract_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        templates = {}
-        column = batch.column(3)
+        known: dict[str, tuple[set[int], set[int]]] = {}
         texts = []
-        for host, source, tokens in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(), range(len(column))):
-            if host not in templates:
-                templates[host] = set(column[tokens].as_py() or ())
-            texts.append(main_text(source, templates[host]))
+        for i, (source, host) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+            if host not in known:
+                known[host] = set(batch.column(3)[i].as_py() or ()), set(batch.column(4)[i].as_py() or ())
+            texts.append(main_text(source, *known[host]))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                          names=["rest", "text", "n_chars"])
 
@@ -189,12 +212,9 @@ def extract(pages: DataFrame, least_support: float = LEAST_SUPPORT, broadcast_by
     """
     host = F.coalesce(F.regexp_extract("url", "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
     keyed = pages.select(F.lower(host).alias("host"), "html", F.xxhash64("page_id", "url", "html").alias("page"))
-    found = templates(keyed, least_support).withColumn("template", F.array_sort("template"))
-    from recoflow.llm.common import cut
-
-    found = cut(found)
-    size = found.agg(F.sum(F.size("template") * 8 + 64)).first()[0] or 0
+    found = cut(templates(keyed, least_support).withColumn("template", F.array_sort("template")))
+    size = found.agg(F.sum(F.size("template") * 8 + F.size("fixed") * 8 + 64)).first()[0] or 0
     side = F.broadcast(found) if size <= broadcast_bytes else found
     rest = F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != "html"]).alias("rest")
-    rows = pages.select(rest, "html", F.lower(host).alias("host")).join(side, "host", "left").select("rest", "html", "host", "template")
+    rows = pages.select(rest, "html", F.lower(host).alias("host")).join(side, "host", "left").select("rest", "html", "host", "template", "fixed")
     return rows.mapInArrow(extract_rows, rows.select("rest").schema.add("text", "string").add("n_chars", "long"))

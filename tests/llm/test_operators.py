@@ -323,3 +323,19 @@ def test_pipeline(spark, sf_dir):
         assert 0 < out.count() <= kept.count(), name
         kept = out
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf_dir).select("doc_id").distinct().collect()} == {r.doc_id for r in kept.select("doc_id").collect()}
+
+
+def test_html_template_texts_are_no_slots(spark):
+    def page(host, i, body):
+        return f"http://{host}/{i}", f"<html><body><nav>Menu {i}</nav>{body}</body></html>"
+
+    rows = [page("news.x", i, f"<article><div class='story'><p>Story {i}</p><p>Sign up here</p><p>{'Often' if i < 3 else f'Own {i}'}</p></div></article>") for i in range(8)]
+    # A layout that a quarter of the host's pages has, with a text of its own.
+    rows += [page("news.x", 10 + i, f"<article><section class='review'><p>Review {i}</p><p>Our test rules</p></section></article>") for i in range(3)]
+    # Copies of one page, and two pages that share a text, do not make a template.
+    rows += [(f"http://copy.x/{i}", "<article><p>Same</p></article>") for i in range(4)]
+    rows += [page("two.x", i, f"<article><p>Part {i}</p><p>Shared</p></article>") for i in range(2)]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    got = [r.text for r in sorted(html_template.extract(pages).collect(), key=lambda r: r.rest.page_id)]
+    assert got == ([f"Story {i} " + ("Often" if i < 3 else f"Own {i}") for i in range(8)] + [f"Review {i}" for i in range(3)]
+                   + ["Same"] * 4 + [f"Part {i} Shared" for i in range(2)])
