@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Known licence statements and short licences, as published.
@@ -26,6 +29,47 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
 ]
+TEXTS = Path(__file__).resolve().parent / "license_texts"
+# The full texts in TEXTS, and how many paragraphs at their begin are a heading.
+FULL = {"Apache-2.0": 1, "GPL-2.0": 1, "GPL-3.0": 1, "LGPL-2.1": 1, "LGPL-3.0": 1, "MPL-2.0": 1, "CC0-1.0": 2, "Unlicense": 0}
+# Headings in use over the licences that are published without one.
+HEADINGS = {
+    "MIT": ["", "MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["", "ISC License", "The ISC License", "ISC License (ISC)"],
+    "BSD-2-Clause": ["", "BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": ["", "BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License'],
+    "Unlicense": ["The Unlicense"],
+}
+END = "END OF TERMS AND CONDITIONS"
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """Whole licences with and without heading and appendix, wrapped as published and with a line for each paragraph.
+
+    Lines that begin with "copyright" are no part of the canonical form, so it differs between the two ways to wrap.
+    """
+    bodies = {name: text.split("\n", 1)[1] for name, text in KNOWN if "\n" in text}
+    bodies |= {p.stem: p.read_text("utf-8") for p in sorted(TEXTS.glob("*.txt"))}
+    out: list[tuple[str, str]] = []
+    for name, body in bodies.items():
+        forms = [f"{heading}\n{more}\n{body}" for heading in HEADINGS.get(name, ()) for more in ("", "All rights reserved.")]
+        if name in FULL:
+            parts = body.split("\n\n")
+            forms += [body, "\n\n".join(parts[FULL[name]:])]
+            forms += [form[:form.index(END) + len(END)] for form in forms if END in form]
+        if name == "MIT":
+            forms = [form.replace("Copyright (c) <year> <copyright holders>\n", "") for form in forms]
+        elif name == "ISC":
+            forms += [form.replace("above copyright notice", "above\ncopyright notice") for form in forms]
+        elif name.startswith("BSD"):
+            forms += [re.sub(r"(?m)^[0-9]\. ", "* ", form) for form in forms]
+        out += [(name, form) for form in forms]
+        out += [(name, "\n".join(" ".join(part.split()) for part in form.split("\n\n"))) for form in forms]
+    return list(dict.fromkeys(out))
+
+
+KNOWN += [("All-rights-reserved", "All rights reserved.")]
+KNOWN += full_texts()
 # Equivalent spellings, applied in this order to lower-case text.
 SPELLINGS = [
     ("licence", "license"), ("non-commercial", "noncommercial"), ("sub-license", "sublicense"), ("copyright owner", "copyright holder"),

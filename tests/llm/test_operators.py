@@ -339,3 +339,19 @@ def test_html_template_texts_are_no_slots(spark):
     got = [r.text for r in sorted(html_template.extract(pages).collect(), key=lambda r: r.rest.page_id)]
     assert got == ([f"Story {i} " + ("Often" if i < 3 else f"Own {i}") for i in range(8)] + [f"Review {i}" for i in range(3)]
                    + ["Same"] * 4 + [f"Part {i} Shared" for i in range(2)])
+
+
+def test_whole_licences_with_and_without_heading(spark):
+    texts = {p.stem: p.read_text() for p in licenses.TEXTS.glob("*.txt")}
+    assert set(texts) == {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"}
+    cases = list(texts.items())
+    mit = licenses.KNOWN[11][1].split("\n", 2)[2]
+    cases += [("MIT", mit), ("MIT", f"The MIT License (MIT)\n\nCopyright (c) 2015 Somebody\n\n{mit}")]
+    cases += [("BSD-3-Clause", f"BSD 3-Clause License\n\nCopyright (c) 2020, Somebody\nAll rights reserved.\n\n{texts['BSD-3-Clause']}")]
+    cases += [("MPL-2.0", texts["MPL-2.0"].split("\n\n", 1)[1]), ("Apache-2.0", texts["Apache-2.0"].split("\n\n", 1)[1])]
+    cases += [("All-rights-reserved", "All rights reserved."), (None, texts["Apache-2.0"][:5000])]
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licenses.scan(docs).collect()}
+    assert [got[i] for i in range(len(cases))] == [name for name, _ in cases]
+    line = licenses.scan(spark.createDataFrame([(1, "Words.\nAll rights reserved.")], docs.schema)).first()
+    assert (line.license, line.line_licenses) == (None, "All-rights-reserved")
