@@ -14,16 +14,11 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-import recoflow
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from recoflow.operators.skew import BLOCK, MAX_ROWS_PER_KEY, with_blocks
 from recoflow.session import cut_lineage
 
-# Executors get the step functions themselves and need no installed copy of this package.
-cloudpickle.register_pickle_by_value(recoflow)
-
 STATE = T.ArrayType(T.LongType())
 Step = Callable[[list[int], tuple], tuple[list[int], int]]
 
