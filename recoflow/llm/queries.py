@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recoflow.llm import decontamination, html_template, importance, kd_search, licenses, near_dup, packing, substring_dedup, tool_calls, toxicity
+from recoflow.llm import decontamination, hard_negatives, html_template, importance, kd_search, licenses, near_dup, packing, substring_dedup, tool_calls, toxicity
 from recoflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {"op2_kd_tree_search": kd_search.ORACLE, "op4_license_digest": licenses.oracle()}
+ORACLES: dict[str, str] = {"op2_kd_tree_search": kd_search.ORACLE, "op4_license_digest": licenses.oracle(),
+                           "op12_hard_negatives": hard_negatives.ORACLE}
 
 
 def query(function: Query) -> Query:
@@ -74,3 +75,8 @@ def op9_importance_resampling(spark, d):
 @query
 def op10_qgram_decontamination(spark, d):
     return decontamination.matches(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query
+def op12_hard_negatives(spark, d):
+    return hard_negatives.mine(hard_negatives.relabelled(table(spark, d, "embeddings")))
