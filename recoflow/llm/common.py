@@ -100,8 +100,8 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[0::2], edges[1::2]
 
 
-def text_chunks(texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Consecutive texts as UTF-8, a space after each, in chunks of about a megabyte (a longer text is a chunk of its own).
+def text_chunks(texts: list[str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Consecutive texts as UTF-8, a space after each, in chunks of about ``limit`` bytes (a longer text is a chunk of its own).
 
     Yields first index, index after the last, the bytes, and where each text begins and the chunk ends.
     """
@@ -109,7 +109,7 @@ def text_chunks(texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray,
     for i, text in enumerate(texts):
         held.append((text or "").encode("utf-8", "replace") + b" ")
         size += len(held[-1])
-        if size >= CHUNK_BYTES or i + 1 == len(texts):
+        if size >= limit or i + 1 == len(texts):
             bounds = np.zeros(len(held) + 1, np.int64)
             np.cumsum([len(x) for x in held], out=bounds[1:])
             yield first, i + 1, np.frombuffer(b"".join(held), np.uint8), bounds

@@ -7,13 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recoflow.llm import decontamination, hard_negatives, html_template, importance, kd_search, licenses, near_dup, packing, substring_dedup, tool_calls, toxicity
+from recoflow.llm import collocations, decontamination, hard_negatives, html_template, importance, kd_search, licenses, near_dup, packing, substring_dedup, tool_calls, toxicity
 from recoflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {"op2_kd_tree_search": kd_search.ORACLE, "op4_license_digest": licenses.oracle(),
-                           "op12_hard_negatives": hard_negatives.ORACLE}
+                           "op12_hard_negatives": hard_negatives.ORACLE, "op13_toivonen_collocations": collocations.ORACLE}
 
 
 def query(function: Query) -> Query:
@@ -80,3 +80,8 @@ def op10_qgram_decontamination(spark, d):
 @query
 def op12_hard_negatives(spark, d):
     return hard_negatives.mine(hard_negatives.relabelled(table(spark, d, "embeddings")))
+
+
+@query
+def op13_toivonen_collocations(spark, d):
+    return collocations.collocations(table(spark, d, "documents"))
