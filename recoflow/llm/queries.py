@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recoflow.llm import collocations, decontamination, hard_negatives, html_template, importance, kd_search, licenses, near_dup, packing, substring_dedup, tool_calls, toxicity
+from recoflow.llm import collocations, decontamination, hard_negatives, html_template, importance, kd_search, language_id, licenses, near_dup, packing, substring_dedup, tool_calls, toxicity
 from recoflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,11 @@ def op12_hard_negatives(spark, d):
 @query
 def op13_toivonen_collocations(spark, d):
     return collocations.collocations(table(spark, d, "documents"))
+
+
+@query
+def op11_language_id(spark, d):
+    docs = table(spark, d, "documents")
+    held_out = language_id.held_out()
+    found = language_id.identify(docs, docs.where(~held_out), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
