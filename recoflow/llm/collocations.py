@@ -13,10 +13,10 @@ from recoflow.llm.common import _LOWER, cut, mix, runs_hash, text_chunks
 
 LEAST, COVERED_PERCENT, TOP, LONGEST = 10, 50, 2000, 3
 #: One document in so many is in the sample, chosen by a hash of its text.
-SAMPLE_SHARE = 8
+SAMPLE_SHARE = 16
 #: Bits of each proposal bitmap; what is broadcast and sent to the driver never exceeds them.
 BITS = 1 << 26
-HOT_PARTS, SALTS, CHUNK = 256, 32, 4 << 20
+HOT_PARTS, SALTS, CHUNK = 256, 32, 8 << 20
 _U = np.uint64
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
@@ -66,11 +66,20 @@ class Chunk:
         self.words = mix(runs_hash(self.data, self.starts, self.ends) ^ own[self.owner])
         self.pairs = mix(self.words[:-1] * _U(3) + self.words[1:])
         self.pair_stands = piece[:-1] == piece[1:]
+        self.place: np.ndarray | None = None
 
     def phrases(self, k: int, hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         """First word, count and text of each distinct phrase of ``k`` words among the occurrences ``at``."""
-        _, first, counts = np.unique(hashes[at], return_index=True, return_counts=True)
-        at = at[first]
+        if not len(at):
+            return at, at, pa.array([], pa.string())
+        own = hashes[at]
+        order = np.argsort(own)
+        own = own[order]
+        new = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        counts = np.diff(np.concatenate([new, [len(own)]]))
+        at = at[order[new]]
+        if self.place is None:
+            self._space_joined()
         begins, ends = self.place[at], self.place[at + k] - 1
         sizes = ends - begins
         offsets = np.zeros(len(at) + 1, np.int64)
@@ -79,7 +88,8 @@ class Chunk:
         strings = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(text))
         return at, counts, strings.cast(pa.string())
 
-    def space_joined(self) -> None:
+    def _space_joined(self) -> None:
+        """The words with one space after each, and where each begins."""
         sizes = self.ends - self.starts + 1
         self.place = np.zeros(len(sizes) + 1, np.int64)
         np.cumsum(sizes, out=self.place[1:])
@@ -95,16 +105,16 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Chunk, list[str]
             yield Chunk(data, bounds, langs[first:after]), langs[first:after]
 
 
-def count_rows(batches: Iterator[pa.RecordBatch], now: Proposal | None, before: list[Proposal]) -> Iterator[pa.RecordBatch]:
-    """Counts per chunk of the phrases that ``now`` asks for and no proposal ``before`` did.
+def count_rows(batches: Iterator[pa.RecordBatch], proposals: list[Proposal]) -> Iterator[pa.RecordBatch]:
+    """Counts per chunk of the phrases that the last of the proposals asks for and none before did.
 
-    Without ``now`` (the sample) all words and pairs count. The first whole pass also counts all words, and the words of
+    Without any (the sample) all words and pairs count. The first whole pass also counts all words, and the words of
     each language as the empty phrase.
     """
+    now, before = (proposals[-1], proposals[:-1]) if proposals else (None, [])
     for chunk, langs in chunks(batches):
         if not len(chunk.words):
             continue
-        chunk.space_joined()
         pair, triple = chunk.pair_stands.copy(), chunk.pair_stands[:-1] & chunk.pair_stands[1:]
         if now is None:
             triple[:] = False
@@ -193,8 +203,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample_share: int = SA
     context = docs.sparkSession.sparkContext
 
     def counted(source: DataFrame, now, before: list, threshold: int) -> DataFrame:
-        shared = context.broadcast((now, before))
-        rows = source.mapInArrow(lambda it: count_rows(it, *shared.value), _COUNTS)
+        # Plain arrays only: workers need no class of this package to read them.
+        shared = context.broadcast([(p.words, p.pairs) for p in (*before, *([now] if now else []))])
+        rows = source.mapInArrow(lambda it: count_rows(it, [Proposal(*x) for x in shared.value]), _COUNTS)
         return cut(rows.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= threshold) | (F.col("k") == 0)))
 
     sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(sample_share)) == 0)
@@ -203,9 +214,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample_share: int = SA
     while True:
         new = counted(texts, proposals[-1], proposals[:-1], least)
         known = new if known is None else known.unionByName(new)
-        last = context.broadcast(proposals[-1])
+        last = context.broadcast((proposals[-1].words, proposals[-1].pairs))
         missing = (known.where("k in (1, 2)").select("phrase", "lang", "k")
-                   .mapInArrow(lambda it: failure_rows(it, last.value), "missing long").agg(F.sum("missing")).first()[0])
+                   .mapInArrow(lambda it: failure_rows(it, Proposal(*last.value)), "missing long").agg(F.sum("missing")).first()[0])
         if not missing:
             return known, len(proposals)
         proposals.append(proposal_of(known, bits))
@@ -233,7 +244,7 @@ def collocations(docs: DataFrame, least: int = LEAST, covered_percent: int = COV
     the lowest over the cuts of floor(10^6 a a / (l r)). A candidate goes if a longer one that holds it has ``covered_percent`` of
     its count or more. Products are decimals, exact for counts of up to 15 digits.
 
-    Tasks count phrases of about four megabytes of text before any shuffle, so a hot phrase or language reaches a reducer
+    Tasks count phrases of about eight megabytes of text before any shuffle, so a hot phrase or language reaches a reducer
     as one row per task. Only bitmaps of fixed size are broadcast. A language's ranking is cut in ``SALTS`` parts first.
 
     Null texts are empty; a null language is ``und``. Rows that repeat count each time. An empty table gives no rows. Ties are
