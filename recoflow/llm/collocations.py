@@ -14,8 +14,8 @@ from recoflow.llm.common import _LOWER, cut, mix, runs_hash, text_chunks
 LEAST, COVERED_PERCENT, TOP, LONGEST = 10, 50, 2000, 3
 #: One document in so many is in the sample, chosen by a hash of its text.
 SAMPLE_SHARE = 16
-#: Bits of each proposal bitmap; what is broadcast and sent to the driver never exceeds them.
-BITS = 1 << 26
+#: Bits of a proposal bitmap for each item, and at most; what is broadcast and sent to the driver never exceeds them.
+BITS_PER_ITEM, BITS = 16, 1 << 26
 HOT_PARTS, SALTS, CHUNK = 256, 32, 8 << 20
 _U = np.uint64
 _KIND = np.zeros(256, np.uint8)
@@ -158,11 +158,11 @@ def _hashes(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
             yield k, chunk.words if k == 1 else chunk.pairs[chunk.pair_stands]
 
 
-def bit_rows(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    maps = {k: np.zeros(bits // 64, _U) for k in (1, 2)}
+def bit_rows(batches: Iterator[pa.RecordBatch], bits: dict[int, int]) -> Iterator[pa.RecordBatch]:
+    maps = {k: np.zeros(n // 64, _U) for k, n in bits.items()}
     for batch in batches:
         for k, hashes in _hashes(batch):
-            at = hashes % _U(bits)
+            at = hashes % _U(bits[k])
             np.bitwise_or.at(maps[k], (at >> _U(6)).astype(np.int64), _U(1) << (at & _U(63)))
     for k, bitmap in maps.items():
         used = np.flatnonzero(bitmap)
@@ -180,12 +180,14 @@ def failure_rows(batches: Iterator[pa.RecordBatch], proposal: Proposal) -> Itera
 
 def proposal_of(frequent: DataFrame, bits: int = BITS) -> Proposal:
     """The words and pairs among ``frequent`` as bitmaps; ``bits`` / 64 numbers each reach the driver at most."""
-    rows = (frequent.where("k in (1, 2)").select("phrase", "lang", "k").mapInArrow(lambda it: bit_rows(it, bits), "k int, slot long, bits long")
+    found = {r[0]: r[1] for r in frequent.where("k in (1, 2)").groupBy("k").count().collect()}
+    sizes = {k: min(bits, 1 << max(10, (BITS_PER_ITEM * found.get(k, 0)).bit_length())) for k in (1, 2)}
+    rows = (frequent.where("k in (1, 2)").select("phrase", "lang", "k").mapInArrow(lambda it: bit_rows(it, sizes), "k int, slot long, bits long")
             .groupBy("k", "slot").agg(F.bit_or("bits").alias("bits")).toArrow())
     k, slot, value = (rows.column(i).to_numpy() for i in range(3))
     maps = []
     for wanted in (1, 2):
-        bitmap = np.zeros(bits // 64, np.int64)
+        bitmap = np.zeros(sizes[wanted] // 64, np.int64)
         bitmap[slot[k == wanted]] = value[k == wanted]
         maps.append(bitmap.view(_U))
     return Proposal(*maps)
@@ -206,7 +208,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample_share: int = SA
         # Plain arrays only: workers need no class of this package to read them.
         shared = context.broadcast([(p.words, p.pairs) for p in (*before, *([now] if now else []))])
         rows = source.mapInArrow(lambda it: count_rows(it, [Proposal(*x) for x in shared.value]), _COUNTS)
-        return cut(rows.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= threshold) | (F.col("k") == 0)))
+        done = cut(rows.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= threshold) | (F.col("k") == 0)))
+        shared.destroy()
+        return done
 
     sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(sample_share)) == 0)
     lowered = max(1, least * 4 // (5 * sample_share))
@@ -217,6 +221,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample_share: int = SA
         last = context.broadcast((proposals[-1].words, proposals[-1].pairs))
         missing = (known.where("k in (1, 2)").select("phrase", "lang", "k")
                    .mapInArrow(lambda it: failure_rows(it, Proposal(*last.value)), "missing long").agg(F.sum("missing")).first()[0])
+        last.destroy()
         if not missing:
             return known, len(proposals)
         proposals.append(proposal_of(known, bits))
