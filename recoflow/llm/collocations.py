@@ -9,14 +9,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from recoflow.llm.common import _LOWER, cut, mix, runs_hash, text_chunks
+from recoflow.llm.common import _BYTES, _LOWER, cut, mix, text_chunks
 
 LEAST, COVERED_PERCENT, TOP, LONGEST = 10, 50, 2000, 3
 #: One document in so many is in the sample, chosen by a hash of its text.
 SAMPLE_SHARE = 16
 #: Bits of a proposal bitmap for each item, and at most; what is broadcast and sent to the driver never exceeds them.
 BITS_PER_ITEM, BITS = 16, 1 << 26
-HOT_PARTS, SALTS, CHUNK = 256, 32, 8 << 20
+HOT_PARTS, SALTS, CHUNK, SHORT = 256, 32, 6 << 20, 48
 _U = np.uint64
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
@@ -48,6 +48,31 @@ def lang_hash(lang: str) -> int:
     return int.from_bytes(hashlib.blake2b(lang.encode("utf-8", "replace"), digest_size=8).digest(), "little")
 
 
+def _spread(shifts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """0, 1, 2, …, each run of the given size shifted."""
+    at = np.repeat(shifts.astype(np.int32) if len(sizes) and sizes.sum() < 1 << 30 else shifts, sizes)
+    at += np.arange(len(at), dtype=at.dtype)
+    return at
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each word, all words a byte at a time, the long ones one by one."""
+    sizes = ends - starts
+    order = np.argsort(-sizes, kind="stable")
+    at, active = starts[order], np.searchsorted(-sizes[order], -np.arange(SHORT), "left")
+    own = np.zeros(len(order), _U)
+    for place, count in enumerate(active.tolist()):
+        if not count:
+            break
+        own[:count] = (own[:count] + _BYTES[data[at[:count] + place]]) * _U(0xD1342543DE82EF95)
+    for i in range(int(np.searchsorted(-sizes[order], -SHORT, "left"))):
+        word = data[at[i]:at[i] + sizes[order[i]]].tobytes()
+        own[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    hashes = np.empty(len(order), _U)
+    hashes[order] = own
+    return mix(hashes + sizes.astype(_U))
+
+
 class Chunk:
     """Words of some texts: hashes that depend on the language, and which neighbours stand in one piece."""
 
@@ -57,13 +82,14 @@ class Chunk:
         full = np.zeros(len(data) + 2, bool)
         full[1:-1] = kind == 0
         edges = np.flatnonzero(full[1:] != full[:-1])
-        self.starts, self.ends = edges[0::2], edges[1::2]
+        self.starts, self.ends = edges[0::2].copy(), edges[1::2].copy()
+        del full, edges
         self.data = _LOWER[data]
-        piece = np.cumsum(kind == 2)[self.starts]
+        piece = np.cumsum(kind == 2, dtype=np.int32)[self.starts]
         self.owner = np.searchsorted(bounds, self.starts, "right") - 1
         names = {lang: lang_hash(lang) for lang in set(langs)}
         own = np.array([names[x] for x in langs], _U)
-        self.words = mix(runs_hash(self.data, self.starts, self.ends) ^ own[self.owner])
+        self.words = mix(word_hashes(self.data, self.starts, self.ends) ^ own[self.owner])
         self.pairs = mix(self.words[:-1] * _U(3) + self.words[1:])
         self.pair_stands = piece[:-1] == piece[1:]
         self.place: np.ndarray | None = None
@@ -84,7 +110,7 @@ class Chunk:
         sizes = ends - begins
         offsets = np.zeros(len(at) + 1, np.int64)
         np.cumsum(sizes, out=offsets[1:])
-        text = self.plain[np.arange(offsets[-1]) + np.repeat(begins - offsets[:-1], sizes)]
+        text = self.plain[_spread(begins - offsets[:-1], sizes)]
         strings = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(text))
         return at, counts, strings.cast(pa.string())
 
@@ -93,8 +119,7 @@ class Chunk:
         sizes = self.ends - self.starts + 1
         self.place = np.zeros(len(sizes) + 1, np.int64)
         np.cumsum(sizes, out=self.place[1:])
-        at = np.arange(self.place[-1]) + np.repeat(self.starts - self.place[:-1], sizes)
-        self.plain = self.data[at]
+        self.plain = self.data[_spread(self.starts - self.place[:-1], sizes)]
         self.plain[self.place[1:] - 1] = 0x20
 
 
@@ -249,7 +274,7 @@ def collocations(docs: DataFrame, least: int = LEAST, covered_percent: int = COV
     the lowest over the cuts of floor(10^6 a a / (l r)). A candidate goes if a longer one that holds it has ``covered_percent`` of
     its count or more. Products are decimals, exact for counts of up to 15 digits.
 
-    Tasks count phrases of about eight megabytes of text before any shuffle, so a hot phrase or language reaches a reducer
+    Tasks count phrases of about six megabytes of text before any shuffle, so a hot phrase or language reaches a reducer
     as one row per task. Only bitmaps of fixed size are broadcast. A language's ranking is cut in ``SALTS`` parts first.
 
     Null texts are empty; a null language is ``und``. Rows that repeat count each time. An empty table gives no rows. Ties are
