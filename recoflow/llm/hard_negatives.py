@@ -33,7 +33,8 @@ def whole(vectors: list, scale: int) -> np.ndarray:
 
 def padded(vectors: np.ndarray) -> np.ndarray:
     more = -vectors.shape[1] % 8
-    return np.pad(vectors, ((0, 0), (0, more))) if more else vectors
+    # Zeros of the same kind: Python's whole numbers must stay Python's.
+    return np.concatenate([vectors, np.zeros((len(vectors), more), vectors.dtype)], axis=1) if more else vectors
 
 
 class BitPlanes:
