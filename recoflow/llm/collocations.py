@@ -16,7 +16,7 @@ LEAST, COVERED_PERCENT, TOP, LONGEST = 10, 50, 2000, 3
 SAMPLE_SHARE = 16
 #: Bits of a proposal bitmap for each item, and at most; what is broadcast and sent to the driver never exceeds them.
 BITS_PER_ITEM, BITS = 16, 1 << 26
-HOT_PARTS, SALTS, CHUNK, SHORT = 256, 32, 6 << 20, 48
+HOT_PARTS, SALTS, CHUNK, SHORT, ROWS = 256, 32, 4 << 20, 48, 1 << 16
 _U = np.uint64
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
@@ -94,25 +94,28 @@ class Chunk:
         self.pair_stands = piece[:-1] == piece[1:]
         self.place: np.ndarray | None = None
 
-    def phrases(self, k: int, hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-        """First word, count and text of each distinct phrase of ``k`` words among the occurrences ``at``."""
+    def phrases(self, k: int, hashes: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
+        """First word, count and text of each distinct phrase of ``k`` words among the occurrences ``at``, some at a time."""
         if not len(at):
-            return at, at, pa.array([], pa.string())
+            return
         own = hashes[at]
         order = np.argsort(own)
         own = own[order]
         new = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
         counts = np.diff(np.concatenate([new, [len(own)]]))
         at = at[order[new]]
+        del own, order, new
         if self.place is None:
             self._space_joined()
-        begins, ends = self.place[at], self.place[at + k] - 1
-        sizes = ends - begins
-        offsets = np.zeros(len(at) + 1, np.int64)
-        np.cumsum(sizes, out=offsets[1:])
-        text = self.plain[_spread(begins - offsets[:-1], sizes)]
-        strings = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(text))
-        return at, counts, strings.cast(pa.string())
+        for first in range(0, len(at), ROWS):
+            part = at[first:first + ROWS]
+            begins = self.place[part]
+            sizes = self.place[part + k] - 1 - begins
+            offsets = np.zeros(len(part) + 1, np.int64)
+            np.cumsum(sizes, out=offsets[1:])
+            text = self.plain[_spread(begins - offsets[:-1], sizes)]
+            strings = pa.LargeStringArray.from_buffers(len(part), pa.py_buffer(offsets), pa.py_buffer(text))
+            yield part, counts[first:first + ROWS], strings.cast(pa.string())
 
     def _space_joined(self) -> None:
         """The words with one space after each, and where each begins."""
@@ -151,19 +154,22 @@ def count_rows(batches: Iterator[pa.RecordBatch], proposals: list[Proposal]) ->
                 asked = earlier.asks(chunk.words, chunk.pairs)
                 pair &= ~asked[0]
                 triple &= ~asked[1]
-        found = [(2, *chunk.phrases(2, chunk.pairs, np.flatnonzero(pair)))]
+        names = pa.array(langs, pa.string())
+
+        def rows(k: int, hashes: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for place, counts, phrases in chunk.phrases(k, hashes, at):
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(chunk.owner[place])), pa.array(np.full(len(place), k, np.int32)), phrases,
+                     pa.array(counts.astype(np.int64))], names=["lang", "k", "phrase", "n"])
+
+        yield from rows(2, chunk.pairs, np.flatnonzero(pair))
         if now is not None:
             at = np.flatnonzero(triple)
             hashes = np.zeros(len(chunk.words), _U)
             hashes[at] = mix(chunk.pairs[at] * _U(5) + chunk.words[at + 2])
-            found.append((3, *chunk.phrases(3, hashes, at)))
+            yield from rows(3, hashes, at)
         if not before:
-            found.append((1, *chunk.phrases(1, chunk.words, np.arange(len(chunk.words)))))
-        names = pa.array(langs, pa.string())
-        for k, at, counts, texts in found:
-            yield pa.RecordBatch.from_arrays(
-                [names.take(pa.array(chunk.owner[at])), pa.array(np.full(len(at), k, np.int32)), texts, pa.array(counts.astype(np.int64))],
-                names=["lang", "k", "phrase", "n"])
+            yield from rows(1, chunk.words, np.arange(len(chunk.words)))
         if not before:
             sums: dict[str, int] = {}
             for lang, n in zip(langs, np.bincount(chunk.owner, minlength=len(langs)).tolist()):
@@ -274,7 +280,7 @@ def collocations(docs: DataFrame, least: int = LEAST, covered_percent: int = COV
     the lowest over the cuts of floor(10^6 a a / (l r)). A candidate goes if a longer one that holds it has ``covered_percent`` of
     its count or more. Products are decimals, exact for counts of up to 15 digits.
 
-    Tasks count phrases of about six megabytes of text before any shuffle, so a hot phrase or language reaches a reducer
+    Tasks count phrases of about four megabytes of text before any shuffle, so a hot phrase or language reaches a reducer
     as one row per task. Only bitmaps of fixed size are broadcast. A language's ranking is cut in ``SALTS`` parts first.
 
     Null texts are empty; a null language is ``und``. Rows that repeat count each time. An empty table gives no rows. Ties are
