@@ -673,6 +673,26 @@ SQL = {
               len(list_filter(w.taken, lambda x: x >= e.asked_at - INTERVAL 2 DAY)) < 20
             FROM walk w JOIN numbered e ON e.client = w.client AND e.n = w.n + 1)
         SELECT seq, client, accepted FROM walk""",
+    "delta_log_merge": """
+        WITH b AS (SELECT *, least(9, (day(window_start) + 2) // 3) AS k FROM deltas_day WHERE day(window_start) <= 30)
+        SELECT CAST(window_start AS TIMESTAMP) AS window_start, CAST(window_end AS TIMESTAMP) AS window_end, user_id,
+          item_id, score_delta, interaction_delta + 1000 * k AS interaction_delta FROM b WHERE NOT (k = 9 AND item_id % 10 = 3)""",
+    "marks_ttl": """
+        WITH RECURSIVE m AS (
+            SELECT CASE event_type WHEN 'view' THEN 'views' WHEN 'click' THEN 'clicks' WHEN 'purchase' THEN 'purchases' END AS topic,
+              CASE WHEN event_id % 53 <> 0 THEN 'm' || (user_id * 7 + event_id % 3) % 97 END AS event_id,
+              ts AS arrived, CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS seq FROM events),
+          numbered AS MATERIALIZED (
+            SELECT *, row_number() OVER (PARTITION BY topic, event_id ORDER BY arrived, partition, seq) AS n,
+              arrived + CASE topic WHEN 'views' THEN INTERVAL 2 DAY WHEN 'purchases' THEN INTERVAL 14 DAY ELSE INTERVAL 7 DAY END AS until
+            FROM m WHERE event_id IS NOT NULL),
+          walk AS (
+            SELECT *, until AS alive, true AS first FROM numbered WHERE n = 1
+            UNION ALL
+            SELECT e.*, CASE WHEN e.arrived < w.alive THEN w.alive ELSE e.until END, e.arrived >= w.alive
+            FROM walk w JOIN numbered e ON e.topic IS NOT DISTINCT FROM w.topic AND e.event_id = w.event_id AND e.n = w.n + 1)
+        SELECT topic, event_id, arrived, partition, seq, CASE WHEN first THEN 'FIRST' ELSE 'DUPLICATE' END AS outcome FROM walk
+        UNION ALL SELECT topic, event_id, arrived, partition, seq, 'UNUSABLE' FROM m WHERE event_id IS NULL""",
     "top_items_per_user": """
         SELECT p.user_id, CAST(row_number() OVER w AS INTEGER) AS rank, p.item_id, preference_score, interaction_count,
           name, category

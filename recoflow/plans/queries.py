@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -13,7 +15,10 @@ from recoflow.operators import (
     events as ev, ingest as ing, ledger, merge, orders, preference, profile, pulls, quality, recall, supplier, windows,
 )
 from recoflow.plans import tables as t, training
+from recoflow.operators.marks import MarkStore
+from recoflow.session import cut_lineage, shared_checkpoint_dir
 from recoflow.sources import readers
+from recoflow.sources.merge_log import DELETED, MergeLog
 
 NOW = t.NOW
 Query = Callable[[SparkSession, str], DataFrame]
@@ -604,3 +609,35 @@ def top_items_per_user(spark, d):
     best = Window.partitionBy("user_id").orderBy(F.desc("preference_score"), F.asc("item_id"))
     ranked = offered.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= windows.TOP_N)
     return ranked.select("user_id", "rank", "item_id", "preference_score", "interaction_count", "name", "category")
+
+
+# Logs of batches.
+
+@query
+def delta_log_merge(spark, d):
+    """Daily preference deltas in nine overlapping batches, removals in the last; merged level by level, read newest per key."""
+    deltas = windows.preference_delta(t.behavior_events(spark, d), "1 day")
+    keys = ["user_id", "item_id", "window_start", "window_end"]
+    log = MergeLog(spark, f"{shared_checkpoint_dir(spark)}/delta-log-{uuid.uuid4().hex}", keys, ["window_date"], fanout=4)
+    day = F.dayofmonth("window_start")
+    for batch in range(1, 10):
+        part = deltas.filter(day.between(3 * batch - 2, 3 * batch + 3))
+        part = part.withColumn("interaction_delta", F.col("interaction_delta") + 1000 * batch)
+        removed = (F.col("item_id") % 10 == 3) if batch == 9 else F.lit(False)
+        log.append(part.withColumn("window_date", F.to_date("window_start")).withColumn(DELETED, F.coalesce(removed, F.lit(False))), batch)
+        log.compact()
+    return log.read().drop("window_date")
+
+
+@query
+def marks_ttl(spark, d):
+    """Messages in three batches against durable marks that live 7 days, 2 for views and 14 for purchases."""
+    messages = t.timed_messages(spark, d)
+    store = MarkStore(spark, f"{shared_checkpoint_dir(spark)}/marks-{uuid.uuid4().hex}", 7, {"views": 2, "purchases": 14}, fanout=2)
+    day, parts = F.dayofmonth("arrived"), []
+    for batch, (first, last) in enumerate(((1, 9), (10, 19), (20, 31)), 1):
+        judged = cut_lineage(store.acquire(messages.filter(day.between(first, last)), batch))
+        store.remember(judged, batch)
+        store.compact(F.lit(f"2024-01-{last:02}").cast("date"))
+        parts.append(judged)
+    return reduce(DataFrame.unionByName, parts)

@@ -292,3 +292,14 @@ def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = c.filter(key < 2).select(
         key.alias("line_no"), F.when(key == 0, F.lit("Customers")).otherwise(F.lit("id,name,,note")).alias("text"))
     return head.unionByName(body)
+
+
+def timed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of three topics and of none, resent over weeks; offsets repeat across partitions, some ids are null."""
+    e, key = table(spark, sf_dir, "events"), F.col("event_id")
+    topics = {"view": "views", "click": "clicks", "purchase": "purchases"}
+    return e.select(
+        _case(F.col("event_type"), topics, None).alias("topic"),
+        F.when(key % 53 != 0, F.concat(F.lit("m"), (F.col("user_id") * 7 + key % 3) % 97)).alias("event_id"),
+        F.col("ts").alias("arrived"), (key % 3).cast("int").alias("partition"), F.floor(key / 3).alias("seq"),
+    )
