@@ -63,6 +63,22 @@ def serve(recall: DataFrame, version: str, catalog: DataFrame, preference: DataF
     )
 
 
+def serve_active(recall: DataFrame, registry: DataFrame, catalog: DataFrame, preference: DataFrame, limit: int,
+                 models: Sequence[str] | None = None) -> DataFrame:
+    """``serve`` with the version that the registry names, for all active models or the given ones; adds ``model_name``.
+
+    The version is joined, not fetched while the plan is made: a model that switches between plan and run is served by its new
+    version, and Spark prunes the partitions of the others. A model without an active version serves nothing.
+    """
+    active = registry.filter((F.col("status") == "ACTIVE") & F.col("current_version").isNotNull())
+    active = active if models is None else active.filter(F.col("model_name").isin(list(models)))
+    versions = active.select("model_name", F.col("current_version").alias("model_version"))
+    rows = unseen(recall.join(versions, "model_version").select("model_name", "user_id", "item_id", "rank_position", "score"), preference)
+    position = F.row_number().over(Window.partitionBy("model_name", "user_id").orderBy("rank_position"))
+    best = on_shelf(rows, catalog).withColumn("_position", position).filter(F.col("_position") <= limit)
+    return best.select("model_name", "user_id", "item_id", "rank_position", "score", "name", "category", "price", "tags")
+
+
 def serve_user(recall: DataFrame, version: str, catalog: DataFrame, preference: DataFrame,
                user_id: int, limit: int) -> DataFrame:
     """Recall list of one user in rank order."""

@@ -52,12 +52,10 @@ INPUTS = {
           AS interaction_count, min(window_start) AS last_window_start, max(window_end) AS last_window_end
         FROM deltas_day GROUP BY 1, 2""",
     "recall": """
-        SELECT v.model_version, u.user_id, t.item_id, CAST(t.rank_position AS INTEGER) AS rank_position, t.score
-        FROM (VALUES ('als_v0'), ('als_v1'), ('als_v2')) v(model_version),
-          (SELECT DISTINCT user_id FROM behavior_events) u,
-          (SELECT item_id, score, row_number() OVER (ORDER BY score DESC, item_id) AS rank_position
-           FROM (SELECT item_id, sum(preference_score) AS score FROM preference GROUP BY 1)) t
-        WHERE t.rank_position <= 50""",
+        SELECT v.model_version, p.user_id - 1 AS user_id, p.item_id, p.preference_score AS score,
+          CAST(row_number() OVER (PARTITION BY v.model_version, p.user_id ORDER BY p.preference_score DESC, p.item_id) AS INTEGER)
+            AS rank_position
+        FROM (VALUES ('als_v0'), ('als_v1'), ('als_v2')) v(model_version), preference p""",
     "summary_7d": """
         SELECT user_id, behavior_type, CAST(sum(event_count) AS BIGINT) AS total_count FROM aggregates_day
         WHERE window_start >= TIMESTAMP '2024-01-24' GROUP BY 1, 2""",
@@ -296,6 +294,12 @@ SQL = {
         SELECT model_version, user_id, item_id, rank_position, score FROM recall
         WHERE model_version = 'als_v2' AND user_id IN (SELECT user_id FROM behavior_events
           WHERE behavior_type = 'PURCHASE' AND event_time BETWEEN TIMESTAMP '2024-01-29' AND TIMESTAMP '2024-01-31')""",
+    "recall_active": """
+        WITH g AS (SELECT p_brand AS model_name, 'als_v' || count(*) % 3 AS version FROM part GROUP BY 1 HAVING sum(p_size) % 3 <> 0)
+        SELECT g.model_name, r.user_id, r.item_id, r.rank_position, r.score, c.name FROM g JOIN recall r ON r.model_version = g.version
+          JOIN item_catalog c USING (item_id)
+        WHERE NOT EXISTS (SELECT 1 FROM preference p WHERE p.user_id = r.user_id AND p.item_id = r.item_id)
+        QUALIFY row_number() OVER (PARTITION BY g.model_name, r.user_id ORDER BY r.rank_position) <= 2""",
     "recall_purge": "SELECT * FROM recall WHERE model_version <> 'als_v0'",
     "model_switch": """
         SELECT b.model_name, coalesce(n.v, b.current_version) AS current_version,
@@ -304,7 +308,7 @@ SQL = {
           CASE WHEN n.v IS NULL THEN TIMESTAMP '2024-01-31' ELSE TIMESTAMP '2024-02-01' END AS updated_at
         FROM (SELECT p_brand AS model_name, 'als_' || max(p_partkey) AS current_version,
                 'als_' || min(p_partkey) AS previous_version FROM part GROUP BY 1) b
-        LEFT JOIN (SELECT p_brand AS model_name, 'als_new_' || count(*) AS v FROM part WHERE p_size > 25 GROUP BY 1) n
+        LEFT JOIN (SELECT p_brand AS model_name, 'als_new_' || count(*) AS v FROM part GROUP BY 1 HAVING max(p_size) % 2 = 0) n
           USING (model_name)""",
     "catalog_by_price": """
         SELECT item_id, name, CAST(price AS DOUBLE) AS price FROM item_catalog

@@ -160,11 +160,24 @@ def _registry(spark, d):
 
 @query
 def model_switch(spark, d):
-    releases = t.table(spark, d, "part").filter(F.col("p_size") > 25).groupBy(F.col("p_brand").alias("model_name")).agg(
-        F.concat(F.lit("als_new_"), F.count(F.lit(1))).alias("new_version"))
+    """Brands whose largest part has an even size release a new version."""
+    releases = t.table(spark, d, "part").groupBy(F.col("p_brand").alias("model_name")).agg(
+        F.concat(F.lit("als_new_"), F.count(F.lit(1))).alias("new_version"), F.max("p_size").alias("size"))
+    releases = releases.filter(F.col("size") % 2 == 0).drop("size")
     return recall.switch_version(_registry(spark, d), releases.withColumn("updated_at", ev.moment(datetime(2024, 2, 1))))
 
 
+@query
+def recall_active(spark, d):
+    """Each brand's model serves the version that the registry names; some models are not active."""
+    registry = t.table(spark, d, "part").groupBy(F.col("p_brand").alias("model_name")).agg(
+        F.concat(F.lit("als_v"), F.count(F.lit(1)) % 3).alias("current_version"),
+        F.when(F.sum("p_size") % 3 != 0, F.lit("ACTIVE")).otherwise(F.lit("RETIRED")).alias("status"))
+    served = recall.serve_active(
+        t.recall_lists(spark, d), registry, t.item_catalog(spark, d), t.preference_matrix(spark, d), 2)
+    return served.select("model_name", "user_id", "item_id", "rank_position", "score", "name")
+
+
 @query
 def catalog_by_price(spark, d):
     return recall.by_category(t.item_catalog(spark, d), "ECONOMY", 950, 1000).select(

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from recoflow.operators import preference, windows
 from recoflow.schemas import KEY_VALUE_DUMP
 
 # All recency rules of the registered queries use this moment as "now".
 NOW = datetime(2024, 1, 31)
-RECALL_ITEMS = 50
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,20 +70,13 @@ def preference_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recall_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three versions of a popularity list for every user; the list has 50 items, whatever the data size."""
-    popularity = preference_matrix(spark, sf_dir).groupBy("item_id").agg(F.sum("preference_score").alias("score"))
-    best = popularity.orderBy(F.desc("score"), F.asc("item_id")).limit(RECALL_ITEMS)
-    entry = F.struct((-F.col("score")).alias("s"), F.col("item_id"))
-    top = best.agg(F.sort_array(F.collect_list(entry)).alias("list"))
-    users = behavior_events(spark, sf_dir).select("user_id").distinct()
+    """Three versions of a list for every user: all items the user with the next id prefers, best first."""
+    best = Window.partitionBy("user_id").orderBy(F.desc("preference_score"), F.asc("item_id"))
+    ranked = preference_matrix(spark, sf_dir).withColumn("rank_position", F.row_number().over(best))
     versions = F.explode(F.array(F.lit("als_v0"), F.lit("als_v1"), F.lit("als_v2")))
-    return (
-        users.select("user_id", versions.alias("model_version"), top.scalar().alias("list"))
-        .select("model_version", "user_id", F.posexplode("list").alias("position", "entry"))
-        .select("model_version", "user_id", F.col("entry.item_id").alias("item_id"),
-                (F.col("position") + 1).alias("rank_position"), (-F.col("entry.s")).alias("score"),
-                F.lit("ALS").alias("source"))
-    )
+    return ranked.select(
+        versions.alias("model_version"), (F.col("user_id") - 1).alias("user_id"), "item_id", "rank_position",
+        F.col("preference_score").alias("score"), F.lit("ALS").alias("source"))
 
 
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

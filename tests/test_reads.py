@@ -42,6 +42,24 @@ def test_serving_one_user_equals_serving_all(spark, sf_dir, matrix):
     assert not seen & {r.item_id for r in mine}
 
 
+def test_serving_follows_the_registry(spark, sf_dir, matrix):
+    lists, catalog = tables.recall_lists(spark, sf_dir), tables.item_catalog(spark, sf_dir)
+    lists = lists.withColumn("rank_position", F.when(F.col("model_version") == "als_v1", F.col("rank_position") + 100).otherwise(F.col("rank_position")))
+    def registry(*rows):
+        return spark.createDataFrame(rows, "model_name string, current_version string, status string")
+
+    def served(*rows, models=None):
+        got = recall.serve_active(lists, registry(*rows), catalog, matrix, 5, models).filter("user_id = 4")
+        return sorted((r.model_name, r.item_id, r.rank_position) for r in got.collect())
+
+    second = recall.serve(lists, "als_v2", catalog, matrix, 5).filter("user_id = 4").collect()
+    first = recall.serve(lists, "als_v1", catalog, matrix, 5).filter("user_id = 4").collect()
+    both = sorted([("m", r.item_id, r.rank_position) for r in second] + [("n", r.item_id, r.rank_position) for r in first])
+    rows = ("m", "als_v2", "ACTIVE"), ("n", "als_v1", "ACTIVE"), ("o", "als_v1", "RETIRED"), ("p", None, "ACTIVE"), ("q", "gone", "ACTIVE")
+    assert served(*rows) == both and both
+    assert served(*rows, models=["n", "o"]) == [r for r in both if r[0] == "n"]
+
+
 def test_newest_version(spark):
     rows = spark.createDataFrame([("a", 1), ("b", 3), ("c", 2)], "model_version string, created_at int")
     assert recall.newest_version(rows).first().model_version == "b"
