@@ -98,10 +98,12 @@ def target_verdict(
     for block in blocks:
         listed = listed | in_block(address, block)
     local = (name == "localhost") | name.endswith(".local")
+    # The metadata address however it is written.
+    metadata = in_block(address, f"{METADATA_ADDRESS}/32")
     private = ~is_public(address) if public_only else F.lit(False)
     return (
         F.when(listed, F.lit("ALLOWED")).when(local, F.lit("LOCAL_HOST"))
-        .when(address == METADATA_ADDRESS, F.lit("METADATA_ADDRESS")).when(private, F.lit("NON_PUBLIC"))
+        .when(metadata, F.lit("METADATA_ADDRESS")).when(private, F.lit("NON_PUBLIC"))
         .otherwise(F.lit("ALLOWED"))
     )
 

@@ -185,7 +185,9 @@ INPUTS = {
         SELECT event_id AS seq, '10.1.0.' || (user_id % 20) AS client, ts AS asked_at,
           CASE WHEN k % 10 = 0 THEN 'LOCALHOST' WHEN k % 10 = 1 THEN 'db' || k || '.local'
             ELSE 'db' || k || '.example.org' END AS host,
-          CASE WHEN k = 99 THEN '169.254.169.254' ELSE CASE k % 7 WHEN 0 THEN '10.0.' WHEN 1 THEN '192.168.'
+          CASE WHEN k % 11 = 4 THEN list_extract(['2001:4860:4860::8888', '::ffff:8.8.8.8', '2A00:1450:4001:80b::200e', '2001:::::1',
+              '2002:7f00:1::', '::ffff:10.0.0.1', '::1', 'fe80::1'], k // 11 + 1)
+            WHEN k = 99 THEN '169.254.169.254' ELSE CASE k % 7 WHEN 0 THEN '10.0.' WHEN 1 THEN '192.168.'
             WHEN 2 THEN '8.8.' WHEN 3 THEN '172.20.' WHEN 4 THEN '203.0.' WHEN 5 THEN '127.0.' ELSE '169.254.' END
             || (k % 13) || '.' || (k % 29) END AS address
         FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k FROM events)""",
@@ -657,14 +659,30 @@ SQL = {
         SELECT order_no, count(DISTINCT idempotency_key) AS key_count FROM payment_requests GROUP BY 1
         HAVING count(DISTINCT idempotency_key) > 1""",
     "target_guard": """
-        WITH a AS (SELECT *, CAST(split_part(address, '.', 3) AS INTEGER) AS third FROM access_log)
+        WITH a AS (SELECT *, CASE WHEN address NOT LIKE '%:%' THEN CAST(split_part(address, '.', 3) AS INTEGER) END AS third FROM access_log)
         SELECT seq, host, address, CASE
           WHEN host = 'db21.local' OR host LIKE '%3.example.org'
             OR (address LIKE '192.168.%' AND third BETWEEN 4 AND 7) THEN 'ALLOWED'
           WHEN host = 'LOCALHOST' OR host LIKE '%.local' THEN 'LOCAL_HOST'
           WHEN address = '169.254.169.254' THEN 'METADATA_ADDRESS'
+          WHEN address IS NULL OR address IN ('2001:::::1', '2002:7f00:1::', '::ffff:10.0.0.1', '::1', 'fe80::1') THEN 'NON_PUBLIC'
           WHEN regexp_matches(address, '^(10|127|169\\.254|172\\.20|192\\.168)\\.') THEN 'NON_PUBLIC'
           ELSE 'ALLOWED' END AS verdict FROM a""",
+    "target_networks": """
+        WITH a AS (SELECT *, regexp_extract(address, '^(::ffff:)?([0-9]+)\\.([0-9]+)\\.([0-9]+)\\.([0-9]+)$',
+              ['m', 'o1', 'o2', 'o3', 'o4']) AS o FROM access_log),
+          n AS (SELECT seq, address, CASE WHEN o.o1 <> '' THEN ((TRY_CAST(o.o1 AS BIGINT) * 256 + TRY_CAST(o.o2 AS BIGINT)) * 256 + TRY_CAST(o.o3 AS BIGINT)) * 256
+              + TRY_CAST(o.o4 AS BIGINT) END AS num FROM a),
+          b AS (SELECT '8.8.' || n_nationkey || '.0/26' AS cidr, n_name AS owner, 26 AS bits, (8 * 256 + 8) * 65536 + n_nationkey * 256 AS low
+                FROM nation WHERE n_nationkey <> 3
+                UNION ALL SELECT '8.0.0.0/8', r_name, 8, 8 * 16777216 FROM region WHERE r_regionkey = 0
+                UNION ALL SELECT '192.168.0.0/22', r_name, 22, CAST(192 * 256 + 168 AS BIGINT) * 65536 FROM region WHERE r_regionkey = 1
+                UNION ALL SELECT '203.0.0.0/13', r_name, 13, CAST(203 AS BIGINT) * 16777216 FROM region WHERE r_regionkey = 3
+                UNION ALL SELECT '::ffff:10.0.0.0/119', r_name, 23, 10 * 16777216 FROM region WHERE r_regionkey = 4),
+          m AS (SELECT n.seq, b.cidr, b.owner FROM n JOIN b ON n.num >= b.low AND n.num < b.low + CAST(2 ** (32 - b.bits) AS BIGINT)
+                QUALIFY row_number() OVER (PARTITION BY n.seq ORDER BY b.bits DESC) = 1
+                UNION ALL SELECT n.seq, '2001:4860::/31', r_name FROM n, region WHERE r_regionkey = 2 AND address LIKE '2001:4860:%')
+        SELECT n.seq, n.address, m.cidr, m.owner FROM n LEFT JOIN m USING (seq)""",
     "request_cap": """
         WITH RECURSIVE numbered AS MATERIALIZED (
             SELECT *, row_number() OVER (PARTITION BY client ORDER BY asked_at, seq) AS n FROM access_log),

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from recoflow.functions import codes, scoring, text, transforms
+from recoflow.functions import codes, network, scoring, text, transforms
 from recoflow.functions.codes import backoff_seconds
 from recoflow.operators import (
     events as ev, ingest as ing, ledger, merge, orders, preference, profile, pulls, quality, recall, supplier, windows,
@@ -608,6 +608,13 @@ def target_guard(spark, d):
     return t.access_log(spark, d).select("seq", "host", "address", verdict.alias("verdict"))
 
 
+@query
+def target_networks(spark, d):
+    """Owner of the smallest block of a table of blocks that holds the address."""
+    matched = network.longest_match(t.access_log(spark, d), "address", t.network_blocks(spark, d))
+    return matched.select("seq", "address", F.col("block.cidr").alias("cidr"), F.col("block.owner").alias("owner"))
+
+
 @query
 def request_cap(spark, d):
     """Cap per client over two days, so that it binds in this table."""

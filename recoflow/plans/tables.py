@@ -247,12 +247,17 @@ def stock_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OTHER_ADDRESSES = ["2001:4860:4860::8888", "::ffff:8.8.8.8", "2A00:1450:4001:80b::200e", "2001:::::1", "2002:7f00:1::", "::ffff:10.0.0.1", "::1", "fe80::1"]
+
+
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Connection tests: client, target host and address."""
+    """Connection tests: client, target host and address, some of them IPv6, malformed or null."""
     e, k = table(spark, sf_dir, "events"), _k(F.col("props"))
     octets = {0: "10.0.", 1: "192.168.", 2: "8.8.", 3: "172.20.", 4: "203.0.", 5: "127.0.", 6: "169.254."}
     address = F.when(k == 99, F.lit("169.254.169.254")).otherwise(
         F.concat(_case(k % 7, octets, "8.8."), (k % 13).cast("string"), F.lit("."), (k % 29).cast("string")))
+    others = F.array(*[F.lit(x) for x in OTHER_ADDRESSES])
+    address = F.when(k % 11 == 4, F.get(others, F.floor(k / 11).cast("int"))).otherwise(address)
     host = F.when(k % 10 == 0, F.lit("LOCALHOST")).when(k % 10 == 1, F.concat(F.lit("db"), k, F.lit(".local"))).otherwise(
         F.concat(F.lit("db"), k, F.lit(".example.org")))
     return e.select(
@@ -295,3 +300,13 @@ def timed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 53 != 0, F.concat(F.lit("m"), (F.col("user_id") * 7 + key % 3) % 97)).alias("event_id"),
         F.col("ts").alias("arrived"), (key % 3).cast("int").alias("partition"), F.floor(key / 3).alias("seq"),
     )
+
+
+def network_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks with owners: a small one per nation, a larger one per region, which nest; one is no block."""
+    region = {0: "8.0.0.0/8", 1: "192.168.0.0/22", 2: "2001:4860::/31", 3: "203.0.0.0/13", 4: "::ffff:10.0.0.0/119"}
+    nations = table(spark, sf_dir, "nation").select(
+        F.when(F.col("n_nationkey") == 3, F.lit("8.8.3.0/33")).otherwise(F.concat(F.lit("8.8."), "n_nationkey", F.lit(".0/26"))).alias("cidr"),
+        F.col("n_name").alias("owner"))
+    return nations.unionByName(table(spark, sf_dir, "region").select(
+        _case(F.col("r_regionkey"), region, None).alias("cidr"), F.col("r_name").alias("owner")))

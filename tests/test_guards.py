@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from recoflow.functions import network
 from recoflow.functions.network import is_public
 from recoflow.operators import ingest as ing, quality, recall
 
@@ -28,3 +29,71 @@ def test_one_sided_price_range(spark):
     assert sorted(r.price for r in recall.by_category(items, "a", low=5).collect()) == [5, 9]
     assert sorted(r.price for r in recall.by_category(items, "a", high=5).collect()) == [1, 5]
     assert recall.by_category(items, "a").count() == 3
+
+
+def test_addresses_are_read_like_a_standard_parser(spark):
+    import ipaddress
+    import random
+
+    rng = random.Random(11)
+    texts = ["::", "::1", "1::", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", "1::2::3", ":1:2:3:4:5:6:7:8",
+             "1:2:3:4:5:6:7:8:", "2001:::::1", ":::", ":", "", "g::1", "12345::", "::1.2.3.4", "::ffff:1.2.3.4", "1:2:3:4:5:6:1.2.3.4", "1:2:3:4:5:6:7:1.2.3.4",
+             "::1.2.3", "::1.2.3.456", "1.2.3.4::", "::ffff:01.2.3.4", "fe80::1%eth0", "ABCD::EF01", "1.2.3.4", "256.1.1.1", "1.2.3", "2002:7f00:1::", " ::1"]
+    for _ in range(150):
+        texts.append(str(ipaddress.IPv6Address(rng.getrandbits(128) & rng.choice([(1 << 128) - 1, (1 << 64) - 1, ((1 << 64) - 1) << 64, 0xFFFF << 80 | 0xFFFF]))))
+
+    def digits(text):
+        try:
+            a = ipaddress.ip_address(text)
+        except ValueError:
+            return None
+        if a.version == 6 and a.scope_id:
+            return None
+        a = getattr(a, "ipv4_mapped", None) or a
+        return f"{int(a):0{a.max_prefixlen // 4}x}"
+
+    rows = spark.createDataFrame([(x,) for x in texts] + [(None,)], "a string").select("a", network.address_hex(F.col("a")).alias("h")).collect()
+    # A leading zero in a dotted part is read by its value, as it always was here.
+    assert {r.a: r.h for r in rows if r.a != "::ffff:01.2.3.4"} == {**{x: digits(x) for x in texts if x != "::ffff:01.2.3.4"}, None: None}
+
+
+def test_public_addresses_of_version_six(spark):
+    cases = {"2001:::::1": False, "2002:7f00:1::": False, "2002:808:808::1": True, "2001:0:53aa:64c::1": False, "2606:4700::1111": True, "64:ff9b::8.8.8.8": False,
+             "::ffff:8.8.8.8": True, "::FFFF:192.168.0.1": False, "2000::": True, "3fff:ffff::": True, "4000::": False}
+    rows = spark.createDataFrame([(a,) for a in cases], "address string")
+    assert {r.address: r.ok for r in rows.select("address", is_public(F.col("address")).alias("ok")).collect()} == cases
+    verdict = quality.target_verdict(F.lit("db.example"), F.col("address"), blocks=["fd00::/8"])
+    got = spark.createDataFrame([("fd12::1",), ("::ffff:169.254.169.254",)], "address string").select(verdict.alias("v")).collect()
+    assert [r.v for r in got] == ["ALLOWED", "METADATA_ADDRESS"]
+
+
+def test_longest_prefix_against_a_table_of_blocks(spark):
+    import ipaddress
+    import random
+
+    rng = random.Random(5)
+    blocks = [("0.0.0.0/0",), ("::/0",), ("10.0.0.0/8",), ("10.1.0.0/16",), ("10.1.2.3/32",), ("bad",), ("10.0.0.0/40",), (None,), ("2001:db8::/32",), ("::ffff:9.0.0.0/104",)]
+    for _ in range(60):
+        bits = rng.randint(1, 32)
+        blocks.append((str(ipaddress.ip_network((rng.choice([10, 11]) << 24 | rng.getrandbits(24) & 0xF0F0, bits), strict=False)),))
+        blocks.append((str(ipaddress.ip_network((0x20010DB8 << 96 | rng.getrandbits(96) & (0xFF << 80), rng.randint(20, 128)), strict=False)),))
+    addresses = [None, "junk", "9.1.2.3", "8.8.8.8", "10.1.2.3", "2001:db8::1", "::ffff:10.1.2.3"] + [
+        str(ipaddress.ip_address(rng.choice([10, 11]) << 24 | rng.getrandbits(24) & 0xF0FF)) for _ in range(80)] + [
+        str(ipaddress.ip_address(0x20010DB8 << 96 | rng.getrandbits(96) & (0xFF << 80 | 1))) for _ in range(80)]
+    known = [ipaddress.ip_network(b[0]) for b in blocks if b[0] not in (None, "bad", "10.0.0.0/40", "::ffff:9.0.0.0/104")] + [ipaddress.ip_network("9.0.0.0/8")]
+
+    def longest(text):
+        try:
+            a = ipaddress.ip_address(text)
+        except ValueError:
+            return None
+        a = getattr(a, "ipv4_mapped", None) or a
+        return max((n.prefixlen for n in known if n.version == a.version and a in n), default=None)
+
+    frame = spark.createDataFrame([(i, a) for i, a in enumerate(addresses)] * 2, "seq int, address string")
+    got = network.longest_match(frame, "address", spark.createDataFrame(blocks, "cidr string")).collect()
+    assert len(got) == 2 * len(addresses)
+    for r in got:
+        cidr = None if r.block is None else r.block.cidr
+        bits = None if cidr is None else 8 if cidr.startswith("::ffff:") else ipaddress.ip_network(cidr).prefixlen
+        assert bits == longest(r.address or ""), r
