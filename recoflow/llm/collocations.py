@@ -16,7 +16,7 @@ LEAST, COVERED_PERCENT, TOP, LONGEST = 10, 50, 2000, 3
 SAMPLE_SHARE = 16
 #: Bits of a proposal bitmap for each item, and at most; what is broadcast and sent to the driver never exceeds them.
 BITS_PER_ITEM, BITS = 16, 1 << 26
-HOT_PARTS, SALTS, CHUNK, SHORT, ROWS = 256, 32, 4 << 20, 48, 1 << 16
+HOT_PARTS, SALTS, CHUNK, SHORT, ROWS = 256, 32, 3 << 20, 48, 1 << 15
 _U = np.uint64
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
@@ -239,7 +239,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample_share: int = SA
         # Plain arrays only: workers need no class of this package to read them.
         shared = context.broadcast([(p.words, p.pairs) for p in (*before, *([now] if now else []))])
         rows = source.mapInArrow(lambda it: count_rows(it, [Proposal(*x) for x in shared.value]), _COUNTS)
-        done = cut(rows.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= threshold) | (F.col("k") == 0)))
+        # Tasks have counted already: dealt out first, rows meet one hash table, in small partitions, instead of one per task and one after.
+        dealt = rows.repartition("lang", "k", "phrase")
+        done = cut(dealt.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= threshold) | (F.col("k") == 0)))
         shared.destroy()
         return done
 
@@ -280,7 +282,7 @@ def collocations(docs: DataFrame, least: int = LEAST, covered_percent: int = COV
     the lowest over the cuts of floor(10^6 a a / (l r)). A candidate goes if a longer one that holds it has ``covered_percent`` of
     its count or more. Products are decimals, exact for counts of up to 15 digits.
 
-    Tasks count phrases of about four megabytes of text before any shuffle, so a hot phrase or language reaches a reducer
+    Tasks count phrases of about three megabytes of text before any shuffle, so a hot phrase or language reaches a reducer
     as one row per task. Only bitmaps of fixed size are broadcast. A language's ranking is cut in ``SALTS`` parts first.
 
     Null texts are empty; a null language is ``und``. Rows that repeat count each time. An empty table gives no rows. Ties are
