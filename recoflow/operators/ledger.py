@@ -1,7 +1,7 @@
 """Payment orders, flash-sale reservations and stock counters as tables.
 
-State changes are logs that get replayed. The state graphs have no cycles, so an order changes state
-only a few times however many requests it receives; each change is found by one aggregation.
+State changes are logs that get replayed: each request is a map over the states, and a prefix scan over composed maps
+gives the state before each one. The state graphs have no cycles, so running aggregates of one order do the scan.
 """
 
 from __future__ import annotations
@@ -10,11 +10,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from recoflow.operators.events import moment
 from recoflow.operators.scan import Fold, sequential_fold
-from recoflow.operators.skew import MAX_ROWS_PER_KEY, rank_within
+from recoflow.operators.skew import BLOCK, MAX_ROWS_PER_KEY, rank_within, with_blocks
+from recoflow.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -48,81 +49,152 @@ RESERVATION = StateGraph(
 )
 
 
-def _next_state(graph: StateGraph, state: Column, action: Column) -> Column:
-    result = F.when(F.lit(False), F.lit(""))
-    for (source, name), target in graph.changes.items():
-        result = result.when((state == source) & (action == name), F.lit(target))
-    return result
+STATE_BITS = 4
 
 
-def _is_repeat(graph: StateGraph, state: Column, action: Column) -> Column:
-    result = F.lit(False)
-    for source, name in graph.repeats:
-        result = result | ((state == source) & (action == name))
-    return result
+def _states(graph: StateGraph) -> list[str]:
+    """Names of the states by number; the initial one is 0."""
+    return list(dict.fromkeys([graph.initial, *graph.changes.values()]))
 
 
-def _requests(log: DataFrame, key: str, order: Sequence[str], action: str) -> DataFrame:
-    """The columns a replay needs. All its steps read exactly these, so they share one shuffle."""
-    return log.select(key, *order, action).filter(F.col(key).isNotNull())
+def _maps(graph: StateGraph, action: Column) -> Column:
+    """What a request does, as a map over states packed in a long: ``STATE_BITS`` for each state hold the one after it."""
+    states = _states(graph)
 
+    def packed(name: str | None) -> int:
+        after = [graph.changes.get((state, name), state) for state in states]
+        return sum(states.index(state) << (STATE_BITS * i) for i, state in enumerate(after))
 
-def state_changes(log: DataFrame, key: str, order: Sequence[str], action: str, graph: StateGraph) -> DataFrame:
-    """Per key: ``steps``, an array of (at, state) with the changes that took effect.
+    result = F.when(F.lit(False), F.lit(0))
+    for name in dict.fromkeys(name for _, name in graph.changes):
+        result = result.when(action == name, F.lit(packed(name)))
+    return result.otherwise(F.lit(packed(None))).cast("bigint")
 
-    Step one is the earliest applicable request per key, an aggregate with a partial step. Each
-    further step looks only at requests after the one before. ``order`` must identify a request
-    within its key.
-    """
-    rows, at = _requests(log, key, order, action), F.struct(*order)
 
-    def earliest(state: Column, after: Column) -> Column:
-        target = _next_state(graph, state, F.col(action))
-        return F.min(F.when(after & target.isNotNull(), F.struct(at.alias("at"), target.alias("state")))).alias("_step")
+def _mapped(state: Column) -> Column:
+    shifted = F.call_function("shiftright", F.col("_map"), (state * STATE_BITS).cast("int"))
+    return shifted.bitwiseAND(F.lit((1 << STATE_BITS) - 1).cast("bigint"))
 
-    steps = (
-        rows.groupBy(key).agg(earliest(F.lit(graph.initial), F.lit(True)))
-        .filter(F.col("_step").isNotNull()).select(key, F.array("_step").alias("steps"))
-    )
-    for _ in range(graph.depth - 1):
-        last = F.element_at("steps", -1)
-        # The steps so far are the same on all rows of a key, so any of them will do.
-        found = rows.join(steps, key).groupBy(key).agg(
-            F.first("steps").alias("steps"), earliest(last["state"], at > last["at"]))
-        steps = found.select(key, F.concat("steps", F.array_compact(F.array("_step"))).alias("steps"))
-    return steps
-
-
-def _with_verdict(rows: DataFrame, order: Sequence[str], action: str, graph: StateGraph) -> DataFrame:
-    """State before each request and its verdict, from the steps of its key."""
-    at = F.struct(*order)
-    taken = F.filter("steps", lambda s: s["at"] < at)
-    before = F.coalesce(F.try_element_at(taken, F.lit(-1))["state"], F.lit(graph.initial))
-    applied = _next_state(graph, F.col("state_before"), F.col(action)).isNotNull()
-    verdict = (
-        F.when(applied, F.lit("APPLIED")).when(_is_repeat(graph, F.col("state_before"), F.col(action)), F.lit("REPEAT"))
-        .otherwise(F.lit("REJECTED"))
-    )
-    return rows.withColumn("state_before", before).withColumn("verdict", verdict)
 
+def _walk(rows: DataFrame, parts: Sequence[str], order: Sequence[str], entries: dict[str, Column], depth: int) -> DataFrame:
+    """Columns ``name`` (state before the row) and ``name_step`` (changes before it) for each entry state.
 
-def replay_log(log: DataFrame, key: str, order: Sequence[str], action: str, graph: StateGraph) -> DataFrame:
-    """Add ``state_before`` and ``verdict`` (APPLIED, REPEAT, REJECTED) to every request."""
-    steps = state_changes(log, key, order, action, graph)
-    return _with_verdict(log.join(steps, key, "left"), order, action, graph).drop("steps")
+    The graph has no cycles, so a key changes its state at most ``depth`` times. The j-th change is the first row after the
+    one before that its map moves: a running aggregate. All of them use one partitioning and one order.
+    """
+    before = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    for name, entry in entries.items():
+        rows = rows.withColumn(f"{name}_0", entry.cast("bigint"))
+    for level in range(depth):
+        last = {name: F.col(f"{name}_{level}") for name in entries}
+        rows = rows.withColumns({
+            f"{name}_{level + 1}": F.first(F.when(_mapped(s) != s, _mapped(s)), ignorenulls=True).over(before)
+            for name, s in last.items()})
+    for name in entries:
+        levels = [F.col(f"{name}_{level}") for level in range(depth, -1, -1)]
+        steps = sum((s.isNotNull().cast("int") for s in levels[:-1]), F.lit(0))
+        rows = rows.withColumns({name: F.coalesce(*levels), f"{name}_step": steps})
+        rows = rows.drop(*[f"{name}_{level}" for level in range(depth + 1)])
+    return rows
+
+
+def _replayed(rows: DataFrame, key: str, order: Sequence[str], action: str, graph: StateGraph, max_rows: int) -> DataFrame:
+    """``rows`` (non-null keys) with ``_before``, ``_before_step`` and ``_after``: a prefix scan over composed maps.
+
+    Keys with more than ``max_rows`` requests are cut into blocks. A block is walked from every state at once, which
+    composes its maps into one; the blocks of a key are then walked like requests and give each block its entry state.
+    """
+    blocked, cut = with_blocks(rows.withColumn("_map", _maps(graph, F.col(action))), [key], order[0], max_rows)
+    parts, entry = [key, BLOCK], F.lit(0)
+    if not cut:
+        blocked, parts = blocked.drop(BLOCK), [key]
+    else:
+        count = len(_states(graph))
+        sizes = blocked.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
+        several = sizes.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
+        inside = _walk(blocked.join(several, key, "left_semi"), parts, order, {f"_s{i}": F.lit(i) for i in range(count)}, graph.depth)
+        # A state's changes only grow along a block, so the largest (changes, state) is the one at its end.
+        ends = inside.groupBy(*parts).agg(*[F.max(_progress(f"_s{i}")).alias(f"_s{i}") for i in range(count)])
+        composed = sum((F.shiftleft(_state_of(F.col(f"_s{i}")), STATE_BITS * i) for i in range(count)), F.lit(0).cast("bigint"))
+        blocks = _walk(ends.select(*parts, composed.alias("_map")), [key], [BLOCK], {"_entry": F.lit(0)}, graph.depth)
+        blocked = blocked.join(cut_lineage(blocks.select(*parts, "_entry")), parts, "left")
+        entry = F.coalesce("_entry", F.lit(0))
+    walked = _walk(blocked, parts, order, {"_before": entry}, graph.depth)
+    return walked.withColumn("_after", _mapped(F.col("_before"))).drop(BLOCK, "_entry")
+
+
+def _progress(name: str) -> Column:
+    """Changes up to and with this row, then the state after it, as one number that never falls along a key."""
+    state, after = F.col(name), _mapped(F.col(name))
+    return (F.col(f"{name}_step") + (after != state).cast("int")).cast("bigint") * (1 << STATE_BITS) + after
+
+
+def _state_of(progress: Column) -> Column:
+    return progress.bitwiseAND(F.lit((1 << STATE_BITS) - 1).cast("bigint"))
+
+
+def _named(graph: StateGraph, state: Column) -> Column:
+    return F.get(F.array(*[F.lit(name) for name in _states(graph)]), state.cast("int"))
+
+
+def _verdict(graph: StateGraph, action: str) -> Column:
+    """Verdict of a request from the state before it."""
+    repeated = F.lit(False)
+    for state, name in graph.repeats:
+        repeated = repeated | ((F.col("_before") == _states(graph).index(state)) & (F.col(action) == name))
+    return (F.when(F.col("_after") != F.col("_before"), F.lit("APPLIED")).when(repeated, F.lit("REPEAT"))
+            .otherwise(F.lit("REJECTED")))
+
+
+def replay_log(log: DataFrame, key: str, order: Sequence[str], action: str, graph: StateGraph,
+               max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame:
+    """Add ``state_before`` and ``verdict`` (APPLIED, REPEAT, REJECTED) to every request.
+
+    ``order`` must identify a request within its key. A request without a key meets the initial state; one without an
+    action, or with an unknown one, is rejected.
+    """
+    keyed = _replayed(log.filter(F.col(key).isNotNull()), key, order, action, graph, max_rows)
+    lone = log.filter(F.col(key).isNull()).withColumn("_map", _maps(graph, F.col(action))).withColumn("_before", F.lit(0).cast("bigint"))
+    rows = keyed.unionByName(lone.withColumn("_after", _mapped(F.col("_before"))), allowMissingColumns=True)
+    return rows.select(*log.columns, _named(graph, F.col("_before")).alias("state_before"), _verdict(graph, action).alias("verdict"))
 
 
-def replay_summary(log: DataFrame, key: str, order: Sequence[str], action: str, graph: StateGraph) -> DataFrame:
-    """Final state and verdict counts per key."""
-    steps = state_changes(log, key, order, action, graph)
-    final = F.coalesce(F.try_element_at("steps", F.lit(-1))["state"], F.lit(graph.initial))
-    rows = _requests(log, key, order, action).join(steps, key, "left").withColumn("final_state", final)
-    # The final state is a function of the key; as a grouping column it keeps this a hash aggregate.
-    return _with_verdict(rows, order, action, graph).groupBy(key, "final_state").agg(
+def replay_summary(log: DataFrame, key: str, order: Sequence[str], action: str, graph: StateGraph,
+                   max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame:
+    """Final state and verdict counts per key; requests without a key are left out."""
+    rows = log.select(key, *order, action).filter(F.col(key).isNotNull())
+    walked = _replayed(rows, key, order, action, graph, max_rows).select(
+        key, _progress("_before").alias("_progress"), _verdict(graph, action).alias("verdict"))
+    summed = walked.groupBy(key).agg(
+        F.max("_progress").alias("_progress"),
         F.count_if(F.col("verdict") == "APPLIED").alias("applied"),
         F.count_if(F.col("verdict") == "REPEAT").alias("repeated"),
         F.count_if(F.col("verdict") == "REJECTED").alias("rejected"),
     )
+    return summed.select(key, _named(graph, _state_of(F.col("_progress"))).alias("final_state"), "applied", "repeated", "rejected")
+
+
+# What a reservation's changes do to the stock it holds.
+RESERVATION_MOVES = {"PAID": "CONFIRM", "RELEASED": "RELEASE"}
+
+
+def linked_moves(log: DataFrame, key: str, order: Sequence[str], action: str, graph: StateGraph,
+                 moves: dict[str, str] | None = None, done: DataFrame | None = None,
+                 max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame:
+    """Stock movements caused by the changes of another state machine: the columns of ``log``, ``move`` and ``move_id``.
+
+    Only a change that took effect moves stock, and a state is entered at most once, so ``move_id`` (key and move) names
+    a movement for good: a reservation that is released again, or whose log arrives again, returns its stock once. With
+    ``done`` (``move_id``) the movements already booked are left out. Requests without a key move nothing.
+    """
+    rows = _replayed(log.filter(F.col(key).isNotNull()), key, order, action, graph, max_rows)
+    entered = _named(graph, F.col("_after"))
+    move = F.coalesce(*[F.when(entered == state, F.lit(name)) for state, name in (moves or RESERVATION_MOVES).items()])
+    booked = (
+        rows.filter(F.col("_after") != F.col("_before")).select(*log.columns, move.alias("move"))
+        .filter(F.col("move").isNotNull()).withColumn("move_id", F.concat_ws(":", F.col(key).cast("string"), "move"))
+    )
+    return booked if done is None else booked.join(done.select("move_id"), "move_id", "left_anti")
 
 
 def conditional_transition(orders: DataFrame, requests: DataFrame, expected: str, target: str) -> DataFrame:

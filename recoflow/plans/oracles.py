@@ -594,6 +594,29 @@ SQL = {
         SELECT order_no AS reservation_id, arg_max(state, n) AS final_state,
           count(*) FILTER (n > 0 AND applied) AS applied, CAST(0 AS BIGINT) AS repeated,
           count(*) FILTER (NOT applied) AS rejected FROM walk GROUP BY 1""",
+    "release_moves": """
+        WITH RECURSIVE walk AS (
+            SELECT order_no, CAST(0 AS BIGINT) AS n, 'RESERVED' AS state, true AS applied
+            FROM (SELECT DISTINCT order_no FROM payment_log)
+            UNION ALL
+            SELECT w.order_no, l.n, coalesce(CASE
+                WHEN step = 'ORDER' AND state = 'RESERVED' THEN 'ORDER_CREATED'
+                WHEN step = 'PAY' AND state = 'ORDER_CREATED' THEN 'PAID'
+                WHEN step = 'CANCEL' AND state IN ('RESERVED', 'ORDER_CREATED') THEN 'CANCELLED'
+                WHEN step = 'EXPIRE' AND state IN ('RESERVED', 'ORDER_CREATED') THEN 'EXPIRED'
+                WHEN step = 'RELEASE' AND state NOT IN ('PAID', 'RELEASED') THEN 'RELEASED' END, state),
+              (step = 'ORDER' AND state = 'RESERVED') OR (step = 'PAY' AND state = 'ORDER_CREATED')
+                OR (step IN ('CANCEL', 'EXPIRE') AND state IN ('RESERVED', 'ORDER_CREATED'))
+                OR (step = 'RELEASE' AND state NOT IN ('PAID', 'RELEASED'))
+            FROM walk w JOIN payment_log l ON l.order_no = w.order_no AND l.n = w.n + 1),
+          finals AS (SELECT order_no, arg_max(state, n) AS state FROM walk GROUP BY 1),
+          skus AS (
+            SELECT o_custkey % 40 AS sku_id, count(*) AS n, count(*) FILTER (state = 'PAID') AS paid,
+              count(*) FILTER (state = 'RELEASED') AS released
+            FROM orders LEFT JOIN finals ON o_orderkey = order_no GROUP BY 1)
+        SELECT sku_id, n + 5 AS total_stock, 5 + released AS available_stock, n - paid - released AS reserved_stock,
+          paid AS sold_stock, paid + released AS version, CAST(0 AS BIGINT) AS refused, true AS identity_holds
+        FROM skus""",
     "payment_transition": """
         SELECT p.order_no, CASE WHEN m THEN 'CLOSED' ELSE status END AS status,
           CASE WHEN m THEN TIMESTAMP '2024-01-31' ELSE paying_started_at END AS updated_at

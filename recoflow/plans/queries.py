@@ -546,6 +546,19 @@ def reservation_replay(spark, d):
     return ledger.replay_summary(log, "reservation_id", t.PAYMENT_ORDER, "action", ledger.RESERVATION)
 
 
+@query
+def release_moves(spark, d):
+    """Stock after the changes of reservations, whose log arrives twice: each release returns its stock once."""
+    log = t.reservation_log(spark, d).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    sku = t.reservation_skus(spark, d)
+    order = [*t.PAYMENT_ORDER, "copy"]
+    moves = ledger.linked_moves(log, "reservation_id", order, "action", ledger.RESERVATION).join(sku, "reservation_id")
+    stock = ledger.replay_stock(moves, t.reserved_stock(spark, d), [*order, "reservation_id"])
+    broken = quality.stock_violations(stock).select("sku_id", F.lit(False).alias("_holds"))
+    return stock.join(broken, "sku_id", "left").select(
+        *stock.columns, F.coalesce("_holds", F.lit(True)).alias("identity_holds"))
+
+
 @query
 def payment_transition(spark, d):
     """Close the unpaid orders that were asked to close."""

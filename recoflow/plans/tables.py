@@ -180,6 +180,21 @@ def reservation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reservation_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which sku each reservation holds."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("reservation_id"), (F.col("o_custkey") % 40).alias("sku_id"))
+
+
+def reserved_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock that all reservations hold, and five pieces more of each sku."""
+    held = reservation_skus(spark, sf_dir).groupBy("sku_id").agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(0).cast("bigint")
+    return held.select(
+        "sku_id", (F.col("n") + 5).alias("total_stock"), F.lit(5).cast("bigint").alias("available_stock"),
+        F.col("n").alias("reserved_stock"), none.alias("sold_stock"), none.alias("version"))
+
+
 def payment_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create requests: one per order, resent for every third one, with another key for every fifteenth."""
     o, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")

@@ -5,6 +5,7 @@ import random
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from recoflow.operators import ledger, orders, quality
 
@@ -78,12 +79,14 @@ def test_the_topic_is_part_of_the_mark(spark):
 @pytest.mark.parametrize("graph, actions", [
     (ledger.PAYMENT, ["START", "SUCCESS", "CLOSE", "OTHER"]),
     (ledger.RESERVATION, ["ORDER", "PAY", "CANCEL", "EXPIRE", "RELEASE"])])
-def test_replay_equals_a_loop(spark, graph, actions):
+@pytest.mark.parametrize("max_rows", [9, 1_000_000])
+def test_replay_equals_a_loop(spark, graph, actions, max_rows):
+    """Key 0 holds a third of the rows; its blocks are walked apart when few rows are allowed."""
     rng = random.Random(9)
-    rows = [(rng.randrange(60), i, rng.choice(actions)) for i in range(500)]
+    rows = [(0 if rng.random() < 0.3 else rng.randrange(60), i, rng.choice(actions)) for i in range(500)]
     log = spark.createDataFrame(rows, "k int, seq bigint, action string")
-    got = {r.seq: (r.state_before, r.verdict) for r in ledger.replay_log(log, "k", ["seq"], "action", graph).collect()}
-    finals = {r.k: r.final_state for r in ledger.replay_summary(log, "k", ["seq"], "action", graph).collect()}
+    got = {r.seq: (r.state_before, r.verdict) for r in ledger.replay_log(log, "k", ["seq"], "action", graph, max_rows).collect()}
+    finals = {r.k: r.final_state for r in ledger.replay_summary(log, "k", ["seq"], "action", graph, max_rows).collect()}
     state = {}
     for k, seq, action in rows:
         now = state.get(k, graph.initial)
@@ -94,6 +97,45 @@ def test_replay_equals_a_loop(spark, graph, actions):
     assert finals == state
 
 
+def test_late_changes_cross_blocks(spark):
+    """The only applicable requests of a key lie in its first and last block."""
+    idle = [(1, i, "SUCCESS") for i in range(1, 60)]
+    log = spark.createDataFrame([(1, 0, "CLOSE"), *idle, (1, 60, "CLOSE"), (2, 5, "START")], "k int, seq bigint, action string")
+    got = ledger.replay_summary(log, "k", ["seq"], "action", ledger.PAYMENT, 10).collect()
+    assert sorted(map(tuple, got)) == [(1, "CLOSED", 1, 1, 59), (2, "PAYING", 1, 0, 0)]
+
+
+def test_requests_without_key_or_action(spark):
+    log = spark.createDataFrame([(None, 1, "START"), (None, 2, "SUCCESS"), (1, 3, None)], "k int, seq bigint, action string")
+    got = {r.seq: (r.state_before, r.verdict) for r in ledger.replay_log(log, "k", ["seq"], "action", ledger.PAYMENT).collect()}
+    assert got == {1: ("UNPAID", "APPLIED"), 2: ("UNPAID", "REJECTED"), 3: ("UNPAID", "REJECTED")}
+    assert [tuple(r) for r in ledger.replay_summary(log, "k", ["seq"], "action", ledger.PAYMENT).collect()] == [(1, "UNPAID", 0, 0, 1)]
+    assert ledger.replay_summary(log.limit(0), "k", ["seq"], "action", ledger.PAYMENT).count() == 0
+
+
+def test_replay_needs_one_exchange(spark):
+    log = spark.range(100).selectExpr("id % 7 AS k", "id AS seq", "'START' AS action")
+    plan = ledger.replay_summary(log, "k", ["seq"], "action", ledger.PAYMENT)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_a_release_returns_stock_once(spark):
+    rows = [(1, 1, "CANCEL"), (1, 2, "RELEASE"), (1, 3, "RELEASE"), (2, 4, "ORDER"), (2, 5, "PAY"), (2, 6, "RELEASE"),
+            (3, 7, "EXPIRE"), (None, 8, "RELEASE"), (4, 9, "RELEASE")]
+    log = spark.createDataFrame(rows, "k int, seq bigint, action string")
+    arguments = ("k", ["seq"], "action", ledger.RESERVATION)
+    moves = ledger.linked_moves(log, *arguments)
+    assert sorted((r.seq, r.move, r.move_id) for r in moves.collect()) == [
+        (2, "RELEASE", "1:RELEASE"), (5, "CONFIRM", "2:CONFIRM"), (9, "RELEASE", "4:RELEASE")]
+    later = spark.createDataFrame([*rows, (3, 10, "RELEASE"), (1, 11, "RELEASE")], log.schema)
+    assert [r.move_id for r in ledger.linked_moves(later, *arguments, done=moves.select("move_id")).collect()] == ["3:RELEASE"]
+    stock = spark.createDataFrame([(7, 10, 6, 4, 0, 0)], "sku_id int, total_stock bigint, available_stock bigint, "
+                                                         "reserved_stock bigint, sold_stock bigint, version bigint")
+    after = ledger.replay_stock(moves.withColumn("sku_id", F.lit(7)), stock)
+    assert [tuple(r) for r in after.collect()] == [(7, 10, 8, 1, 1, 3, 0)]
+    assert quality.stock_violations(after).count() == 0
+
+
 def test_first_create_wins(spark):
     rows = spark.createDataFrame(
         [(1, "k1", 5, "a"), (1, "k1", 7, "b"), (1, "k2", 6, "c"), (2, "k9", 1, "d"), (1, "k3", 9, "e")],
