@@ -194,7 +194,8 @@ def linked_moves(log: DataFrame, key: str, order: Sequence[str], action: str, gr
         rows.filter(F.col("_after") != F.col("_before")).select(*log.columns, move.alias("move"))
         .filter(F.col("move").isNotNull()).withColumn("move_id", F.concat_ws(":", F.col(key).cast("string"), "move"))
     )
-    return booked if done is None else booked.join(done.select("move_id"), "move_id", "left_anti")
+    # A few rows per key; a replay of the stock reads them several times and must not walk the log again.
+    return cut_lineage(booked if done is None else booked.join(done.select("move_id"), "move_id", "left_anti"))
 
 
 def conditional_transition(orders: DataFrame, requests: DataFrame, expected: str, target: str) -> DataFrame:
