@@ -7,14 +7,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from recoflow.llm.common import cut
 
 K, LEAF, SHARD_ROWS = 20, 128, 1 << 16
-# Whole numbers up to this size keep sums of products exact in 64 bits for up to 2^13 components.
-LARGEST = 1 << 24
-_ROWS = "shard long, kind int, id long, vector array<long>, least long"
+# Whole numbers up to this size keep sums of products exact in 64 bits for up to 2^13 components; others are Python's.
+LARGEST, LONG = 1 << 24, (1 << 63) - 1
+
+
+def as_long(scores: np.ndarray) -> np.ndarray:
+    """Scores beyond a long become the nearest long; 64-bit scores are exact as they are."""
+    return np.clip(scores, -LONG - 1, LONG) if scores.dtype == object else scores
 
 
 class KDTree:
@@ -41,7 +45,7 @@ class KDTree:
             if len(rows) > LEAF and wide.max(initial=0) > 0:
                 axis = int(wide.argmax())
                 half = len(rows) // 2
-                split = np.argpartition(own[:, axis], half)
+                split = own[:, axis].argsort() if own.dtype == object else np.argpartition(own[:, axis], half)
                 self.rows.append(rows[:0])
                 stack += [(rows[split[:half]], number, 0), (rows[split[half:]], number, 1)]
             else:
@@ -51,7 +55,7 @@ class KDTree:
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """The largest score any point of each box can have, per query and node."""
-        return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+        return as_long(np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T)
 
     def search(self, own: int, query: np.ndarray, bounds: np.ndarray, k: int, least: int | None) -> list[tuple[int, int]]:
         """(score, id) of the ``k`` best, ids ascending on ties; boxes below ``least`` or the kth score so far are not opened."""
@@ -68,20 +72,32 @@ class KDTree:
                         heapq.heappush(queue, (-bounds[child], child))
                 continue
             rows = self.rows[node]
-            scores = self.points[rows] @ query
+            rows = rows[self.ids[rows] != own]
+            scores = as_long(self.points[rows] @ query)
             if limit is not None:
                 good = scores >= limit
                 rows, scores = rows[good], scores[good]
-            if len(scores) > 4 * k:
-                order = np.lexsort((self.ids[rows], -scores))[:k + 1]
+            if len(scores) > 4 * k and scores.dtype != object:
+                order = np.lexsort((self.ids[rows], -scores))[:k]
                 rows, scores = rows[order], scores[order]
-            best += [(s, i) for s, i in zip(scores.tolist(), self.ids[rows].tolist()) if i != own]
+            best += zip(scores.tolist(), self.ids[rows].tolist())
             if len(best) >= k:
                 best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
                 limit = best[-1][0] if limit is None else max(limit, best[-1][0])
         return sorted(best, key=lambda x: (-x[0], x[1]))[:k]
 
 
+def exact(vector: list[float]) -> np.ndarray:
+    """Whole numbers of any size: 64 bits where sums of products stay exact, Python's own otherwise."""
+    if max(map(abs, vector), default=0) <= LARGEST:
+        return np.array(vector, np.int64)
+    return np.array([int(v) for v in vector], object)
+
+
+def stacked(vectors: list[np.ndarray]) -> np.ndarray:
+    return np.array(vectors, object if any(v.dtype == object for v in vectors) else np.int64)
+
+
 def search_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """A shard's points come first (kind 0), its queries follow (kind 1) and stream through its tree."""
     shard, ids, points, tree = None, [], [], None
@@ -92,7 +108,7 @@ def search_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
 
         def flush():
             if pending and tree is not None:
-                bounds = tree.bounds(np.array([q for _, q, _ in pending]))
+                bounds = tree.bounds(stacked([q for _, q, _ in pending]))
                 for (own, vector, least), row in zip(pending, bounds.tolist()):
                     out.extend((own, i, s) for s, i in tree.search(own, vector, row, k, least))
             pending.clear()
@@ -103,12 +119,12 @@ def search_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
                 shard, ids, points, tree = number, [], [], None
             if kind == 0:
                 ids.append(own)
-                points.append(np.array(vector, np.int64))
+                points.append(exact(vector))
             else:
                 if tree is None and ids:
-                    tree = KDTree(np.array(ids), np.array(points))
+                    tree = KDTree(np.array(ids), stacked(points))
                     ids, points = [], []
-                pending.append((own, np.array(vector, np.int64), least))
+                pending.append((own, exact(vector), least))
                 if len(pending) >= 256:
                     flush()
         flush()
@@ -117,9 +133,14 @@ def search_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
 
 def quantised(vectors: DataFrame, scale: int) -> DataFrame:
     """``id``, ``vector``: floor(scale * x) of usable vectors; see ``top_k``."""
-    x = F.transform("embedding", lambda v: F.floor(F.lit(float(scale)) * v.cast("double")))
+    def whole(v: Column) -> Column:
+        # Doubles beyond 2^53 are whole already, and floor would squeeze them into a long.
+        scaled = F.lit(float(scale)) * v.cast("double")
+        return F.when(F.abs(scaled) < 2.0 ** 53, F.floor(scaled).cast("double")).otherwise(scaled)
+
+    x = F.transform("embedding", whole)
     usable = (F.col("embedding").isNotNull() & F.col("vec_id").isNotNull()
-              & F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) <= LARGEST / scale)))
+              & F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))))
     return vectors.where(usable).select(F.col("vec_id").alias("id"), x.alias("vector"))
 
 
@@ -136,8 +157,9 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = K, scale: int = 64, shar
     memory; queries stream. Each query first visits one shard; its kth score there is a bound that the other shards
     start from, so most of their boxes are never opened. Each shard returns at most ``k`` rows per query.
 
-    Vectors that are null, or hold a null or non-finite component, take no part; nor do rows without an id, and vectors
-    with a component whose scaled size exceeds 2^24 (their sums would not be exact). Only vectors of one length compare.
+    Vectors that are null, or hold a null or non-finite component, take no part; nor do rows without an id. Only vectors
+    of one length compare. Large components are computed with whole numbers of any size; a score that does not fit a
+    long is given as the nearest long, and such scores tie.
     Rows that repeat an id are candidates each; a query that repeats counts once per distinct vector. Empty vectors score 0.
     """
     points = cut(quantised(vectors, scale))
