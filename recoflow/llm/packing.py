@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -19,13 +21,23 @@ CACHE_WORDS = 1 << 20
 # One run of letters, at most one mark after it: two units of the tokenizer whatever stands around them.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.!?;:|]?)")
 BOUNDARY = "<|endoftext|>"
+# White space of Unicode, which the tokenizer drops; U+001C to U+001F are no such characters, though str.split takes them.
+SEPARATORS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+ODD = re.compile("[\x1c-\x1f]")
+
+
+def split_words(text: str | None) -> list[str]:
+    if not text:
+        return []
+    return [word for word in SEPARATORS.split(text) if word] if ODD.search(text) else text.split()
 
 
 class WordCache:
     """Token ids (as bytes) of words between white space, with a bounded number of remembered words per worker.
 
     The tokenizer drops white space and never joins what it separates, so the ids of a text are those of its words one
-    after another. A full cache starts over.
+    after another. Words are held in two generations of ``limit / 2``: a full one becomes the older, whose words come
+    back when they are seen again, and the rest of the one before it is forgotten.
     """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
@@ -33,6 +45,7 @@ class WordCache:
         self.limit = limit
         self.boundary = self.tokenizer.token_to_id(BOUNDARY)
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
 
     def _encode(self, parts: list[str]) -> list[bytes]:
@@ -84,30 +97,38 @@ class WordCache:
         return [raw[a:z] for a, z in zip([0, *(last[:-1] * 4).tolist()], (last * 4).tolist())]
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [(t or "").split() for t in texts]
+        split = [split_words(t) for t in texts]
         flat = [w for words in split for w in words]
         got = list(map(self.words.get, flat))
         missing = [i for i, ids in enumerate(got) if ids is None]
         if missing:
-            new = list({flat[i] for i in missing})
-            if len(self.words) + len(new) > self.limit:
-                known = {flat[i]: ids for i, ids in enumerate(got) if ids is not None}
-                self.words, self.stems = known, {}
-            self._learn(new)
+            asked = {flat[i]: None for i in missing}
+            if self.older:
+                self.words.update((w, self.older[w]) for w in asked if w in self.older)
+            new = [w for w in asked if w not in self.words]
+            if new:
+                self._learn(new)
             for i in missing:
                 got[i] = self.words[flat[i]]
+            if 2 * len(self.words) > self.limit:
+                self.older, self.words, self.stems = self.words, {}, {}
         at = 0
         for words in split:
             yield b"".join(got[at:at + len(words)])
             at += len(words)
 
 
-_CACHES: dict[str, WordCache] = {}
+def worker_cache(path: str) -> WordCache:
+    """The cache of this Python worker. This module reaches workers by value, anew for each task, so what should outlive
+    a task is kept in a module of the worker's own."""
+    caches = vars(sys.modules.setdefault("_word_caches", types.ModuleType("_word_caches")))
+    if path not in caches:
+        caches[path] = WordCache(path)
+    return caches[path]
 
 
 def piece_rows(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    cache = _CACHES.setdefault(path, None) or WordCache(path)
-    _CACHES[path] = cache
+    cache = worker_cache(path)
     tail = np.array([end_id], "<u4").tobytes()
     for batch in batches:
         texts = batch.column(1)

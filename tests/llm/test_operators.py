@@ -128,6 +128,42 @@ def test_densification_borrows_from_full_bins():
     assert set(near_dup.densified(values, ask)) == {7}
 
 
+def test_search_with_repeated_ids_and_large_components(spark):
+    """A query that repeats loses none of its neighbours to its own rows; sums beyond 64 bits keep their order."""
+    rng = np.random.default_rng(6)
+    rows = [(20, [1.0, 1.0])] * 60 + [(i, [float(x) for x in rng.integers(-9, 9, 2)]) for i in range(101, 161) if i % 20]
+    rows += [(40, [300000.0, 1.0]), (41, [3e6, -2.0]), (60, [2.0 ** 25, 1.5]), (61, [2.0 ** 31 + 256, 1.0]), (80, [1e20, 1.0])]
+    whole = [(i, [int(64 * x) for x in v]) for i, v in rows]
+    clip = lambda s: max(-1 << 63, min((1 << 63) - 1, s))
+    expected = []
+    for q, a in dict((i, v) for i, v in whole if i % 20 == 0).items():
+        near = sorted((-clip(sum(x * y for x, y in zip(a, v))), i) for i, v in whole if i != q)[:20]
+        expected += [(q, r, i, -s) for r, (s, i) in enumerate(near, 1)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for shard_rows in (1 << 16, 16):
+        assert sorted(map(tuple, kd_search.top_k(vectors, shard_rows=shard_rows).collect())) == sorted(expected)
+
+
+def test_packing_splits_where_the_tokenizer_does(spark):
+    """Separators of str.split that are no white space, every other white space, and words told apart by one generation."""
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    texts = [f"a{chr(c)}b {chr(c)} c{chr(c)}" for c in [*range(1, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200D), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]]
+    texts += [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(30)] + ["same words again"] * 5 + texts[:9]
+    expected = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for limit in (16, 1 << 20):
+        cache = packing.WordCache(TOKENIZER, limit)
+        assert [ids for k in range(0, len(texts), 7) for ids in cache.encode(texts[k:k + 7])] == expected
+        assert len(cache.words) + len(cache.older) <= limit + 7 * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.ids_crc32 for r in packing.pack(docs, TOKENIZER).collect()}
+    assert got == {i: zlib.crc32(ids + bytes(4)) for i, ids in enumerate(expected)}
+
+
+def test_words_outlive_a_task():
+    first = packing.worker_cache(TOKENIZER)
+    assert packing.worker_cache(TOKENIZER) is first
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in components(chain).collect()}
