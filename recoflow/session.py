@@ -34,6 +34,11 @@ def build_session(app_name: str = "recoflow", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
+def one_process(master: str) -> bool:
+    """``local`` and ``local[…]``; ``local-cluster`` has executors of its own."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -46,7 +51,7 @@ def shared_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not context.master.startswith("local"):
+        if not one_process(context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="recoflow-checkpoint-")
     context.setCheckpointDir(configured)

@@ -9,6 +9,7 @@ from recoflow.functions import transforms
 from recoflow.operators import events, ingest as ing, orders, quality, skew
 from recoflow.sources import readers, sinks
 from recoflow.streaming import orders as order_stream
+from recoflow.session import one_process
 from test_orders import message
 
 START = datetime(2024, 1, 1)
@@ -123,3 +124,9 @@ def test_replaced_nulls_keep_the_type_of_a_number(spark):
         done = ing.transform_chain(df, [ing.TransformRule("n", "REPLACE_NULL", argument)])
         assert dict(done.dtypes)["n"] == kind and sorted(r.n for r in done.collect()) == values
     assert transforms.find("replace_null").code == "REPLACE_NULL"
+
+
+@pytest.mark.parametrize("master, alone", [
+    ("local", True), ("local[8]", True), ("local[*, 2]", True), ("local-cluster[2,1,1024]", False), ("spark://h:7077", False)])
+def test_a_local_folder_only_serves_one_process(master, alone):
+    assert one_process(master) is alone
