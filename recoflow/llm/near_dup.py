@@ -12,7 +12,6 @@ from recoflow.llm.common import components, cut, hashed_words, mix, pairs_once,
 
 WORDS, THRESHOLD_PERCENT = 5, 75
 BANDS, ROWS = 40, 4
-STAR_ROUNDS = 2
 _U = np.uint64
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
 
@@ -98,21 +97,23 @@ def overlap_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.R
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) whose full shingle sets reach the similarity."""
-    rows = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    # Texts grow with the corpus, so they are merged at every size and never broadcast.
+    rows = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
+            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
             .select("a", "b", "text_a", "text_b"))
     counted = rows.mapInArrow(lambda it: overlap_rows(it, words), "a long, b long, shared long, together long")
     return counted.where(F.lit(100) * F.col("shared") >= F.lit(percent) * F.col("together")).select("a", "b")
 
 
 def shingle_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of the texts (the last column), with the columns before it."""
     for batch in batches:
-        sets = shingle_sets(batch.column(1).to_pylist(), words)
+        sets = shingle_sets(batch.column(batch.num_columns - 1).to_pylist(), words)
         sizes = [len(x) for x in sets]
         if sum(sizes):
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(pa.array(np.repeat(np.arange(len(sets)), sizes))),
-                pa.array(np.concatenate(sets).view(np.int64))], names=["id", "shingle"])
+            at = pa.array(np.repeat(np.arange(len(sets)), sizes))
+            yield pa.RecordBatch.from_arrays([*(column.take(at) for column in batch.columns[:-1]), pa.array(np.concatenate(sets).view(np.int64))],
+                                             names=[*batch.schema.names[:-1], "shingle"])
 
 
 def shared_counts(texts: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -137,16 +138,89 @@ def split_buckets(buckets: DataFrame) -> DataFrame:
     return buckets.join(open_keys.select("key"), "key", "left_semi")
 
 
+def grouped(buckets: DataFrame) -> DataFrame:
+    """``id``, ``grp``: members that buckets connect, directly or over others, have the same group."""
+    first = buckets.groupBy("key").agg(F.min("id").alias("a"))
+    return components(buckets.join(first, "key").select("a", F.col("id").alias("b"))).select(F.col("node").alias("id"), F.col("component").alias("grp"))
+
+
+class Differences:
+    """The members of each group as differences to a base, the shingles that more than half of the group have.
+
+    |x - y| + |y - x| is the same for the sets and for their differences D to one base, so x and y link exactly if
+    2 (100 + p) |Dx & Dy| >= Qx + Qy with Q = (100 + p) |D| - (100 - p) n. Copies of one text share nearly all their shingles
+    but few of their differences. Only a difference that another member has (``usable`` of them) can be shared.
+    """
+
+    def __init__(self, members: DataFrame, texts: DataFrame, words: int, percent: int):
+        """``members``: ``id``, ``n`` (size of its set), ``grp``."""
+        self.weight, self.spare = 100 + percent, 100 - percent
+        self.texts, self.words = texts.select(F.col("doc_id").alias("id"), "text").hint("merge"), words
+        rows = self.rows_of(members)
+        sizes = members.groupBy("grp").agg(F.count("*").alias("members"))
+        seen = rows.groupBy("grp", "shingle").agg(F.count("*").alias("often")).where("often > 1").join(sizes, "grp")
+        #: Shingles of two members or more; ``differ`` is the number of members that differ from the base in it.
+        self.shingles = cut(seen.select("grp", "shingle", F.expr("2 * often > members").alias("base"),
+                                        F.expr("if(2 * often > members, members - often, often)").alias("differ")))
+        of_base = self.shingles.where("base").groupBy("grp").agg(F.count("*").alias("whole"), F.count_if(F.expr("differ > 1")).alias("whole_usable"))
+        own = (rows.join(self.shingles.hint("merge"), ["grp", "shingle"]).groupBy("id")
+               .agg(F.count_if("base").alias("held"), F.count_if(F.expr("base and differ > 1")).alias("held_usable"), F.count_if(F.expr("not base")).alias("extra")))
+        facts = (members.join(of_base, "grp", "left").join(own, "id", "left").na.fill(0)
+                 .select("id", "grp", "n", F.expr("whole + n - 2 * held").alias("size"), F.expr("extra + whole_usable - held_usable").alias("usable"))
+                 .withColumn("q", F.expr(f"{self.weight} * size - {self.spare} * n")))
+        #: ``room``: the largest ``q`` that a partner may have.
+        self.facts = cut(facts.withColumn("room", F.expr(f"{2 * self.weight} * usable - q")))
+
+    def rows_of(self, members: DataFrame) -> DataFrame:
+        words = self.words
+        return (members.select("id", "grp").join(self.texts, "id").select("id", "grp", "text")
+                .mapInArrow(lambda it: shingle_rows(it, words), "id long, grp long, shingle long"))
+
+    def stars(self) -> DataFrame:
+        """Pairs that link without a shared difference are all connected over the member nearest to the base."""
+        nearest = self.facts.groupBy("grp").agg(F.min_by(F.struct("id", "q"), F.struct("q", "id")).alias("c")).select("grp", F.col("c.id").alias("a"), F.col("c.q").alias("least"))
+        return self.facts.join(nearest, "grp").where("q + least <= 0 and id <> a").select("a", F.col("id").alias("b"))
+
+    def pairs(self, found: DataFrame) -> DataFrame:
+        """All pairs of different components that need a shared difference and may have enough of them.
+
+        Differences are ordered by how many members have them. If two members share k of theirs, the first
+        ``usable - k + 1`` of both hold a common one (prefix filter); k is the least that any partner can ask for.
+        """
+        mine = with_component(self.facts, found)
+        bounds = mine.groupBy("grp").agg(F.min("q").alias("least"), F.max("room").alias("most"), F.min("component").alias("low"), F.max("component").alias("high"))
+        mine = cut(mine.join(bounds.where("low <> high"), "grp").where("room >= least and q <= most and usable > 0").drop("low", "high"))
+        ids = mine.select("id", "grp")
+        held = self.rows_of(ids)
+        wide = self.shingles.where("differ > 1").hint("merge")
+        extra = held.join(wide.where("not base"), ["grp", "shingle"]).select("id", "grp", "shingle", "differ")
+        # Members times the base is at most twice the members' own shingles.
+        missing = (ids.join(wide.where("base"), "grp").select("id", "grp", "shingle", "differ")
+                   .join(held.select("id", "shingle").hint("merge"), ["id", "shingle"], "left_anti").select("id", "grp", "shingle", "differ"))
+        # A partner of the size its threshold allows, whose usable differences reach what this one asks for.
+        asked = F.expr(f"greatest(1, ceil((q + greatest(least, q - {2 * self.spare} * (100 * n div {100 - self.spare} + 1), 1 - q)) / {2 * self.weight}))")
+        short = mine.withColumn("prefix", F.expr("usable + 1") - asked).where("prefix > 0")
+        order = F.array_sort(F.collect_list(F.struct("differ", "shingle")))
+        first = (extra.unionByName(missing).groupBy("id").agg(order.alias("own")).join(short, "id")
+                 .select("id", "grp", "n", "q", "room", "component", F.explode(F.expr("slice(own, 1, int(prefix)).shingle")).alias("shingle")))
+        first = cut(first)
+        other = first.select("grp", "shingle", *[F.col(c).alias(f"other_{c}") for c in ("id", "n", "q", "room", "component")])
+        near = F.expr("id < other_id and component <> other_component and q + other_q > 0 and q <= other_room and other_q <= room "
+                      f"and 100 * least(n, other_n) >= {100 - self.spare} * greatest(n, other_n)")
+        return first.join(other, ["grp", "shingle"]).where(near).select(F.col("id").alias("a"), F.col("other_id").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD_PERCENT, bands: int = BANDS,
-                    rows: int = ROWS, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+                    rows: int = ROWS) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for each row of ``docs`` (``doc_id``, ``text``).
 
     Texts with the same shingle set form one class first (an aggregate, so thousands of copies cost one row per task).
     Class representatives are hashed once into ``bands * rows`` bins; each band is a bucket key. A bucket emits a star,
     its centre against the other members, never all its pairs. Links are confirmed on the full sets of both texts. As
-    a star can miss a link between two members, buckets whose members are not yet one component get further stars with
-    other centres; what is open after ``star_rounds`` is compared pair by pair across components, unless so many of a text's
-    shingles occur nowhere else that the pair cannot reach the similarity. So no link inside a bucket is lost. A pair at the threshold shares no bucket with probability (1 - 0.75^4)^40 = 2.5e-7.
+    a star can miss a link between two members, the members of buckets that are not yet one component are then joined by
+    their differences to what most of their group share (``Differences``): one more star, and a prefix filter on the rarest
+    differences. So no link inside a bucket is lost. A pair at the threshold shares no bucket with probability
+    (1 - 0.75^4)^40 = 2.5e-7.
 
     Null or empty texts and texts without words: empty set, own component. A null ``doc_id`` takes no part: null
     component, kept. Rows that repeat a ``doc_id`` are one node and get the same component. Other columns are ignored.
@@ -167,38 +241,26 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = THRESHOL
     buckets = cut(keyed.join(centres.select("key", "centre"), "key"))
     pairs = cut(pairs_once(buckets.select(F.col("centre").alias("a"), F.col("id").alias("b")), "a", "b"))
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = cut(python_rows(docs, "doc_id", "text").join(wanted, "doc_id", "left_semi"))
+    texts = cut(python_rows(docs, "doc_id", "text").join(wanted, "doc_id", "left_semi").distinct())
     links = cut(confirmed(pairs, texts, words, percent))
-    tried = pairs
-    share = F.expr(f"least(usable, other_usable) * {100 + percent} >= {percent} * (n + other_n)")
-    members = None
-    for turn in range(star_rounds + 1):
-        # One round may leave a component in parts, which costs comparisons but loses none.
-        found = cut(components(links, rounds=1))
-        open_buckets = cut(split_buckets(with_component(buckets.select("key", "id") if members is None else members, found)))
-        if open_buckets.isEmpty():
-            break
-        if members is None:
-            lonely = shared_counts(texts, open_buckets.select("id").distinct(), words)
-            sizes = known.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n")).distinct()
-            facts = (open_buckets.select("id").distinct().join(sizes, "id").join(lonely, "id", "left")
-                     .select("id", "n", (F.col("n") - F.coalesce("lonely", F.lit(0))).alias("usable"))
-                     .where(F.expr(f"usable * 100 >= {percent} * n")))
-            members = cut(open_buckets.drop("component").join(facts, "id"))
-            open_buckets = with_component(members, found)
-        right = open_buckets.select("key", F.col("id").alias("b"), F.col("component").alias("other"),
-                                    F.col("n").alias("other_n"), F.col("usable").alias("other_usable"))
-        if turn < star_rounds:
-            # Another centre for each bucket and round, so that the buckets of one group ask different members.
-            centre = right.groupBy("key").agg(F.min_by(F.struct("b", "other", "other_n", "other_usable"),
-                                                       F.xxhash64("key", "b", F.lit(turn))).alias("c")).select("key", "c.*")
-            fresh = open_buckets.withColumnRenamed("id", "a").join(centre, "key").where("component <> other").where(share)
-        else:
-            fresh = (open_buckets.withColumnRenamed("id", "a").join(right, "key")
-                     .where("a < b and component <> other").where(share))
-        fresh = cut(pairs_once(fresh.select("a", "b"), "a", "b").join(tried, ["a", "b"], "left_anti"))
-        links = cut(links.unionByName(confirmed(fresh, texts, words, percent)))
-        tried = tried.unionByName(fresh)
+    # One round may leave a component in parts, which costs comparisons but loses none.
+    found = cut(components(links, rounds=1))
+    open_buckets = cut(split_buckets(with_component(buckets.select("key", "id"), found)))
+    if not open_buckets.isEmpty():
+        ids = open_buckets.select("id").distinct()
+        sizes = known.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n")).distinct()
+        facts = (ids.join(sizes, "id").join(shared_counts(texts, ids, words), "id", "left")
+                 .where(F.expr(f"(n - coalesce(lonely, 0)) * 100 >= {percent} * n")).select("id", "n"))
+        # An id with several texts has no set of its own, so it meets the other members of its buckets one by one.
+        several = texts.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("texts")).where("texts > 1").select("id")
+        odd = cut(open_buckets.join(several, "id", "left_semi"))
+        members = cut(split_buckets(open_buckets.join(facts, "id").join(several, "id", "left_anti")))
+        differences = Differences(cut(members.select("id", "n").distinct().join(grouped(members), "id")), texts, words, percent)
+        met = (odd.select("key", F.col("id").alias("a"), F.col("component").alias("own"))
+               .join(open_buckets.withColumnRenamed("id", "b"), "key").where("own <> component").select("a", "b"))
+        for fresh in (lambda: differences.stars().unionByName(met), lambda: differences.pairs(cut(components(links, rounds=1)))):
+            candidates = cut(pairs_once(fresh(), "a", "b").join(pairs, ["a", "b"], "left_anti"))
+            links = cut(links.unionByName(confirmed(candidates, texts, words, percent)))
     whole = components(links.unionByName(copies))
     return (sketches.select("doc_id", "n_shingles")
             .join(whole.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")

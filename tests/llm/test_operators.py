@@ -121,6 +121,42 @@ def test_near_duplicates(spark, sf_dir, odd, nothing):
     assert sorted(repr(r.doc_id) for r in stay.collect()) == ["1", "2", "3", "4", "5", "7", "8", "9", "None"]
 
 
+def near_copies(count, changes, size, seed, first=0):
+    """Texts of ``size`` words that each differ from one base in about ``changes`` words of their own."""
+    import random
+
+    rng = random.Random(seed)
+    base = [f"w{seed}x{i}" for i in range(size)]
+    out = []
+    for i in range(count):
+        words = list(base)
+        for at in rng.sample(range(size), rng.choice(changes)):
+            words[at] = f"c{rng.randrange(40)}" if rng.random() < 0.5 else f"o{seed}y{i}z{at}"
+        out.append((first + i, " ".join(words)))
+    return out
+
+
+def test_near_copies_below_and_above_the_threshold(spark):
+    rows = (near_copies(60, (0, 1, 2, 3, 4, 5), 80, 1) + near_copies(60, (3, 4), 100, 2, 1000)
+            + near_copies(60, (4, 5, 6), 120, 3, 2000) + near_copies(40, (2, 3), 60, 4, 3000))
+    # An id with two texts of different groups, and a text twice under one id.
+    rows += [(5000, rows[70][1]), (5000, rows[130][1]), (5001, rows[5][1]), (5001, rows[5][1])]
+    check_near(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def candidate_pairs(spark, count):
+    docs = spark.createDataFrame(near_copies(count, (6, 7), 150, 7), "doc_id long, text string").cache()
+    members = docs.select(F.col("doc_id").alias("id"), F.lit(0).cast("long").alias("grp"), F.lit(146).cast("long").alias("n"))
+    found = near_dup.Differences(members, docs, 5, 75)
+    none = spark.createDataFrame([], "node long, component long")
+    return found.pairs(none).select("a", "b").distinct().count()
+
+
+def test_candidates_of_copies_below_the_threshold_stay_few(spark):
+    # Similarities of 0.55 to 0.7: all 44,850 pairs of 300 copies would share a bucket.
+    assert candidate_pairs(spark, 300) < 300
+
+
 def test_densification_borrows_from_full_bins():
     ask = near_dup.probes(16)
     values = np.full(16, near_dup._EMPTY)
