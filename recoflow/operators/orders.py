@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -119,6 +120,31 @@ def first_events(orders: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     return events.withColumn("outcome", outcome).withColumn("reason", reason).drop("_mark", "_known")
 
 
+def acquired_events(orders: DataFrame, acquire: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Every event with outcome and reason, where marks end: ``acquire`` (as in ``marks``) judges the good events.
+
+    ``mark`` keeps what ``acquire`` said (null for bad events). An event comes to effect again once its mark has ended, so a
+    batch may hold several. Good events without a time of arrival cannot be judged and are dead letters. Payloads are
+    parsed once: the decoded events are written before they are split.
+    """
+    checked = cut_lineage(orders.withColumn("reason", decode_error()))
+    good = F.col("reason").isNull()
+    rows = (
+        acquire(checked.filter(good)).withColumnRenamed("outcome", "mark")
+        .unionByName(checked.filter(~good).withColumn("mark", F.lit(None).cast("string")))
+    )
+    unusable, first = good & (F.col("mark") == "UNUSABLE"), good & (F.col("mark") == "FIRST")
+    unsupported = first & rate_to_cny(F.col("currency")).isNull()
+    outcome = (
+        F.when(~good | unusable | unsupported, F.lit("DEAD_LETTER")).when(first, F.lit("PROCESSED")).otherwise(F.lit("DUPLICATE"))
+    )
+    reason = (
+        F.when(unsupported, F.concat(F.lit("PERMANENT: unsupported currency "), "currency"))
+        .when(unusable, F.lit("DESERIALIZE_FAIL: Arrival")).otherwise(F.col("reason"))
+    )
+    return rows.withColumn("outcome", outcome).withColumn("reason", reason)
+
+
 def new_marks(classified: DataFrame) -> DataFrame:
     """Marks to remember: events that were first, whether loaded or refused for their currency."""
     marks = (F.col("outcome") == "PROCESSED") | F.startswith("reason", F.lit("PERMANENT"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from recoflow.operators import marks, windows
 from recoflow.sources import readers
 from recoflow.sources.merge_log import DELETED, MergeLog, Run, live_runs
-from recoflow.streaming import behavior
+from recoflow.streaming import behavior, orders as order_stream
 from recoflow.streaming.marks import acquire_stream
 from test_jobs import event, write_lines
 
@@ -204,3 +204,41 @@ def test_marks_in_a_stream(spark, tmp_path, files):
     query.awaitTermination(180)
     assert query.exception() is None
     assert outcomes(spark.read.parquet(str(tmp_path / "out"))) == judged(rows, 7, {"b": 2})
+
+
+def order_message(seq, topic, event_id, day, amount, currency="USD"):
+    at = None if day is None else (START + timedelta(days=day)).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+    return {"seq": seq, "partition": 0, "topic": topic, "timestamp": at, "value": json.dumps({
+        "eventId": event_id, "orderId": f"{topic}-{event_id}", "userId": 1, "status": "PAID", "amount": amount, "currency": currency,
+        "occurredAt": "2024-01-01T00:00:00Z"})}
+
+
+def test_order_stream_with_marks_that_end(spark, tmp_path):
+    source = tmp_path / "in"
+    write_lines(source / "1.json", [order_message(1, "t", "a", 0, 1), order_message(2, "t", "a", 1, 2), order_message(3, "u", "a", 0, 3)])
+    write_lines(source / "2.json", [order_message(4, "t", "a", 1.5, 4), order_message(5, "t", "g", 1, 5, "GBP"),
+                                    order_message(6, "t", "n", None, 6), order_message(7, "u", "a", 4, 7)])
+    write_lines(source / "3.json", [order_message(8, "t", "a", 3, 8), order_message(9, "u", "a", 5, 9), order_message(10, "t", "g", 2, 10, "GBP")])
+    schema = "seq bigint, partition int, topic string, timestamp timestamp, value string"
+    messages = readers.file_stream(spark, str(source), schema, max_files=1)
+    paths = order_stream.OrderPaths(*[str(tmp_path / n) for n in ("orders", "marks", "dead", "chk")])
+    life = order_stream.MarkLife(2, {"u": 30}, buckets=4)
+
+    def state():
+        # The mark of t/a ends on day 2, so its copy of day 3 counts again; that of u/a lives for 30 days.
+        kept = {r.order_id: float(r.amount) for r in spark.read.parquet(paths.orders).collect()}
+        letters = sorted((r.seq, r.error_reason) for r in spark.read.parquet(paths.dead_letters).collect())
+        return kept, letters
+
+    expected = ({"t-a": 8.0, "u-a": 3.0}, [(5, "PERMANENT: unsupported currency GBP"), (6, "DESERIALIZE_FAIL: Arrival")])
+    query = order_stream.start_order_stream(messages, paths, available_now=True, buckets=2, life=life)
+    query.awaitTermination(180)
+    assert query.exception() is None
+    assert state() == expected
+    # A replayed batch changes nothing; nor does the stream read again from a new checkpoint while all marks live.
+    last = spark.read.schema(schema).json(str(source / "3.json"))
+    order_stream.order_sink(paths, 2, life)(last, 2)
+    assert state() == expected
+    again = order_stream.OrderPaths(paths.orders, paths.marks, paths.dead_letters, str(tmp_path / "chk2"))
+    order_stream.order_sink(again, 2, life)(last, 0)
+    assert state() == expected
