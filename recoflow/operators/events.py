@@ -10,8 +10,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recoflow.functions.scoring import is_valid_rating, parsed_behavior_type
-from recoflow.operators.scan import Fold, sequential_fold
-from recoflow.operators.skew import MAX_ROWS_PER_KEY, as_number, rank_within
+from recoflow.operators.skew import MAX_ROWS_PER_KEY, as_number, rank_within, running_max_before
+from recoflow.session import cut_lineage
 
 HISTORY_LIMIT, HISTORY_STEP = 10_000, 1_000
 
@@ -62,16 +62,40 @@ def expired(events: DataFrame, now: datetime, valid_hours: int) -> DataFrame:
     return events.filter(F.col("event_time") < moment(now - timedelta(hours=valid_hours)))
 
 
-def _gap_step(gap_us: int):
-    def step(state: list[int], inputs: tuple) -> tuple[list[int], int]:
-        (at,) = inputs
-        if at is None:
-            return state, 0
-        if state and state[0] > at - gap_us:
-            return state, 0
-        return [at], 1
+#: Chains of up to so many times are walked as an array, longer ones by pointer doubling.
+CHAIN = 1_000
 
-    return step
+
+def _walk(times: DataFrame, gap_us: int) -> DataFrame:
+    """Kept times (``_key``, ``_at``) of short chains: the next one is the first that lies ``gap_us`` or more after the last."""
+    chains = times.groupBy("_key", "_start").agg(F.sort_array(F.collect_list("_at")).alias("_times"))
+    first = F.struct(F.col("_start").alias("last"), F.array().cast("array<bigint>").alias("kept"))
+
+    def step(state: Column, at: Column) -> Column:
+        taken = F.struct(at.alias("last"), F.concat(state["kept"], F.array(at)).alias("kept"))
+        return F.when(at - state["last"] >= gap_us, taken).otherwise(state)
+
+    return chains.select("_key", F.explode(F.aggregate("_times", first, step)["kept"]).alias("_at"))
+
+
+def _double(times: DataFrame, gap_us: int, max_rows: int) -> DataFrame:
+    """Kept times of long chains. Each time points to the first one ``gap_us`` or more after it; after k rounds the pointers
+    go 2^k steps and the first 2^k times of each chain are reached.
+    """
+    place = ["_key", "_start", "_at"]
+    points = times.select(*place).unionByName(times.select("_key", "_start", F.col("_start").alias("_at")).distinct())
+    # Backwards in time, the probe of a time stands right after the times its pointer may go to.
+    nothing = F.lit(None).cast("bigint")
+    both = points.select("_key", "_start", nothing.alias("_at"), (-2 * F.col("_at")).alias("_order"), (-F.col("_at")).alias("_to")).unionByName(
+        points.select(*place, (1 - 2 * (F.col("_at") + gap_us)).alias("_order"), nothing.alias("_to")))
+    found = running_max_before(both, ["_key", "_start"], "_order", F.col("_to"), "_next", max_rows).filter(F.col("_at").isNotNull())
+    jumps = cut_lineage(found.select(*place, (-F.col("_next")).alias("_next")).filter(F.col("_next").isNotNull()))
+    reached = points.filter(F.col("_at") == F.col("_start"))
+    while not jumps.isEmpty():
+        reached = cut_lineage(reached.unionByName(reached.join(jumps, place).select("_key", "_start", F.col("_next").alias("_at"))))
+        further = jumps.select("_key", "_start", F.col("_at").alias("_next"), F.col("_next").alias("_after"))
+        jumps = cut_lineage(jumps.join(further, ["_key", "_start", "_next"]).select(*place, F.col("_after").alias("_next")))
+    return reached.filter(F.col("_at") > F.col("_start")).select("_key", "_at")
 
 
 def dedup_within_gap(
@@ -82,13 +106,37 @@ def dedup_within_gap(
 ) -> DataFrame:
     """Drop an event when a *kept* event of the same key lies less than ``gap`` before it.
 
-    Whether an event stays depends on which earlier ones stayed, so this is a fold in time order,
-    with event_id as the tie breaker. Events without a time are dropped; ``reject_reason`` names them.
+    Of events at one time only the first by event_id can stay. One that lies ``gap`` or more after the event before it stays
+    whatever came earlier and begins a chain; what is nearer to a chain's begin goes. Only the times left in chains depend
+    on each other: short chains are walked, long ones take pointer doubling, all in the JVM. Events without a time are
+    dropped (``reject_reason`` names them), null keys are keys, a gap of zero or less keeps all others.
     """
-    at = as_number("event_time", events.schema["event_time"].dataType)
-    fold = Fold(_gap_step(int(gap.total_seconds() * 1_000_000)), [at], F.array().cast("array<bigint>"))
-    folded = sequential_fold(events, list(keys), ["event_time", "event_id"], fold, "_kept", max_rows)
-    return folded.filter(F.col("_kept") == 1).drop("_kept")
+    gap_us = int(gap.total_seconds() * 1_000_000)
+    timed = events.withColumn("_at", as_number("event_time", events.schema["event_time"].dataType)).filter(F.col("_at").isNotNull())
+    if gap_us <= 0:
+        return timed.drop("_at")
+    # Structs compare null fields as equal, so rows of null keys meet in joins.
+    nodes = timed.groupBy(F.struct(*keys).alias("_key"), "_at").agg(
+        F.min_by(F.struct(*events.columns), F.struct("event_id")).alias("_row"))
+    at, start, head = F.col("_at"), F.col("_start"), F.col("_head")
+    times = running_max_before(nodes, ["_key"], "_at", at, "_before", max_rows)
+    times = times.withColumn("_head", F.col("_before").isNull() | (at - F.col("_before") >= gap_us)).drop("_before")
+    times = running_max_before(times, ["_key"], "_at", F.when(head, at), "_start", max_rows)
+    times = cut_lineage(times.withColumn("_start", F.when(head, at).otherwise(start)).filter(head | (at - start >= gap_us)))
+    whole = times.filter(head).select("_row.*")
+    left = times.filter(~head).select("_key", "_start", "_at")
+    sizes = left.groupBy("_key", "_start").agg(F.count(F.lit(1)).alias("_times"))
+    most = sizes.agg(F.max("_times")).first()[0]
+    if most is None:
+        return whole
+    chain = min(CHAIN, max_rows)
+    if most <= chain:
+        kept = _walk(left, gap_us)
+    else:
+        long = cut_lineage(sizes.filter(F.col("_times") > chain).select("_key", "_start"))
+        kept = _walk(left.join(long, ["_key", "_start"], "left_anti"), gap_us).unionByName(
+            _double(left.join(long, ["_key", "_start"], "left_semi"), gap_us, max_rows))
+    return whole.unionByName(times.filter(~head).join(kept, ["_key", "_at"], "left_semi").select("_row.*"))
 
 
 def bounded_history(

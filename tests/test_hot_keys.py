@@ -168,3 +168,24 @@ def test_blocks_are_even_and_ordered_despite_outliers(spark, descending):
     blocks = [block for _, block in (reversed(got) if descending else got)]
     assert cut and blocks == sorted(blocks)
     assert max(blocks.count(b) for b in set(blocks)) <= 100
+
+
+@pytest.mark.parametrize("max_rows", [5, 60, 1_000_000])
+def test_long_chains_of_gaps(spark, max_rows):
+    rng = random.Random(11)
+    rows, at = [], START
+    for i in range(500):
+        # One chain of hundreds of events, repeated times, a null key and null ids among them.
+        at += timedelta(seconds=rng.choice([0, 0, 40, 90, 130]))
+        rows.append((None if i % 50 == 7 else i, rng.choice([None, 1, 1, 1, 2]), 1, "VIEW", None, None if i % 90 == 3 else at))
+    df = spark.createDataFrame(rows, "event_id bigint, user_id bigint, item_id bigint, behavior_type string, "
+                                     "rating double, event_time timestamp_ntz")
+    result = events.dedup_within_gap(df, timedelta(minutes=5), max_rows=max_rows)
+    last, expected = {}, []
+    for row in sorted((r for r in rows if r[5] is not None), key=lambda r: (r[5], r[0] is not None, r[0] or 0)):
+        if row[1] not in last or row[5] - last[row[1]] >= timedelta(minutes=5):
+            last[row[1]] = row[5]
+            expected.append(row)
+    assert sorted(map(repr, map(tuple, result.collect()))) == sorted(map(repr, expected))
+    assert "Python" not in result._jdf.queryExecution().toString() and "InArrow" not in result._jdf.queryExecution().toString()
+    assert events.dedup_within_gap(df, timedelta(0), max_rows=max_rows).count() == sum(r[5] is not None for r in rows)
