@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from recoflow.session import shared_checkpoint_dir
 
 CHUNK_BYTES = 1 << 20
+#: Places of the bitmaps of ``sifted``: 8 MB in all, however many ids there are.
+SIFT_BITS = 1 << 26
 _U = np.uint64
 
 
@@ -31,6 +33,21 @@ def python_rows(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{name}`") for name in columns])
 
 
+def sifted(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The rows whose ``column`` is in ``ids`` (one column), and few others: what a later join drops leaves before its exchange.
+
+    The hashed ids are bits in bitmaps of bounded size, which are broadcast. More ids than places let more rows pass, never fewer.
+    """
+    names = rows.columns
+    place = F.pmod(F.xxhash64(F.col(ids.columns[0])), F.lit(SIFT_BITS))
+    maps = (ids.select(place.alias("__place")).groupBy(F.bitmap_bucket_number("__place").alias("__map"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("__place")).alias("__bits")))
+    placed = rows.withColumn("__place", F.pmod(F.xxhash64(F.col(column)), F.lit(SIFT_BITS)))
+    placed = placed.withColumn("__map", F.bitmap_bucket_number("__place")).withColumn("__place", F.bitmap_bit_position("__place"))
+    byte = F.expr("int(conv(hex(substring(__bits, int(__place div 8) + 1, 1)), 16, 10))")
+    return placed.join(F.broadcast(maps), "__map").where(byte.bitwiseAND(F.expr("shiftleft(1, int(__place % 8))")) != 0).select(*names)
+
+
 # Vectorised hashing. All arithmetic is modulo 2**64.
 
 def mix(x: np.ndarray) -> np.ndarray:

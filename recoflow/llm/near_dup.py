@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from recoflow.llm.common import components, cut, hashed_words, mix, pairs_once, python_rows, text_chunks, windows_hash
+from recoflow.llm.common import components, cut, hashed_words, mix, pairs_once, python_rows, sifted, text_chunks, windows_hash
 
 WORDS, THRESHOLD_PERCENT = 5, 75
 BANDS, ROWS = 40, 4
@@ -155,7 +155,8 @@ class Differences:
     def __init__(self, members: DataFrame, texts: DataFrame, words: int, percent: int):
         """``members``: ``id``, ``n`` (size of its set), ``grp``."""
         self.weight, self.spare = 100 + percent, 100 - percent
-        self.texts, self.words = texts.select(F.col("doc_id").alias("id"), "text").hint("merge"), words
+        own_texts = sifted(texts, members.select("id"))
+        self.texts, self.words = own_texts.select(F.col("doc_id").alias("id"), "text").hint("merge"), words
         rows = self.rows_of(members)
         sizes = members.groupBy("grp").agg(F.count("*").alias("members"))
         seen = rows.groupBy("grp", "shingle").agg(F.count("*").alias("often")).where("often > 1").join(sizes, "grp")
@@ -241,7 +242,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = THRESHOL
     buckets = cut(keyed.join(centres.select("key", "centre"), "key"))
     pairs = cut(pairs_once(buckets.select(F.col("centre").alias("a"), F.col("id").alias("b")), "a", "b"))
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = cut(python_rows(docs, "doc_id", "text").join(wanted, "doc_id", "left_semi").distinct())
+    # Most texts share no bucket and leave before any exchange. A few that stay without need are dropped by the joins that follow;
+    # an exact semi join here would be moved below the filter and deal out every text.
+    texts = cut(sifted(python_rows(docs, "doc_id", "text"), wanted).distinct())
     links = cut(confirmed(pairs, texts, words, percent))
     # One round may leave a component in parts, which costs comparisons but loses none.
     found = cut(components(links, rounds=1))
@@ -260,7 +263,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = THRESHOL
                .join(open_buckets.withColumnRenamed("id", "b"), "key").where("own <> component").select("a", "b"))
         for fresh in (lambda: differences.stars().unionByName(met), lambda: differences.pairs(cut(components(links, rounds=1)))):
             candidates = cut(pairs_once(fresh(), "a", "b").join(pairs, ["a", "b"], "left_anti"))
-            links = cut(links.unionByName(confirmed(candidates, texts, words, percent)))
+            few = sifted(texts, candidates.select("a").union(candidates.select("b")))
+            links = cut(links.unionByName(confirmed(candidates, few, words, percent)))
     whole = components(links.unionByName(copies))
     return (sketches.select("doc_id", "n_shingles")
             .join(whole.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
