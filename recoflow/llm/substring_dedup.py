@@ -95,7 +95,10 @@ def joined_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def segment_rows(batches: Iterator[pa.RecordBatch], window: int, rounds: int) -> Iterator[pa.RecordBatch]:
-    """Stretches of neighbouring windows with one anchor: their name, a digest of all their words, and where they are."""
+    """Stretches of neighbouring windows with one anchor: their name, a digest of all their words, and where they are.
+
+    Equal stretches of one text are one row, so a text that repeats itself gives a row for each of its different stretches.
+    """
     for batch in batches:
         for first, after, data, bounds in text_chunks(batch.column(1).to_pylist()):
             words, heads = joined_words(data, bounds)
@@ -114,11 +117,17 @@ def segment_rows(batches: Iterator[pa.RecordBatch], window: int, rounds: int) ->
             cuts = np.append(np.flatnonzero(new | ~valid), len(name))
             ends = cuts[np.searchsorted(cuts, opens, "right")]
             digest = (windows_hash(words, opens, ends + window - 1), windows_hash(words, opens, ends + window - 1, 1))
+            names, texts, begin = name[opens], text[opens], opens - heads[text[opens]]
+            order = np.lexsort((begin, digest[1], digest[0], names, texts))
+            keys = np.stack([texts.astype(_U), names, *digest])[:, order]
+            heads_of = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)]))
+            one = order[heads_of]
+            offsets = pa.array(np.append(heads_of, len(order)).astype(np.int32))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(pa.array(first + text[opens])), pa.array(name[opens].view(np.int64)),
-                pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)),
-                pa.array((opens - heads[text[opens]]).astype(np.int64)), pa.array((ends - opens).astype(np.int32))],
-                names=["row", "anchor", "digest_a", "digest_b", "start", "count"])
+                batch.column(0).take(pa.array(first + texts[one])), pa.array(names[one].view(np.int64)),
+                pa.array(digest[0][one].view(np.int64)), pa.array(digest[1][one].view(np.int64)),
+                pa.ListArray.from_arrays(offsets, pa.array(begin[order].astype(np.int64))), pa.array((ends - opens)[one].astype(np.int32))],
+                names=["row", "anchor", "digest_a", "digest_b", "starts", "count"])
 
 
 def window_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -141,7 +150,7 @@ def window_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.R
 
 
 def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without the words in the given stretches (start and number of words)."""
+    """Texts without the words in the given stretches (starts and number of words)."""
     for batch in batches:
         texts, stretches = batch.column(1).to_pylist(), struct_lists(batch.column(2))
         counts, removed, digests, kept = [], [], [], []
@@ -150,9 +159,10 @@ def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = np.frombuffer(raw, np.uint8)
             starts, ends = word_spans(data)
             change = np.zeros(len(starts) + 1, np.int64)
-            for start, count in ranges:
-                change[start] += 1
-                change[min(start + count, len(starts))] -= 1
+            for begins, count in ranges:
+                for start in begins:
+                    change[start] += 1
+                    change[min(start + count, len(starts))] -= 1
             stay = np.cumsum(change[:-1]) == 0
             counts.append(len(starts))
             removed.append(int(len(starts) - stay.sum()))
@@ -165,27 +175,28 @@ def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_stretches(rows: DataFrame, window: int, rounds: int) -> DataFrame:
-    """``row``, ``stretches``: all windows (as start and number of covered words) whose words start anywhere else too."""
+    """``row``, ``stretches``: all windows (as starts and number of covered words) whose words start anywhere else too."""
     segments = cut(rows.mapInArrow(lambda it: segment_rows(it, window, rounds),
-                                   "row long, anchor long, digest_a long, digest_b long, start long, count int"))
+                                   "row long, anchor long, digest_a long, digest_b long, starts array<long>, count int"))
     same = ["anchor", "digest_a", "digest_b"]
     # Equal stretches are one class, counted before the shuffle; copies of a text cost one row per class and task.
-    classes = segments.groupBy(*same).agg(F.count("*").alias("copies"), F.min(F.struct("row", "start")).alias("one"))
+    classes = segments.groupBy(*same).agg(F.sum(F.size("starts")).alias("copies"),
+                                          F.min(F.struct("row", F.get("starts", 0).alias("start"))).alias("one"))
     shared = classes.groupBy("anchor").agg(F.count("*").alias("classes"), F.max("copies").alias("most")).where("classes > 1 or most > 1")
     marked = cut(classes.join(shared.select("anchor", "classes"), "anchor").where("classes > 1 or copies > 1"))
     whole = (segments.join(marked.where("copies > 1").select(*same), same, "left_semi")
-             .select("row", "start", (F.col("count") + window - 1).alias("covered")))
+             .select("row", "starts", (F.col("count") + window - 1).alias("covered")))
     # Where one anchor has several classes, each class shows its windows once.
     once = (segments.join(marked.where("classes > 1").select(*same, "one", "copies"), same)
-            .where((F.col("one.row") == F.col("row")) & (F.col("one.start") == F.col("start")))
-            .groupBy("row").agg(F.collect_list(F.struct("start", "count")).alias("wanted")))
+            .where((F.col("one.row") == F.col("row")) & (F.col("one.start") == F.get("starts", 0)))
+            .groupBy("row").agg(F.collect_list(F.struct("one.start", "count")).alias("wanted")))
     windows = rows.join(once, "row").select("row", "text", "wanted").mapInArrow(
         lambda it: window_rows(it, window), "a long, b long, row long, start long")
     windows = cut(windows)
     twice = windows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
-    fine = windows.join(twice, ["a", "b"], "left_semi").select("row", "start", F.lit(window).alias("covered"))
+    fine = windows.join(twice, ["a", "b"], "left_semi").select("row", F.array("start").alias("starts"), F.lit(window).alias("covered"))
     return (whole.unionByName(fine).groupBy("row")
-            .agg(F.collect_list(F.struct("start", F.col("covered").cast("long").alias("covered"))).alias("stretches")))
+            .agg(F.collect_list(F.struct("starts", F.col("covered").cast("long").alias("covered"))).alias("stretches")))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:

@@ -1,8 +1,12 @@
-"""Texts that share no bucket leave before an exchange."""
+"""Texts that share no bucket leave before an exchange; equal stretches of one text are one row."""
 
 from __future__ import annotations
 
-from recoflow.llm import common, near_dup
+from collections import Counter
+
+import pyarrow as pa
+
+from recoflow.llm import common, near_dup, substring_dedup
 
 
 def test_sifted_keeps_every_wanted_row_and_few_others(spark):
@@ -43,3 +47,23 @@ def test_near_duplicates_deals_out_only_texts_that_share_a_bucket(spark, monkeyp
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert sorted(row.doc_id for row in held.collect())[:2] == [0, 1] and held.count() <= 4
     assert rows[1].component_id == 0 and not rows[1].kept and sum(row.kept for row in rows.values()) == 199
+
+
+def test_equal_stretches_of_one_text_are_one_row(spark):
+    """A text that repeats itself gave a row for each place, all of which the semi join returned."""
+    line = " ".join(f"l{i}" for i in range(7))
+    texts = [" ".join([line] * 60), " ".join(["same"] * 200), " ".join([line] * 30) + " " + " ".join(f"x{i}" for i in range(60)),
+             " ".join(f"y{i}" for i in range(90)), "", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=["row", "text"])
+    rows = [row for out in substring_dedup.segment_rows(iter([batch]), 35, 3) for row in out.to_pylist()]
+    assert len({(r["row"], r["anchor"], r["digest_a"], r["digest_b"]) for r in rows}) == len(rows)
+    windows = Counter((r["row"], start + i) for r in rows for start in r["starts"] for i in range(r["count"]))
+    assert windows == Counter((i, at) for i, text in enumerate(texts) for at in range(len((text or "").split()) - 34))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["rest"].doc_id: (r["n_words"], r["n_removed"], r["kept_text"]) for r in substring_dedup.remove_repeats(docs).collect()}
+    seen = Counter(tuple(words[at:at + 35]) for text in texts for words in [(text or "").split()] for at in range(len(words) - 34))
+    for i, text in enumerate(texts):
+        words = (text or "").split()
+        gone = {at + k for at in range(len(words) - 34) if seen[tuple(words[at:at + 35])] > 1 for k in range(35)}
+        kept = " ".join(w for k, w in enumerate(words) if k not in gone)
+        assert got[i] == (len(words), len(gone), kept if gone else text)
