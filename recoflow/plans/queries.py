@@ -428,7 +428,8 @@ def supplier_dlq(spark, d):
 
 
 def _all_records(spark, d):
-    parsed = supplier.parse_payloads(t.raw_payloads(spark, d))
+    # Written once: its readers (counts of hot keys, outcomes, results) would each parse all texts again.
+    parsed = cut_lineage(supplier.parse_payloads(t.raw_payloads(spark, d)).drop("raw_payload"))
     return parsed, supplier.records(parsed, keep=("seq",)).drop("item_index")
 
 
@@ -437,7 +438,7 @@ RECORD_KEYS = ["supplier_id", "erp_type", "source_record_id"]
 
 @query
 def newer_wins_upsert(spark, d):
-    _, rows = _all_records(spark, d)
+    rows = supplier.records(supplier.parse_payloads(t.raw_payloads(spark, d)), keep=("seq",)).drop("item_index")
     merged = merge.newer_wins(rows, RECORD_KEYS, "pulled_at", "seq", ev.moment(NOW))
     return merged.select(*RECORD_KEYS, "supplier_name", "supplier_status", "pulled_at", "created_at", "updated_at")
 
