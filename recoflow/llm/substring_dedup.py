@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from recoflow.llm.common import cut, hashed_words, mix, struct_lists, text_chunks, windows_hash, word_spans
+from recoflow.llm.common import cut, hashed_words, mix, sifted, struct_lists, text_chunks, windows_hash, word_spans
 
 WINDOW, ROUNDS = 35, 3
 _U = np.uint64
@@ -176,8 +176,12 @@ def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_stretches(rows: DataFrame, window: int, rounds: int) -> DataFrame:
     """``row``, ``stretches``: all windows (as starts and number of covered words) whose words start anywhere else too."""
-    segments = cut(rows.mapInArrow(lambda it: segment_rows(it, window, rounds),
-                                   "row long, anchor long, digest_a long, digest_b long, starts array<long>, count int"))
+    every = cut(rows.mapInArrow(lambda it: segment_rows(it, window, rounds),
+                                "row long, anchor long, digest_a long, digest_b long, starts array<long>, count int"))
+    # Most anchors stand in one place alone. Their stretches leave before digests and places are dealt out; a few that pass the
+    # sieve without need are classes of one copy, which are dropped below like any other.
+    busy = every.groupBy("anchor").agg(F.sum(F.size("starts")).alias("places")).where("places > 1").select("anchor")
+    segments = cut(sifted(every, busy, "anchor"))
     same = ["anchor", "digest_a", "digest_b"]
     # Equal stretches are one class, counted before the shuffle; copies of a text cost one row per class and task.
     classes = segments.groupBy(*same).agg(F.sum(F.size("starts")).alias("copies"),
