@@ -187,21 +187,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int | None
     grows, and the last rounds leave one star per component. A hub is a join key of skewed size, not a group.
     Stopped after ``rounds``, the result may still split a component, but never joins two.
     """
-    # A round has three exchanges, each by the key of all that follows it; a driver holds a thread for every exchange of the last minute.
-    edges = cut(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v"))
+    edges = cut(pairs_once(links, a, b).select(F.col(b).alias("u"), F.col(a).alias("v")))
     before, done = None, 0
     while rounds is None or done < rounds:
         done += 1
-        turned = F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))))
-        both = edges.select(turned).repartition("u").distinct()
+        both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .repartition("u").distinct())
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         # One row gives both its links: a union of two selections would plan all of the above twice.
         moved = F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
-        after = large.join(down.hint("merge"), "u").select(moved).where("u <> v")
-        # The state is counted while the links are written, not by a job of its own. Stars, the last state, hold no link twice.
+        after = large.join(down, "u").select(moved).where("u <> v").distinct()
+        # The state is counted while the links are written, not by a job of its own.
         seen = Observation()
         edges = cut(after.observe(seen, F.count("*").alias("links"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("names")))
         if rounds == done:
