@@ -7,11 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from recoflow.session import shared_checkpoint_dir
 
 CHUNK_BYTES = 1 << 20
+#: Bytes of text that ``text_slices`` hands on at a time.
+SLICE_BYTES = 1 << 18
 #: Places of the bitmaps of ``sifted``: 8 MB in all, however many ids there are.
 SIFT_BITS = 1 << 26
 _U = np.uint64
@@ -117,6 +120,22 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[0::2], edges[1::2]
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], *columns: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in the same order, in slices with about ``limit`` bytes in the text columns (a longer text ends its slice).
+
+    Spark's batches hold 10,000 rows whatever their texts' size. A worker that turns a whole one into Python objects keeps that
+    memory for the tasks that follow, as freed objects seldom leave the process.
+    """
+    for batch in batches:
+        before = np.zeros(batch.num_rows + 1, np.int64)
+        for i in columns:
+            before[1:] += np.cumsum(pc.fill_null(pc.binary_length(batch.column(i)), 0).to_numpy(zero_copy_only=False))
+        place = before[:-1] // limit
+        cuts = [0, *(np.flatnonzero(place[1:] != place[:-1]) + 1).tolist(), batch.num_rows]
+        for first, after in zip(cuts, cuts[1:]):
+            yield batch.slice(first, after - first)
+
+
 def text_chunks(texts: list[str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Consecutive texts as UTF-8, a space after each, in chunks of about ``limit`` bytes (a longer text is a chunk of its own).
 
@@ -146,10 +165,13 @@ def signed(x: np.ndarray) -> pa.Array:
 
 def struct_lists(column: pa.ListArray) -> list[list[tuple]]:
     """The structs of each list as tuples; a null list is empty."""
-    fields = column.values
-    values = list(zip(*[fields.field(i).to_pylist() for i in range(fields.type.num_fields)]))
+    if len(column) == 0:
+        return []
     offsets, null = column.offsets.to_pylist(), column.is_null().to_pylist()
-    return [[] if null[i] else values[offsets[i]:offsets[i + 1]] for i in range(len(column))]
+    low = offsets[0]
+    fields = column.values.slice(low, offsets[-1] - low)  # of a slice only what it holds
+    values = list(zip(*[fields.field(i).to_pylist() for i in range(fields.type.num_fields)]))
+    return [[] if null[i] else values[offsets[i] - low:offsets[i + 1] - low] for i in range(len(column))]
 
 
 def labelled_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:

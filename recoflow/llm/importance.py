@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from recoflow.llm.common import _LOWER, cut, fit_logistic, labelled_sample, mix, runs_hash, text_chunks
+from recoflow.llm.common import _LOWER, cut, fit_logistic, labelled_sample, mix, runs_hash, text_chunks, text_slices
 
 BUCKETS, SAMPLE_ROWS, SMOOTHING, SEED = 1 << 16, 20_000, 1.0, 17
 _U = np.uint64
@@ -45,7 +45,7 @@ def gram_buckets(data: np.ndarray, bounds: np.ndarray, buckets: int) -> tuple[np
 def count_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """N-gram counts of one task: of all its texts, and of those labelled as target."""
     raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
-    for batch in batches:
+    for batch in text_slices(batches, 0):
         wanted = np.array([x == 1 for x in batch.column(1).to_pylist()], bool)
         for first, after, data, bounds in text_chunks(batch.column(0).to_pylist()):
             bucket, owner = gram_buckets(data, bounds, buckets)
@@ -56,7 +56,7 @@ def count_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.R
 
 
 def weight_rows(batches: Iterator[pa.RecordBatch], ratio: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in text_slices(batches, 1):
         total, grams, low = [], [], []
         for first, after, data, bounds in text_chunks(batch.column(1).to_pylist()):
             bucket, owner = gram_buckets(data, bounds, len(ratio))

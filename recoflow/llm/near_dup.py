@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from recoflow.llm.common import components, cut, hashed_words, mix, pairs_once, python_rows, sifted, text_chunks, windows_hash
+from recoflow.llm.common import components, cut, hashed_words, mix, pairs_once, python_rows, sifted, text_chunks, text_slices, windows_hash
 
 WORDS, THRESHOLD_PERCENT = 5, 75
 BANDS, ROWS = 40, 4
@@ -59,7 +59,7 @@ def sketch_rows(batches: Iterator[pa.RecordBatch], words: int, bands: int, rows:
     bins = bands * rows
     ask = probes(bins)
     salt = mix(np.arange(1, bands + 1, dtype=_U) * _U(0xD6E8FEB86659FD93))
-    for batch in batches:
+    for batch in text_slices(batches, 1):
         sets = shingle_sets(batch.column(1).to_pylist(), words)
         digest = np.zeros((len(sets), 2), _U)
         keys = np.zeros((len(sets), bands), _U)
@@ -85,7 +85,7 @@ def sketch_rows(batches: Iterator[pa.RecordBatch], words: int, bands: int, rows:
 
 
 def overlap_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in text_slices(batches, 2, 3):
         left = shingle_sets(batch.column(2).to_pylist(), words)
         right = shingle_sets(batch.column(3).to_pylist(), words)
         shared = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)]
@@ -107,7 +107,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
 def shingle_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """A row for each shingle of the texts (the last column), with the columns before it."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in text_slices([whole], whole.num_columns - 1)):
         sets = shingle_sets(batch.column(batch.num_columns - 1).to_pylist(), words)
         sizes = [len(x) for x in sets]
         if sum(sizes):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import sys
+import threading
 import types
 import zlib
 from collections.abc import Iterator
@@ -18,6 +19,8 @@ from recoflow.llm.common import cut
 
 CAPACITY, OPEN_BINS, PIECES_PER_TASK = 2048, 1 << 15, 1 << 16
 CACHE_WORDS = 1 << 20
+#: Seconds after its last task in which a worker still remembers words.
+CACHE_IDLE_S = 2.0
 # One run of letters, at most one mark after it: two units of the tokenizer whatever stands around them.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.!?;:|]?)")
 BOUNDARY = "<|endoftext|>"
@@ -121,14 +124,40 @@ class WordCache:
 def worker_cache(path: str) -> WordCache:
     """The cache of this Python worker. This module reaches workers by value, anew for each task, so what should outlive
     a task is kept in a module of the worker's own."""
-    caches = vars(sys.modules.setdefault("_word_caches", types.ModuleType("_word_caches")))
+    held = vars(sys.modules.setdefault("_word_caches", types.ModuleType("_word_caches")))
+    caches, uses = held.setdefault("caches", {}), held.setdefault("uses", {})
+    uses[path] = uses.get(path, 0) + 1
     if path not in caches:
         caches[path] = WordCache(path)
     return caches[path]
 
 
+def forget_when_idle(path: str, seconds: float) -> None:
+    """The worker's cache goes unless a task asks for it again within ``seconds``: workers live on and serve other steps.
+
+    A task that begins just then holds the cache itself; at worst the one after it learns its words again.
+    """
+    held = vars(sys.modules["_word_caches"])
+    use = held["uses"][path]
+
+    def forget() -> None:
+        if held["uses"][path] == use:
+            held["caches"].pop(path, None)
+
+    timer = threading.Timer(seconds, forget)
+    timer.daemon = True
+    timer.start()
+
+
 def piece_rows(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
     cache = worker_cache(path)
+    try:
+        yield from pieces_of(batches, cache, end_id, capacity)
+    finally:
+        forget_when_idle(path, CACHE_IDLE_S)
+
+
+def pieces_of(batches: Iterator[pa.RecordBatch], cache: WordCache, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
     tail = np.array([end_id], "<u4").tobytes()
     for batch in batches:
         texts = batch.column(1)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from recoflow.llm.common import cut, hashed_words, mix, sifted, struct_lists, text_chunks, windows_hash, word_spans
+from recoflow.llm.common import cut, hashed_words, mix, sifted, struct_lists, text_chunks, text_slices, windows_hash, word_spans
 
 WINDOW, ROUNDS = 35, 3
 _U = np.uint64
@@ -99,7 +99,7 @@ def segment_rows(batches: Iterator[pa.RecordBatch], window: int, rounds: int) ->
 
     Equal stretches of one text are one row, so a text that repeats itself gives a row for each of its different stretches.
     """
-    for batch in batches:
+    for batch in text_slices(batches, 1):
         for first, after, data, bounds in text_chunks(batch.column(1).to_pylist()):
             words, heads = joined_words(data, bounds)
             if len(words) < window:
@@ -132,7 +132,7 @@ def segment_rows(batches: Iterator[pa.RecordBatch], window: int, rounds: int) ->
 
 def window_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Every window of the wanted stretches: 128 bits of its words, its text and its start."""
-    for batch in batches:
+    for batch in text_slices(batches, 1):
         wanted = struct_lists(batch.column(2))
         for first, after, data, bounds in text_chunks(batch.column(1).to_pylist()):
             words, _, _, firsts = hashed_words(data, bounds)
@@ -151,7 +151,7 @@ def window_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.R
 
 def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the words in the given stretches (starts and number of words)."""
-    for batch in batches:
+    for batch in text_slices(batches, 1):
         texts, stretches = batch.column(1).to_pylist(), struct_lists(batch.column(2))
         counts, removed, digests, kept = [], [], [], []
         for text, ranges in zip(texts, stretches):
