@@ -11,114 +11,177 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
-from recoflow.llm.common import cut
+from recoflow.llm.common import cut, text_slices
 
 CAPACITY, OPEN_BINS, PIECES_PER_TASK = 2048, 1 << 15, 1 << 16
 CACHE_WORDS = 1 << 20
 #: Seconds after its last task in which a worker still remembers words.
 CACHE_IDLE_S = 2.0
-# One run of letters, at most one mark after it: two units of the tokenizer whatever stands around them.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.!?;:|]?)")
+#: Bytes of text that are cut into units at a time.
+SLICE_BYTES = 1 << 20
 BOUNDARY = "<|endoftext|>"
-# White space of Unicode, which the tokenizer drops; U+001C to U+001F are no such characters, though str.split takes them.
-SEPARATORS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-ODD = re.compile("[\x1c-\x1f]")
-
-
-def split_words(text: str | None) -> list[str]:
-    if not text:
-        return []
-    return [word for word in SEPARATORS.split(text) if word] if ODD.search(text) else text.split()
+# White space beyond ASCII, which the tokenizer drops like any other; U+001C to U+001F are no white space to it.
+WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+
+# Kinds of bytes. The tokenizer takes runs of letters, single digits and runs of anything else, so it cuts where kinds change and
+# around digits. What may do otherwise is GLUE, at which no unit is cut: apostrophes (contractions), ``|`` (its special tokens)
+# and all that is neither ASCII nor a letter of Latin-1.
+SPACE, LETTER, MARK, DIGIT, GLUE = range(5)
+KINDS = np.full(256, GLUE, np.uint8)
+KINDS[:128] = MARK
+KINDS[[0x20, 9, 10, 11, 12, 13]] = SPACE
+KINDS[[*range(65, 91), *range(97, 123)]] = LETTER
+KINDS[48:58] = DIGIT
+KINDS[[0x27, 0x7C]] = GLUE
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+# The second byte of letters of Latin-1 in lower case (À to Þ have their small letter 32 places on); 0 where it makes no letter.
+LATIN = np.zeros(256, np.uint8)
+LATIN[0x80:0xC0] = [*range(0xA0, 0xB7), 0, *range(0xB8, 0xBF), *range(0x9F, 0xB7), 0, *range(0xB8, 0xC0)]
+
+
+def _meetings(first: bool) -> np.ndarray:
+    """For each two kinds that meet (left one times 8, right one): whether the right byte begins, or the left one ends a unit."""
+    out = np.zeros(64, bool)
+    for a in range(5):
+        for b in range(5):
+            between = SPACE in (a, b) or (GLUE not in (a, b) and (a != b or a == DIGIT))
+            out[8 * a + b] = between and (b if first else a) != SPACE
+    return out
+
+
+BEGINS, ENDS = _meetings(True), _meetings(False)
+
+
+def holders(starts: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Which units hold one of the places."""
+    out = np.zeros(len(starts), bool)
+    out[np.searchsorted(starts, places, "right") - 1] = True
+    return out
+
+
+def units(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
+    """The units of all texts one after another, the index of the first unit of each text (and the number of units), and which
+    distinct units hold a GLUE byte.
+
+    Units stand between white space, are cut wherever the tokenizer cuts for sure, and are in lower case if they hold no ``|``.
+    The tokenizer never joins what stands in two units, so the ids of a text are those of its units one after another.
+    """
+    # A space after each text keeps it apart from the next.
+    joined = pc.binary_join_element_wise(texts.cast(pa.large_string()).fill_null(""), pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string()))
+    bounds = np.frombuffer(joined.buffers()[1], np.int64)[:len(texts) + 1]
+    raw = joined.buffers()[2]
+    data = np.frombuffer(raw, np.uint8)[:bounds[-1]]
+    lower, kinds = LOWER[data], np.zeros(len(data) + 1, np.uint8)
+    kind = kinds[1:]
+    np.take(KINDS, data, out=kind)
+    at = np.flatnonzero(data >= 0xC2)
+    lead = data[at]
+    if ((lead == 0xC2) | (lead >= 0xE1) & (lead <= 0xE3)).any():
+        for found in WIDE_SPACE.finditer(raw):
+            kind[found.start():found.end()] = SPACE
+    at = at[lead == 0xC3]
+    small = LATIN[data[at + 1]]
+    at, small = at[small > 0], small[small > 0]
+    kind[at] = kind[at + 1] = LETTER
+    lower[at + 1] = small
+    # The last byte is a space, so every unit begins and ends inside.
+    meeting = kinds[:-1] * np.uint8(8) + kind
+    starts, ends = np.flatnonzero(BEGINS[meeting]), np.flatnonzero(ENDS[meeting])
+    full = kind != SPACE
+    held = lower[full]
+    bars = np.flatnonzero(data == 0x7C)
+    if len(bars):
+        # In lower case a unit could become a special token, which it is not.
+        held = np.where(np.repeat(holders(starts, bars), ends - starts), data[full], held)
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(held)]).dictionary_encode()
+    glued = np.zeros(len(found.dictionary), bool)
+    glued[found.indices.to_numpy()[holders(starts, np.flatnonzero(kind == GLUE))]] = True
+    return found, np.searchsorted(starts, bounds), glued
 
 
 class WordCache:
-    """Token ids (as bytes) of words between white space, with a bounded number of remembered words per worker.
+    """Token ids (as bytes) of units of texts (``units``), with a bounded number of remembered ones per worker.
 
-    The tokenizer drops white space and never joins what it separates, so the ids of a text are those of its words one
-    after another. Words are held in two generations of ``limit / 2``: a full one becomes the older, whose words come
-    back when they are seen again, and the rest of the one before it is forgotten.
+    They are held in two generations of ``limit / 2``: a full one becomes the older, whose units come back when they are
+    seen again, and the rest of the one before it is forgotten.
     """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
         self.boundary = self.tokenizer.token_to_id(BOUNDARY)
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         """Ids of each part, from one call: parts are set apart by a special token."""
         special = [p for p in parts if "<|" in p]
         if special:
-            alone = {p: np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in special}
+            alone = {p: self._ids(p).tobytes() for p in special}
             rest = iter(self._encode([p for p in parts if p not in alone]))
             return [alone[p] if p in alone else next(rest) for p in parts]
         out: list[bytes] = []
         for k in range(0, len(parts), 4096):
-            block = parts[k:k + 4096]
-            ids = np.array(self.tokenizer.encode(BOUNDARY.join(block), add_special_tokens=False).ids, "<u4")
+            ids = self._ids(BOUNDARY.join(parts[k:k + 4096]))
             ends = np.flatnonzero(ids == self.boundary)
             raw = ids.tobytes()
             out += [raw[a:z] for a, z in zip([0, *((ends + 1) * 4).tolist()], [*(ends * 4).tolist(), len(raw)])]
         return out
 
-    def _learn(self, new: list[str]) -> None:
-        stems: dict[str, None] = {}
-        parsed = []
-        for word in new:
-            m = PLAIN.fullmatch(word)
-            parts = (m[1].lower(), m[2]) if m else (word, "")
-            parsed.append(parts)
-            for part in parts:
-                if part and part not in self.stems:
-                    stems[part] = None
-        if stems:
-            keys = list(stems)
-            letters = [w for w in keys if PLAIN.fullmatch(w)]
-            others = [w for w in keys if not PLAIN.fullmatch(w)]
-            # Runs of letters end in a token with a word end, exactly one each, so a plain space sets them apart.
-            if letters:
-                self.stems.update(zip(letters, self._letters(letters)))
-            self.stems.update(zip(others, self._encode(others)))
-        for word, (stem, mark) in zip(new, parsed):
-            self.words[word] = self.stems[stem] + self.stems[mark] if mark else self.stems[stem]
-
-    def _letters(self, words: list[str]) -> list[bytes]:
-        if not hasattr(self, "ends"):
-            self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        last = np.flatnonzero(self.ends[ids]) + 1
-        if len(last) != len(words):
-            return self._encode(words)
-        raw = ids.tobytes()
-        return [raw[a:z] for a, z in zip([0, *(last[:-1] * 4).tolist()], (last * 4).tolist())]
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [split_words(t) for t in texts]
-        flat = [w for words in split for w in words]
-        got = list(map(self.words.get, flat))
+    def _plain(self, parts: list[bytes]) -> list[bytes]:
+        """The same for units without a GLUE byte. Each ends in a token with a word end, exactly one, so a space sets them apart."""
+        out: list[bytes] = []
+        for k in range(0, len(parts), 512):
+            block = parts[k:k + 512]
+            ids = self._ids(b" ".join(block).decode())
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) != len(block):
+                out += self._encode([p.decode() for p in block])
+                continue
+            raw = ids.tobytes()
+            out += [raw[a:z] for a, z in zip([0, *(last[:-1] * 4).tolist()], (last * 4).tolist())]
+        return out
+
+    def _known(self, asked: list[bytes], glued: set[bytes]) -> list[bytes]:
+        """Ids of distinct units."""
+        got = list(map(self.words.get, asked))
         missing = [i for i, ids in enumerate(got) if ids is None]
         if missing:
-            asked = {flat[i]: None for i in missing}
-            if self.older:
-                self.words.update((w, self.older[w]) for w in asked if w in self.older)
-            new = [w for w in asked if w not in self.words]
-            if new:
-                self._learn(new)
             for i in missing:
-                got[i] = self.words[flat[i]]
+                got[i] = self.older.get(asked[i])
+            new = [i for i in missing if got[i] is None]
+            plain, others = [i for i in new if asked[i] not in glued], [i for i in new if asked[i] in glued]
+            learnt = self._plain([asked[i] for i in plain]) + self._encode([asked[i].decode("utf-8", "replace") for i in others])
+            for i, ids in zip(plain + others, learnt):
+                got[i] = ids
+            self.words.update(zip([asked[i] for i in missing], [got[i] for i in missing]))
             if 2 * len(self.words) > self.limit:
-                self.older, self.words, self.stems = self.words, {}, {}
-        at = 0
-        for words in split:
-            yield b"".join(got[at:at + len(words)])
-            at += len(words)
+                self.older, self.words = self.words, {}
+        return got
+
+    def encode(self, texts: pa.Array | list[str | None]) -> Iterator[bytes]:
+        """The ids of each text."""
+        if len(texts) == 0:
+            return
+        found, bounds, glued = units(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        asked = found.dictionary.to_numpy(zero_copy_only=False)
+        ids = self._known(asked.tolist(), set(asked[glued].tolist())).__getitem__
+        unit, places = found.indices.to_numpy().tolist(), bounds.tolist()
+        for a, z in zip(places, places[1:]):
+            yield b"".join(map(ids, unit[a:z]))
 
 
 def worker_cache(path: str) -> WordCache:
@@ -159,23 +222,21 @@ def piece_rows(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capaci
 
 def pieces_of(batches: Iterator[pa.RecordBatch], cache: WordCache, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
     tail = np.array([end_id], "<u4").tobytes()
-    for batch in batches:
-        texts = batch.column(1)
-        for first in range(0, len(texts), 256):
-            rows, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(cache.encode(texts.slice(first, 256).to_pylist())):
-                ids += tail
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at:at + 4 * capacity]
-                    rows.append(first + i)
-                    piece.append(k)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(pa.array(rows)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"])
+    for batch in text_slices(batches, 1, limit=SLICE_BYTES):
+        rows, piece, start, length, crc = [], [], [], [], []
+        for i, ids in enumerate(cache.encode(batch.column(1))):
+            ids += tail
+            for k, at in enumerate(range(0, len(ids), 4 * capacity)):
+                part = ids[at:at + 4 * capacity]
+                rows.append(i)
+                piece.append(k)
+                start.append(at // 4)
+                length.append(len(part) // 4)
+                crc.append(zlib.crc32(part))
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+            pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
+            names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
 class OpenBins:
