@@ -20,11 +20,13 @@ STORED = {1: np.dtype(np.int8), 2: np.dtype(np.int16), 4: np.dtype(np.int32), 8:
 #: partial sum. Below these limits floats add whole numbers exactly, in any order.
 EXACT = ((2.0 ** 23, np.float32), (2.0 ** 52, np.float64), (2.0 ** 62, np.int64), (np.inf, object))
 #: Queries searched at once, scores held at once, components turned into whole numbers at once.
-BLOCK, SLAB, VALUES = 1024, 1 << 20, 1 << 20
+BLOCK, SLAB, VALUES = 2048, 1 << 21, 1 << 20
 #: A box is searched as a whole if this share of queries and boxes below has to be searched anyway.
 DENSE = 0.75
+#: Packed products serve while this share of the pairs at most is found by them, as each of those is looked at by itself.
+FEW = 1 / 128
 #: A round visits at most so many times the shards visited before, and all that is left if that is not much more.
-FURTHER, REST = 7, 16
+FURTHER, REST = 3, 4
 
 
 def as_long(scores: np.ndarray) -> np.ndarray:
@@ -61,26 +63,34 @@ class Best:
         """Whether the queries may still find something with a score up to the bound."""
         return (bounds >= self.score[rows]) | ~self.known[rows]
 
-    def offer(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
-        """``scores`` of the queries ``rows`` with the points ``ids``."""
-        known, limit = self.known[rows], self.score[rows]
+    def limits(self, rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """The least scores that count, where known: one as high as the kth does not if no id is below that of the kth."""
+        limit = self.score[rows]
+        return limit + ((self.id[rows] <= ids.min()) & (limit < LONG))
+
+    def offer(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> float:
+        """``scores`` of the queries ``rows`` with the points ``ids``; gives the share that reached the limits."""
+        known = self.known[rows]
         lowest = -np.inf if scores.dtype.kind == "f" else -LONG - 1
-        # A score as high as the kth does not count where no id is below that of the kth.
-        limit = np.where(known, limit + ((self.id[rows] <= ids.min()) & (limit < LONG)), lowest).astype(scores.dtype)
+        limit = np.where(known, self.limits(rows, ids), lowest).astype(scores.dtype)
         new = np.flatnonzero(~known)
         if len(new) and len(ids) > self.k:
             # Of the first points that a query meets only the k best, and ties, are kept.
             seen = np.where(ids != self.own[rows[new], None], scores[new], scores.dtype.type(lowest))
             limit[new] = np.partition(seen, -self.k, axis=1)[:, -self.k]
         r, c = np.divmod(hits(scores >= limit[:, None]), len(ids))
-        if not len(r):
-            return
-        rows, ids, scores = rows[r], ids[c], scores[r, c].astype(np.int64)
+        self.take(rows[r], ids[c], scores[r, c].astype(np.int64))
+        if len(new) and self.count:
+            self.settle()
+        return len(r) / scores.size
+
+    def take(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """One query, point and score at each place."""
         better = (scores > self.score[rows]) | ((scores == self.score[rows]) & (ids < self.id[rows])) | ~self.known[rows]
         kept = np.flatnonzero(better & (ids != self.own[rows]))
         self.waiting.append((rows[kept], ids[kept], scores[kept]))
         self.count += len(kept)
-        if len(new) or self.count >= 2 * self.k * len(self.own):
+        if self.count >= 2 * self.k * len(self.own):
             self.settle()
 
     def settle(self) -> None:
@@ -100,6 +110,62 @@ class Best:
         self.waiting, self.count = [], 0
 
 
+class Packed:
+    """Which scores of a block reach their limits, by a product of doubles that hold the scores of several queries each.
+
+    A sum is made to lie between 2^53 and 2^54, whose doubles have 52 bits in steps of 2. Each of ``fields`` queries has ``width`` of
+    these bits, for score - limit + 2^(width - 1) + 1: the highest is set if the limit is reached. A score far below the limit makes
+    its bits negative, which takes 1 from the bits above (hence the + 1) and may set the highest one, too; if those above all
+    are negative, the sum falls below 2^53, which the lowest bit of the exponent tells (bit 52). So what is found may be too
+    much and has to be looked at, but is never too little. All sums on the way are whole and below 2^54, hence exact.
+    """
+
+    def __init__(self, queries: np.ndarray, most: np.ndarray, centre: np.ndarray, fields: int):
+        """``most``: no score of a query is larger, in size; ``centre``: about where they lie."""
+        self.count, self.fields, self.width = len(queries), fields, 52 // fields
+        self.half, self.groups = 1 << (self.width - 1), -(-len(queries) // fields)
+        self.scale = 2.0 ** (self.width * np.arange(fields)[:, None] + 1)
+        apart = np.zeros((fields * self.groups, queries.shape[1]))
+        apart[:self.count] = queries
+        self.factors = np.zeros((self.groups, queries.shape[1] + 1))
+        self.factors[:, :-1] = (apart.reshape(fields, self.groups, -1) * self.scale[:, :, None]).sum(axis=0)
+        # Limits must keep each query's scores within its bits. Lower ones than asked for find more: few, if scores keep near their centre.
+        self.lowest = most - self.half + 2
+        self.highest = np.minimum(2 * self.half - most, centre + self.half // 2)
+        self.mask = np.uint64(sum(1 << (self.width * (j + 1) - 1) for j in range(fields)) | 1 << 52)
+
+    @classmethod
+    def fitting(cls, queries: np.ndarray, most: np.ndarray, centre: np.ndarray, limits: np.ndarray) -> Packed | None:
+        """With as many fields as these limits, and higher ones, allow; two cost as much as a product of 32-bit floats."""
+        for fields in (4, 3):
+            packed = cls(queries, most, centre, fields)
+            if (np.minimum(limits, packed.highest) >= packed.lowest).all():
+                return packed
+        return None
+
+    def reached(self, points: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Queries and points, all whose score reaches the limit and a few others; nothing where they are many. The last column of
+        ``points`` is 1."""
+        limit = np.full(self.fields * self.groups, 2)  # of a query that is not there: its scores are 0
+        limit[:self.count] = np.minimum(limits, self.highest)
+        self.factors[:, -1] = 2.0 ** 53 + ((self.half + 1 - limit).reshape(self.fields, self.groups) * self.scale).sum(axis=0)
+        bits = (self.factors @ points.T).view(np.uint64)
+        bits &= self.mask
+        places = hits(bits != 0)
+        if len(places) > FEW * self.count * len(points):
+            return None
+        group, column = np.divmod(places, len(points))
+        marks = bits.ravel()[places].astype(np.int64)
+        rows, columns = [], []
+        for field in range(self.fields):
+            some = np.flatnonzero(marks & (1 << (self.width * (field + 1) - 1) | 1 << 52))
+            rows.append(field * self.groups + group[some])
+            columns.append(column[some])
+        rows, columns = np.concatenate(rows), np.concatenate(columns)
+        there = rows < self.count
+        return rows[there], columns[there]
+
+
 class KDTree:
     """Median splits of the widest side down to leaves; every node is a run of the points, with their tight box."""
 
@@ -136,6 +202,7 @@ class KDTree:
         with np.errstate(over="ignore"):
             self.length = length(np.maximum(np.abs(self.low[:1].astype(np.float64)), np.abs(self.high[:1].astype(np.float64))))[0]
         self.kinds: dict[type, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.ones: np.ndarray | None = None
 
     def search(self, queries: np.ndarray, best: Best) -> None:
         """Every box that may hold one of the best of a query of the block is opened for those queries, the most promising box first."""
@@ -154,6 +221,7 @@ class KDTree:
         # The largest score any point of each box can have, per node and query.
         bounds = as_long(high @ np.maximum(queries, 0).T + low @ np.minimum(queries, 0).T)
         step = max(1, SLAB // len(rows))
+        packed, packs, share = None, kind is np.float32, 1.0
         queue = [(-int(bounds[0].max()), 0)]
         while queue:
             _, node = heapq.heappop(queue)
@@ -170,7 +238,25 @@ class KDTree:
             asked, asking = (rows[places], queries[places]) if len(places) < DENSE * len(rows) else (rows, queries)
             for first in range(start, end, step):
                 after = min(end, first + step)
-                best.offer(asked, self.ids[first:after], as_long(asking @ points[first:after].T))
+                ids = self.ids[first:after]
+                found = None
+                if packs and share < FEW / 2 and asked is rows and best.known[rows].all():
+                    packed = packed or self.packed(queries, best.score[rows])
+                    found = packed and packed.reached(self.ones[first:after], best.limits(rows, ids))
+                    packs = found is not None  # else these scores do not fit packed products
+                if found is None:
+                    share = best.offer(asked, ids, as_long(asking @ points[first:after].T))
+                else:
+                    r, c = found
+                    best.take(rows[r], ids[c], np.einsum("ij,ij->i", queries[r], points[first:after][c]).astype(np.int64))
+
+    def packed(self, queries: np.ndarray, limits: np.ndarray) -> Packed | None:
+        if self.ones is None:
+            self.ones = np.ones((len(self.points), self.points.shape[1] + 1))
+            self.ones[:, :-1] = self.points
+            self.longest, self.mean = length(self.points).max(), self.points.mean(axis=0, dtype=np.float64)
+        most = np.ceil(length(queries) * self.longest * (1 + 1e-9)).astype(np.int64) + 1
+        return Packed.fitting(queries, most, np.floor(queries @ self.mean).astype(np.int64), limits)
 
 
 def length(vectors: np.ndarray) -> np.ndarray:

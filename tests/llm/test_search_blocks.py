@@ -51,7 +51,7 @@ def test_search_of_points_that_no_box_tells_apart(spark, tmp_path):
 
 
 def test_search_over_many_shards(spark):
-    """Rounds over 1, 7 and the other shards; many equal vectors, whose ids decide, and queries with fewer rows than k in a shard."""
+    """Rounds over more and more shards; many equal vectors, whose ids decide, and queries with fewer rows than k in a shard."""
     rng = np.random.default_rng(2)
     ids = rng.permutation(600)[:500]
     points = rng.integers(-3, 4, (500, 3)).astype(float)
@@ -99,3 +99,59 @@ def test_vectors_are_packed_as_narrow_as_they_are(spark):
     got = {r.id: np.frombuffer(r.vector, kd_search.STORED[r.width]).tolist() for r in packed}
     assert got == {1: [64, -1], 2: [127, -128], 3: [192], 4: [38400, 0], 5: [64e9, 0], 6: []}
     assert {r.id: r.width for r in packed} == {1: 1, 2: 2, 3: 2, 4: 4, 5: 8, 6: 1} and all(r.size == len(got[r.id]) for r in packed)
+
+
+def test_packed_products_miss_no_score(monkeypatch):
+    """Sums of four or three scores: whatever reaches its limit is found, also beside scores far below theirs."""
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(kd_search, "FEW", 2)
+    far = cases = 0
+    for fields, spread, n in ((4, 12, 8), (4, 17, 40), (4, 18, 1), (4, 19, 27), (3, 60, 7), (3, 75, 32), (4, 1, 3), (3, 2, 257)):
+        for shift in (0, 3, -3):
+            queries = np.clip(rng.integers(-spread, spread + 1, (n, 24)) + shift, -spread, spread).astype(float)
+            points = np.clip(rng.integers(-spread, spread + 1, (900, 24)) + shift, -spread, spread).astype(float)
+            points[:n], points[300:300 + n] = queries, -queries  # the highest and the lowest scores there can be
+            most = np.ceil(kd_search.length(queries) * kd_search.length(points).max()).astype(int) + 1
+            scores = queries @ points.T
+            packed = kd_search.Packed(queries, most, np.floor(scores.mean(axis=1)).astype(int), fields)
+            for rank in (1, 2, 20, 300):
+                limits = -np.sort(-scores, axis=1)[:, rank - 1].astype(int) + (rank == 2)
+                at = np.minimum(limits, packed.highest)
+                if (at < packed.lowest).any():
+                    continue
+                found = packed.reached(np.column_stack([points, np.ones(900)]), limits)
+                got = set(zip(*(x.tolist() for x in found)))
+                assert set(zip(*(x.tolist() for x in np.nonzero(scores >= limits[:, None])))) <= got and len(found[0]) == len(got)
+                below = scores < at[:, None] - packed.half
+                far, cases = far + below.sum(), cases + 1
+                if not below.any():
+                    assert got <= set(zip(*(x.tolist() for x in np.nonzero(scores >= at[:, None] - 1))))
+    assert far > 50 and cases > 50
+    # Limits that leave too wide a range have no packed product.
+    assert kd_search.Packed.fitting(queries * 900, most * 900, most * 0, most * 0) is None
+
+
+def test_blocks_use_packed_products(monkeypatch):
+    """Vectors of length 1 with 64 components fit; the result is that of brute force, ties and equal points included."""
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(30_000, 64))
+    points = np.floor(64 * points / np.linalg.norm(points, axis=1)[:, None]).astype(np.int8)
+    points[7000:7300] = points[7000]
+    ids = rng.permutation(40_000)[:30_000]
+    used = []
+
+    def reached(self, points, limits, plain=kd_search.Packed.reached):
+        used.append((self.fields, self.count * len(points)))
+        return plain(self, points, limits)
+
+    monkeypatch.setattr(kd_search.Packed, "reached", reached)
+    queries, own = points[6500:7100], ids[6500:7100]
+    best = kd_search.Best(own, np.zeros(600, bool), np.zeros(600, np.int64), np.zeros(600, np.int64), 20)
+    kd_search.KDTree(ids, points).search(queries, best)
+    best.settle()
+    scores = queries.astype(int) @ points.T.astype(int)
+    for n in range(600):
+        order = np.lexsort((ids, -scores[n]))
+        order = order[ids[order] != own[n]][:20]
+        assert best.ids[best.rows == n].tolist() == ids[order].tolist() and best.scores[best.rows == n].tolist() == scores[n, order].tolist()
+    assert {fields for fields, _ in used} == {4} and sum(pairs for _, pairs in used) > 600 * 10_000
