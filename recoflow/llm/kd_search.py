@@ -144,12 +144,13 @@ class Packed:
         return None
 
     def reached(self, points: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-        """Queries and points, all whose score reaches the limit and a few others; nothing where they are many. The last column of
-        ``points`` is 1."""
+        """Queries and points, all whose score reaches the limit and a few others; nothing where they are many."""
+        ones = np.ones((len(points), points.shape[1] + 1))
+        ones[:, :-1] = points
         limit = np.full(self.fields * self.groups, 2)  # of a query that is not there: its scores are 0
         limit[:self.count] = np.minimum(limits, self.highest)
         self.factors[:, -1] = 2.0 ** 53 + ((self.half + 1 - limit).reshape(self.fields, self.groups) * self.scale).sum(axis=0)
-        bits = (self.factors @ points.T).view(np.uint64)
+        bits = (self.factors @ ones.T).view(np.uint64)
         bits &= self.mask
         places = hits(bits != 0)
         if len(places) > FEW * self.count * len(points):
@@ -201,8 +202,9 @@ class KDTree:
             self.below[number] += sum(self.below[child] for child in self.children[number] or ())
         with np.errstate(over="ignore"):
             self.length = length(np.maximum(np.abs(self.low[:1].astype(np.float64)), np.abs(self.high[:1].astype(np.float64))))[0]
-        self.kinds: dict[type, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        self.ones: np.ndarray | None = None
+        # Boxes by kind of sums; points stay as narrow as they are and are widened where they are met.
+        self.kinds: dict[type, tuple[np.ndarray, np.ndarray]] = {}
+        self.longest: float | None = None
 
     def search(self, queries: np.ndarray, best: Best) -> None:
         """Every box that may hold one of the best of a query of the block is opened for those queries, the most promising box first."""
@@ -215,8 +217,8 @@ class KDTree:
 
     def _search(self, rows: np.ndarray, queries: np.ndarray, best: Best, kind: type) -> None:
         if kind not in self.kinds:
-            self.kinds[kind] = typed(self.points, kind), typed(self.low, kind), typed(self.high, kind)
-        points, low, high = self.kinds[kind]
+            self.kinds[kind] = typed(self.low, kind), typed(self.high, kind)
+        low, high = self.kinds[kind]
         queries = typed(queries, kind)
         # The largest score any point of each box can have, per node and query.
         bounds = as_long(high @ np.maximum(queries, 0).T + low @ np.minimum(queries, 0).T)
@@ -238,23 +240,21 @@ class KDTree:
             asked, asking = (rows[places], queries[places]) if len(places) < DENSE * len(rows) else (rows, queries)
             for first in range(start, end, step):
                 after = min(end, first + step)
-                ids = self.ids[first:after]
+                ids, points = self.ids[first:after], self.points[first:after]
                 found = None
                 if packs and share < FEW / 2 and asked is rows and best.known[rows].all():
                     packed = packed or self.packed(queries, best.score[rows])
-                    found = packed and packed.reached(self.ones[first:after], best.limits(rows, ids))
+                    found = packed and packed.reached(points, best.limits(rows, ids))
                     packs = found is not None  # else these scores do not fit packed products
                 if found is None:
-                    share = best.offer(asked, ids, as_long(asking @ points[first:after].T))
+                    share = best.offer(asked, ids, as_long(asking @ typed(points, kind).T))
                 else:
                     r, c = found
-                    best.take(rows[r], ids[c], np.einsum("ij,ij->i", queries[r], points[first:after][c]).astype(np.int64))
+                    best.take(rows[r], ids[c], np.einsum("ij,ij->i", queries[r], typed(points[c], kind)).astype(np.int64))
 
     def packed(self, queries: np.ndarray, limits: np.ndarray) -> Packed | None:
-        if self.ones is None:
-            self.ones = np.ones((len(self.points), self.points.shape[1] + 1))
-            self.ones[:, :-1] = self.points
-            self.longest, self.mean = length(self.points).max(), self.points.mean(axis=0, dtype=np.float64)
+        if self.longest is None:
+            self.longest, self.mean = max(length(self.points[i:i + LEAF]).max() for i in range(0, len(self.points), LEAF)), self.points.mean(axis=0, dtype=np.float64)
         most = np.ceil(length(queries) * self.longest * (1 + 1e-9)).astype(np.int64) + 1
         return Packed.fitting(queries, most, np.floor(queries @ self.mean).astype(np.int64), limits)
 

@@ -119,7 +119,7 @@ def test_packed_products_miss_no_score(monkeypatch):
                 at = np.minimum(limits, packed.highest)
                 if (at < packed.lowest).any():
                     continue
-                found = packed.reached(np.column_stack([points, np.ones(900)]), limits)
+                found = packed.reached(points, limits)
                 got = set(zip(*(x.tolist() for x in found)))
                 assert set(zip(*(x.tolist() for x in np.nonzero(scores >= limits[:, None])))) <= got and len(found[0]) == len(got)
                 below = scores < at[:, None] - packed.half
